@@ -9,6 +9,7 @@ from tillbook.plans.registry import ORACLES, QUERIES
 _MODULES = (
     "tillbook.plans.shop",
     "tillbook.plans.sportsbook",
+    "tillbook.plans.locks",
 )
 
 
