@@ -10,6 +10,7 @@ _MODULES = (
     "tillbook.plans.shop",
     "tillbook.plans.sportsbook",
     "tillbook.plans.locks",
+    "tillbook.plans.relations",
 )
 
 

@@ -51,17 +51,18 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], col
 
 def sequence_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
                   lag_cols: Sequence[str] = (), sum_cols: Sequence[str] = (), prefix_lag: str = "prev_",
-                  prefix_sum: str = "run_") -> DataFrame:
+                  prefix_sum: str = "run_", descending: bool = False) -> DataFrame:
     """Per key in ``order``: ``lag(1)`` of ``lag_cols`` and inclusive running sums of ``sum_cols``.
 
     ``bucket`` must be non-decreasing in ``order`` within a key (e.g. ``date_trunc('day', ts)``)
     and ``order`` must be unique within a key. Exact for any data; the bucket only decides
-    how a key is split across tasks.
+    how a key is split across tasks. ``descending`` scans the order backwards (``lead``).
     """
     keys, order = list(keys), list(order)
     seg = keys + ["_seg"]
-    d = df.withColumn("_seg", bucket)
-    w_in = Window.partitionBy(*seg).orderBy(*order)
+    d = df.withColumn("_seg", -bucket if descending else bucket)
+    sort = [F.col(c).desc() for c in order] if descending else [F.col(c) for c in order]
+    w_in = Window.partitionBy(*seg).orderBy(*sort)
     for c in lag_cols:
         d = d.withColumn(f"_in_prev_{c}", F.lag(c).over(w_in))
     for c in sum_cols:
@@ -70,7 +71,8 @@ def sequence_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], buck
 
     aggs = [F.sum(c).alias(f"_tot_{c}") for c in sum_cols]
     if lag_cols:
-        aggs.append(F.max_by(F.struct(*lag_cols), F.struct(*order)).alias("_last"))
+        pick = F.min_by if descending else F.max_by
+        aggs.append(pick(F.struct(*lag_cols), F.struct(*order)).alias("_last"))
     segs = d.groupBy(*seg).agg(*aggs)
     w_seg = Window.partitionBy(*keys).orderBy("_seg")
     carry = [F.coalesce(F.sum(f"_tot_{c}").over(w_seg.rowsBetween(_UNB, -1)), F.lit(0)).alias(f"_off_{c}")
@@ -106,15 +108,47 @@ def transitions(df: DataFrame, keys: Sequence[str], order: Sequence[str], status
     return res
 
 
-def to_periods(df: DataFrame, keys: Sequence[str], start: str, order: Sequence[str], end: str = "valid_to",
-               bucket: Column | None = None) -> DataFrame:
-    """``valid_to`` = the next change's start (``lead``); the last period stays open."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(end, F.lead(start).over(w))
+def to_periods(df: DataFrame, keys: Sequence[str], start: str, order: Sequence[str], bucket: Column,
+               end: str = "valid_to") -> DataFrame:
+    """``valid_to`` = the next change's start (``lead``, a backwards segmented scan);
+    the last period stays open. ``bucket`` must be numeric and non-decreasing in ``order``."""
+    res = sequence_scan(df, keys, order, bucket, lag_cols=[start], prefix_lag="_next_", descending=True)
+    return res.withColumnRenamed(f"_next_{start}", end)
 
 
 def rolling_sum(df: DataFrame, keys: Sequence[str], ts: str, value: str, seconds: int, out: str) -> DataFrame:
-    """Sum over the trailing ``seconds`` (RANGE frame on epoch seconds, current row included)."""
+    """Sum over the trailing ``seconds`` (RANGE frame on epoch microseconds, both ends included).
+
+    A RANGE frame needs the whole key in one ordered partition; for a key that may hold a
+    large share of the rows use ``rolling_sum_segmented``.
+    """
     secs = F.unix_micros(F.col(ts).cast("timestamp"))
-    w = Window.partitionBy(*keys).orderBy(secs).rangeBetween(-seconds * 1_000_000 + 1, 0)
+    w = Window.partitionBy(*keys).orderBy(secs).rangeBetween(-seconds * 1_000_000, 0)
     return df.withColumn(out, F.sum(value).over(w))
+
+
+def day_bucket(ts: str) -> Column:
+    """Numeric day bucket (epoch days) for the segmented scans."""
+    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(86_400_000_000)).cast("long")
+
+
+def rolling_sum_segmented(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, seconds: int,
+                          out: str) -> DataFrame:
+    """W09 without a per-key partition: ``sum over (t - seconds, t]`` as a difference of prefixes.
+
+    prefix(t) = running sum through the last row at ``t`` (peers included, as a RANGE frame);
+    the window sum is ``prefix(t) - prefix(just before t - seconds)``. Both prefixes come from
+    the segmented running sum and two segmented as-of lookups, so a hot key is split by day.
+    """
+    from tillbook.operators.joins import asof_join
+
+    keys = list(keys)
+    run = running_sum(df.select(*keys, ts, tie, value), keys, [ts, tie], value, "_prefix", day_bucket(ts))
+    right = run.select(*keys, F.col(ts).alias("_rt"), F.col(tie).alias("_rid"), "_prefix")
+    probe = (df.withColumn("_hi", F.col(ts))
+             .withColumn("_lo", F.col(ts) - F.make_dt_interval(secs=F.lit(seconds) + F.lit(0.000001))))
+    a = asof_join(probe, right, keys, "_hi", "_rt", ["_prefix"], right_order=["_rid"])
+    a = a.withColumnRenamed("_prefix", "_p_hi")
+    b = asof_join(a, right, keys, "_lo", "_rt", ["_prefix"], right_order=["_rid"])
+    return (b.withColumn(out, F.col("_p_hi") - F.coalesce(F.col("_prefix"), F.lit(0)))
+            .drop("_hi", "_lo", "_p_hi", "_prefix"))
