@@ -11,6 +11,7 @@ _MODULES = (
     "tillbook.plans.sportsbook",
     "tillbook.plans.locks",
     "tillbook.plans.relations",
+    "tillbook.plans.quality",
 )
 
 
