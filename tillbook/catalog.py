@@ -12,6 +12,7 @@ _MODULES = (
     "tillbook.plans.locks",
     "tillbook.plans.relations",
     "tillbook.plans.quality",
+    "tillbook.plans.metrics",
 )
 
 
