@@ -13,6 +13,7 @@ _MODULES = (
     "tillbook.plans.relations",
     "tillbook.plans.quality",
     "tillbook.plans.metrics",
+    "tillbook.plans.shop_jobs",
 )
 
 
