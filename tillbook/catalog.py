@@ -14,6 +14,7 @@ _MODULES = (
     "tillbook.plans.quality",
     "tillbook.plans.metrics",
     "tillbook.plans.shop_jobs",
+    "tillbook.plans.book_jobs",
 )
 
 
