@@ -15,6 +15,7 @@ _MODULES = (
     "tillbook.plans.metrics",
     "tillbook.plans.shop_jobs",
     "tillbook.plans.book_jobs",
+    "tillbook.streaming.queries",
 )
 
 
