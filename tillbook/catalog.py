@@ -16,6 +16,7 @@ _MODULES = (
     "tillbook.plans.shop_jobs",
     "tillbook.plans.book_jobs",
     "tillbook.streaming.queries",
+    "tillbook.plans.io",
 )
 
 
