@@ -17,6 +17,7 @@ _MODULES = (
     "tillbook.plans.book_jobs",
     "tillbook.streaming.queries",
     "tillbook.plans.io",
+    "tillbook.plans.builds",
 )
 
 
