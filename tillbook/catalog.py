@@ -18,6 +18,7 @@ _MODULES = (
     "tillbook.streaming.queries",
     "tillbook.plans.io",
     "tillbook.plans.builds",
+    "tillbook.plans.shop_build",
 )
 
 
