@@ -156,3 +156,25 @@ def test_reconciliation_agrees(spark):
 
     r = E.queries()["reconcile"](spark, SF_MID)
     assert r.filter(F.col("verdict") != "AGREE").count() == 0
+
+
+def test_wallet_stream_equals_sequential_fold(spark):
+    from decimal import Decimal
+
+    from conftest import SF_SMALL
+    from tillbook.sources.adapters import Tables
+    import __spark_entry__ as E
+
+    got = {r.id: (r.result, r.balance_after) for r in E.queries()["stream_wallets"](spark, SF_SMALL).collect()}
+    rows = (Tables(spark, SF_SMALL).money_events_v.filter(F.col("account") == "cash")
+            .select("id", "player_id", "amount", "created_at").collect())
+    balances, expect = {}, {}
+    for r in sorted(rows, key=lambda r: (r.player_id, r.created_at, r.id)):
+        b = balances.get(r.player_id, Decimal("0.00"))
+        if r.amount < 0 and b + r.amount < 0:
+            expect[r.id] = ("insufficient_funds", b)
+        else:
+            b += r.amount
+            expect[r.id] = ("ok", b)
+        balances[r.player_id] = b
+    assert got == expect
