@@ -19,6 +19,7 @@ _MODULES = (
     "tillbook.plans.io",
     "tillbook.plans.builds",
     "tillbook.plans.shop_build",
+    "tillbook.plans.book_build",
 )
 
 

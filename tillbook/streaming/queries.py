@@ -314,7 +314,19 @@ def q_stream_status_changes(spark, d):
 
 # ---- ST05 streaming latency quantiles ------------------------------------------------------------------
 
-@register("stream_latency_p95", adapters=("requests_v",), oracle=None)
+@register("stream_latency_p95", adapters=("requests_v",), oracle="""WITH h AS (
+  SELECT date_trunc('hour', r.ts) AS hour, r.tx, b.bucket, CAST(b.upper AS DOUBLE) AS upper,
+         count(*) FILTER (WHERE b.upper IS NULL OR CAST(r.latency_ms AS DOUBLE) / 1000 <= b.upper) AS cumulative
+  FROM requests_v r, (VALUES (0, 0.005), (1, 0.01), (2, 0.025), (3, 0.05), (4, 0.1), (5, 0.25), (6, 0.5), (7, 1.0), (8, 2.5), (9, 5.0), (10, 10.0), (11, 30.0), (12, NULL)) b(bucket, upper) GROUP BY 1, 2, 3, 4),
+b AS (SELECT *, coalesce(lag(cumulative) OVER (PARTITION BY hour, tx ORDER BY bucket), 0) AS prev_cum,
+             coalesce(lag(upper) OVER (PARTITION BY hour, tx ORDER BY bucket), 0.0) AS lower,
+             max(cumulative) OVER (PARTITION BY hour, tx) AS total FROM h),
+hit AS (SELECT *, 0.95 * total AS rnk, row_number() OVER (PARTITION BY hour, tx ORDER BY bucket) AS k
+        FROM b WHERE total > 0 AND cumulative >= 0.95 * total)
+SELECT g.hour, g.tx, round(CASE WHEN hit.upper IS NULL THEN hit.lower
+                  ELSE hit.lower + (hit.upper - hit.lower) * (hit.rnk - hit.prev_cum) / (hit.cumulative - hit.prev_cum) END, 6)
+       AS quantile, 0.95 AS q
+FROM (SELECT DISTINCT hour, tx FROM h) g LEFT JOIN hit ON hit.hour = g.hour AND hit.tx = g.tx AND hit.k = 1""")
 def q_stream_latency_p95(spark, d):
     """ST05: hourly latency histograms per tx in a stream, p95 by histogram_quantile on read."""
     from tillbook.functions import LATENCY_BUCKETS
