@@ -398,9 +398,9 @@ single AS (SELECT bet_id FROM legs_v GROUP BY 1 HAVING count(*) = 1),
 open_bets AS (SELECT s.bet_id FROM single s JOIN legs_v l ON l.bet_id = s.bet_id JOIN matches_v m ON m.id = l.event_id
               WHERE m.status NOT IN ('finished', 'settled'))
 SELECT l.bet_id, l.event_id, b.stake, l.odds AS placed_odds, s.odds AS current_odds,
-       CAST(CASE WHEN 2 * (x.n % x.m) > x.m THEN x.n // x.m + 1
+       CAST(CAST(CASE WHEN 2 * (x.n % x.m) > x.m THEN x.n // x.m + 1
                  WHEN 2 * (x.n % x.m) = x.m THEN x.n // x.m + (x.n // x.m) % 2
-                 ELSE x.n // x.m END AS DECIMAL(16,0)) * CAST(0.01 AS DECIMAL(3,2)) AS cashout_value
+                 ELSE x.n // x.m END AS DECIMAL(16,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(14,2)) AS cashout_value
 FROM open_bets o JOIN legs_v l ON l.bet_id = o.bet_id JOIN bets_v b ON b.id = l.bet_id
 JOIN matches_v m ON m.id = l.event_id AND m.status = 'live'
 JOIN sel s ON s.selection_id = l.event_id * 7 + l.outcome,

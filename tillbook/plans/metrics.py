@@ -72,7 +72,7 @@ hit AS (SELECT *, 0.95 * total AS rnk, row_number() OVER (PARTITION BY tx ORDER
         FROM b WHERE total > 0 AND cumulative >= 0.95 * total)
 SELECT g.tx, round(CASE WHEN hit.upper IS NULL THEN hit.lower
                   ELSE hit.lower + (hit.upper - hit.lower) * (hit.rnk - hit.prev_cum) / (hit.cumulative - hit.prev_cum) END, 6)
-       AS quantile, 0.95 AS q
+       AS quantile, CAST(0.95 AS DOUBLE) AS q
 FROM (SELECT DISTINCT tx FROM h) g LEFT JOIN hit ON hit.tx = g.tx AND hit.k = 1""")
 def q_latency_p95(spark, d):
     """Q05: histogram_quantile(0.95, sum by (le, tx) (...))."""
@@ -190,7 +190,7 @@ blocked AS (SELECT DISTINCT c.sample, c.waiting_pid FROM chain c
 ww AS (SELECT a.sample, a.blocking_user AS waiting_user, count(b.waiting_pid) AS blocked_sessions
        FROM session_samples_v a LEFT JOIN blocked b ON b.sample = a.sample AND b.waiting_pid = a.pid
        WHERE a.blocker_pid IS NOT NULL GROUP BY 1, 2)
-SELECT waiting_user, sum(blocked_sessions) * 5.0 AS sum_over_time FROM ww GROUP BY 1""")
+SELECT waiting_user, CAST(sum(blocked_sessions) * 5.0 AS DOUBLE) AS sum_over_time FROM ww GROUP BY 1""")
 def q_blocked_session_seconds(spark, d):
     """Q09: sum_over_time(blocked sessions) x 5 s resolution, per waiting user."""
     t = Tables(spark, d)

@@ -83,7 +83,8 @@ def q_key_headroom(spark, d):
 WITH c AS (SELECT product_id, count(*) AS c FROM order_items_v GROUP BY 1),
 r AS (SELECT c, row_number() OVER (ORDER BY c DESC, product_id) AS rn, count(*) OVER () AS n_keys,
              sum(c) OVER () AS n_rows FROM c)
-SELECT 0.01 AS pct, max(n_keys) AS keys, CAST(ceil(max(n_keys) * 0.01) AS BIGINT) AS top_keys, max(n_rows) AS rows,
+SELECT CAST(0.01 AS DOUBLE) AS pct, max(n_keys) AS keys, CAST(ceil(max(n_keys) * 0.01) AS BIGINT) AS top_keys,
+       CAST(max(n_rows) AS BIGINT) AS rows,
        CAST(sum(c) FILTER (WHERE rn <= ceil(n_keys * 0.01)) AS BIGINT) AS top_rows,
        round(sum(c) FILTER (WHERE rn <= ceil(n_keys * 0.01)) / max(n_rows), 6) AS share FROM r""")
 def q_skew_profile(spark, d):

@@ -134,12 +134,13 @@ def q_customers_without_cancellations(spark, d):
 
 @register("running_balance", adapters=("money_events_v",), oracle="""
 SELECT id, player_id, account, amount,
-       sum(amount) OVER (PARTITION BY player_id, account ORDER BY created_at, id ROWS UNBOUNDED PRECEDING) AS balance_after
+       CAST(sum(amount) OVER (PARTITION BY player_id, account ORDER BY created_at, id ROWS UNBOUNDED PRECEDING)
+            AS DECIMAL(38,2)) AS balance_after
 FROM money_events_v""")
 def q_running_balance(spark, d):
     m = Tables(spark, d).money_events_v
     r = running_sum(m, ["player_id", "account"], ["created_at", "id"], "amount", "balance_after", day_bucket("created_at"))
-    return r.select("id", "player_id", "account", "amount", "balance_after")
+    return r.select("id", "player_id", "account", "amount", F.col("balance_after").cast("decimal(38,2)"))
 
 
 @register("odds_periods", adapters=("odds_feed_v",), oracle="""
@@ -166,13 +167,14 @@ def q_status_transitions(spark, d):
 
 @register("rolling_deposits_24h", adapters=("money_events_v",), oracle="""
 SELECT id, player_id, created_at, amount,
-       sum(amount) OVER (PARTITION BY player_id ORDER BY created_at
-                         RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW) AS deposits_24h
+       CAST(sum(amount) OVER (PARTITION BY player_id ORDER BY created_at
+                         RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW) AS DECIMAL(38,2)) AS deposits_24h
 FROM money_events_v WHERE type = 'deposit'""")
 def q_rolling_deposits_24h(spark, d):
     m = Tables(spark, d).money_events_v.filter(F.col("type") == "deposit").select("id", "player_id", "created_at",
                                                                                 "amount")
-    return rolling_sum_segmented(m, ["player_id"], "created_at", "id", "amount", 24 * 3600, "deposits_24h")
+    r = rolling_sum_segmented(m, ["player_id"], "created_at", "id", "amount", 24 * 3600, "deposits_24h")
+    return r.withColumn("deposits_24h", F.col("deposits_24h").cast("decimal(38,2)"))
 
 
 @register("ledger_union", adapters=("money_events_v", "bets_v"), oracle="""

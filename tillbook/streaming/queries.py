@@ -325,7 +325,7 @@ hit AS (SELECT *, 0.95 * total AS rnk, row_number() OVER (PARTITION BY hour, tx
         FROM b WHERE total > 0 AND cumulative >= 0.95 * total)
 SELECT g.hour, g.tx, round(CASE WHEN hit.upper IS NULL THEN hit.lower
                   ELSE hit.lower + (hit.upper - hit.lower) * (hit.rnk - hit.prev_cum) / (hit.cumulative - hit.prev_cum) END, 6)
-       AS quantile, 0.95 AS q
+       AS quantile, CAST(0.95 AS DOUBLE) AS q
 FROM (SELECT DISTINCT hour, tx FROM h) g LEFT JOIN hit ON hit.hour = g.hour AND hit.tx = g.tx AND hit.k = 1""")
 def q_stream_latency_p95(spark, d):
     """ST05: hourly latency histograms per tx in a stream, p95 by histogram_quantile on read."""
