@@ -62,10 +62,54 @@ def pick(idx: ColumnOrName, values: Sequence) -> Column:
     return F.element_at(arr, (F.pmod(_c(idx), F.lit(len(values))) + 1).cast("int"))
 
 
+# A draw is a 32-bit integer hash written with BIGINT arithmetic only (every product stays
+# below 2^63, so ANSI mode never overflows), which DuckDB evaluates identically: the builds
+# that use draws keep exact oracles (``uniform_sql``). Keys are folded into one 32-bit value
+# by a polynomial, then mixed by two multiply / xor-shift rounds.
+_M32 = 1 << 32
+_KEY_MUL = 1640531527   # odd, below 2^31
+_HI_MUL = 1327217885    # folds the high 32 bits of a key
+_MIX = 73244475
+
+
+def _draw_base(seed: int, draw: int) -> int:
+    return (seed * 1000003 + draw * 7919) % _M32
+
+
+def _long(v: int) -> Column:
+    return F.lit(v).cast("bigint")
+
+
 def uniform(seed: int, draw: int, *keys: ColumnOrName) -> Column:
     """A reproducible draw in [0, 1) from ``(seed, draw, keys)`` (replaces random())."""
-    h = F.xxhash64(F.lit(seed), F.lit(draw), *[_c(k) for k in keys])
-    return F.pmod(h, F.lit(1 << 53)).cast("double") / float(1 << 53)
+    m = _long(_M32)
+    h = _long(_draw_base(seed, draw))
+    for k in keys:
+        k = _c(k).cast("bigint")
+        x = F.pmod(F.pmod(k, m) + F.pmod(F.shiftright(k, 32), m) * _long(_HI_MUL), m)
+        h = F.pmod(h * _long(_KEY_MUL) + x, m)
+    for _ in range(2):
+        h = F.pmod(F.shiftright(h, 16).bitwiseXOR(h) * _long(_MIX), m)
+    h = F.shiftright(h, 16).bitwiseXOR(h)
+    return h.cast("double") / float(_M32)
+
+
+def uniform_sql(seed: int, draw: int, *keys: str) -> str:
+    """The same draw as DuckDB SQL text over the key expressions ``keys`` (for oracles)."""
+    m = _M32
+
+    def pmod(x: str) -> str:
+        return f"((({x}) % {m} + {m}) % {m})"
+
+    h = f"CAST({_draw_base(seed, draw)} AS BIGINT)"
+    for k in keys:
+        kb = f"CAST({k} AS BIGINT)"
+        x = pmod(f"{pmod(kb)} + {pmod(f'{kb} >> 32')} * {_HI_MUL}")
+        h = pmod(f"({h}) * {_KEY_MUL} + {x}")
+    for _ in range(2):
+        h = f"((xor(({h}) >> 16, ({h})) * {_MIX}) % {m})"
+    h = f"xor(({h}) >> 16, ({h}))"
+    return f"(CAST({h} AS DOUBLE) / {float(m)})"
 
 
 def skewed_key(u: ColumnOrName, lo: ColumnOrName, n: ColumnOrName, k: float) -> Column:
@@ -73,6 +117,11 @@ def skewed_key(u: ColumnOrName, lo: ColumnOrName, n: ColumnOrName, k: float) ->
     return (_c(lo) + F.floor(F.pow(_c(u), F.lit(k)) * _c(n))).cast("long")
 
 
+def skewed_key_sql(u: str, lo: str, n: str, k: float) -> str:
+    """``skewed_key`` as DuckDB SQL text."""
+    return f"CAST(({lo}) + floor(pow({u}, {k}) * ({n})) AS BIGINT)"
+
+
 def stable_uuid(*parts: ColumnOrName) -> Column:
     """Deterministic 36-char key in place of UUID(): md5 of the parts, dashed as a UUID."""
     h = F.md5(F.concat_ws("|", *[_c(p).cast("string") for p in parts]))

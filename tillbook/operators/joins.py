@@ -38,15 +38,15 @@ def semi_join(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
 def not_in(a: DataFrame, col: str, b: DataFrame, bcol: str) -> DataFrame:
     """SQL ``x NOT IN (SELECT y FROM b)`` with its null rules, without a nested-loop join.
 
-    A hash anti join on the value, then a one-row summary of ``b`` (row count, any null)
-    decides the null cases: a null in ``b`` empties the result; a null ``x`` survives only
-    when ``b`` is empty. The summary is one row, so broadcasting it is bounded.
+    A hash anti join on the value, then two scalar subqueries over ``b`` (row count, any
+    null) decide the null cases: a null in ``b`` empties the result; a null ``x`` survives
+    only when ``b`` is empty. Each is one value, computed once.
     """
-    stats = b.agg(F.count(F.lit(1)).alias("_n"), F.max(F.col(bcol).isNull().cast("int")).alias("_has_null"))
+    n = b.agg(F.count(F.lit(1))).scalar()
+    has_null = b.agg(F.max(F.col(bcol).isNull().cast("int"))).scalar()
     kept = a.join(b.select(F.col(bcol).alias("_v")).distinct(), F.col(col) == F.col("_v"), "left_anti")
-    kept = kept.crossJoin(F.broadcast(stats))
-    ok = (F.col("_n") == 0) | (F.col(col).isNotNull() & (F.coalesce(F.col("_has_null"), F.lit(0)) == 0))
-    return kept.filter(ok).drop("_n", "_has_null")
+    ok = (n == 0) | (F.col(col).isNotNull() & (F.coalesce(has_null, F.lit(0)) == 0))
+    return kept.filter(ok)
 
 
 def first_per_key(child: DataFrame, key: str, order: Sequence[str], cols: Sequence[str]) -> DataFrame:

@@ -78,7 +78,8 @@ def skew_profile(df: DataFrame, key: str, pct: float) -> DataFrame:
     totals = hist.agg(F.sum("keys").alias("n_keys"), F.sum(F.col("c") * F.col("keys")).alias("n_rows"))
     w = Window.orderBy(F.col("c").desc()).rowsBetween(Window.unboundedPreceding, -1)
     h = (hist.withColumn("keys_before", F.coalesce(F.sum("keys").over(w), F.lit(0)))
-         .crossJoin(F.broadcast(totals))
+         .withColumn("n_keys", totals.select("n_keys").scalar())   # one-row totals: scalar subqueries
+         .withColumn("n_rows", totals.select("n_rows").scalar())
          .withColumn("k", F.ceil(F.col("n_keys") * F.lit(pct)).cast("bigint"))
          .withColumn("take", F.greatest(F.lit(0), F.least(F.col("keys"), F.col("k") - F.col("keys_before")))))
     return h.groupBy("n_keys", "n_rows", "k").agg(F.sum(F.col("take") * F.col("c")).alias("top_rows")).select(

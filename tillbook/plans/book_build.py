@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.functions import pick, skewed_key, uniform
-from tillbook.plans.book_jobs import build_selections
+from tillbook.functions import pick, skewed_key, uniform, uniform_sql
+from tillbook.plans.book_jobs import _SEL_SQL, build_selections
 from tillbook.plans.build import fan_out
 from tillbook.plans.registry import register
 from tillbook.plans.shop_build import insert_ignore
@@ -24,16 +24,18 @@ def build_bets(keys: DataFrame, players: DataFrame, matches: DataFrame, seed: in
     is dropped (B07). Returns (bets, legs)."""
     pb = players.agg(F.min("id").alias("p_lo"), F.count(F.lit(1)).alias("p_n"))
     mb = matches.agg(F.min("id").alias("m_lo"), F.count(F.lit(1)).alias("m_n"))
+    p_lo, p_n = pb.select("p_lo").scalar(), pb.select("p_n").scalar()   # scalar subqueries (J05)
+    m_lo, m_n = mb.select("m_lo").scalar(), mb.select("m_n").scalar()
     b = F.col("id")
-    bets = keys.crossJoin(F.broadcast(pb)).select(   # one-row aggregates: bounded
+    bets = keys.select(
         F.col("g").alias("id"),
-        skewed_key(uniform(seed, 50, "g"), F.col("p_lo"), F.col("p_n"), 2.2).alias("player_id"),
+        skewed_key(uniform(seed, 50, "g"), p_lo, p_n, 2.2).alias("player_id"),
         pick(F.floor(uniform(seed, 51, "g") * 10), STAKES).cast("decimal(12,2)").alias("stake"),
         pick(F.floor(uniform(seed, 52, "g") * 4), CHANNELS).alias("channel"))
     n_legs = F.when(b % 10 < 7, F.lit(1)).otherwise(2 + b % 3)
-    legs = (fan_out(bets.select("id"), n_legs, "leg").crossJoin(F.broadcast(mb))
+    legs = (fan_out(bets.select("id"), n_legs, "leg")
             .select(F.col("id").alias("bet_id"), "leg",
-                    (F.col("m_lo") + F.floor(uniform(seed, 53, "id", "leg") * F.col("m_n"))).cast("long").alias("event_id"),
+                    (m_lo + F.floor(uniform(seed, 53, "id", "leg") * m_n)).cast("long").alias("event_id"),
                     (1 + F.floor(uniform(seed, 54, "id", "leg") * 7)).cast("int").alias("outcome")))
     sel = build_selections(matches).select("selection_id", "odds")
     legs = legs.withColumn("selection_id", F.col("event_id") * 7 + F.col("outcome")).join(sel, "selection_id")
@@ -41,7 +43,17 @@ def build_bets(keys: DataFrame, players: DataFrame, matches: DataFrame, seed: in
     return bets, legs.select("bet_id", "selection_id", "event_id", "odds")
 
 
-@register("bets_build")
+@register("bets_build", adapters=("matches_v",), oracle=_SEL_SQL + f""",
+mb AS (SELECT min(id) AS lo, count(*) AS n FROM matches_v),
+lg AS (SELECT o_orderkey AS bet_id,
+              unnest(generate_series(1, CASE WHEN o_orderkey % 10 < 7 THEN 1 ELSE 2 + o_orderkey % 3 END)) AS leg
+       FROM orders),
+lp AS (SELECT bet_id, leg, CAST(mb.lo + floor({uniform_sql(42, 53, "bet_id", "leg")} * mb.n) AS BIGINT) AS event_id,
+              CAST(1 + floor({uniform_sql(42, 54, "bet_id", "leg")} * 7) AS INT) AS outcome
+       FROM lg, mb)
+SELECT lp.bet_id, sel.selection_id, arg_min(lp.event_id, lp.leg) AS event_id, arg_min(sel.odds, lp.leg) AS odds
+FROM lp JOIN sel ON sel.selection_id = lp.event_id * 7 + lp.outcome
+GROUP BY 1, 2""")
 def q_bets_build(spark, d):
     t = Tables(spark, d)
     _, legs = build_bets(t.orders.select(F.col("o_orderkey").alias("g")), t.players_v, t.matches_v)

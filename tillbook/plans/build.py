@@ -63,38 +63,34 @@ def sequence_ids(df: DataFrame, order: Sequence[str], name: str = "id", partitio
 
 
 def build_orders(keys: DataFrame, customers: DataFrame, as_of: str, seed: int = 42) -> DataFrame:
-    """One order per source key: age skewed to recent (u^1.3 x 365 days), customer skewed
-    (B03, k = 1.5), status from the age ladder; ids then follow created_at (``sequence_ids``)."""
+    """One order per source key: age skewed to recent (u^1.3 x 365 days, whole seconds),
+    customer skewed (B03, k = 1.5), status from the age ladder; ids then follow created_at
+    (``sequence_ids``). The customer bounds are scalar subqueries (J05): one value each,
+    computed once and shipped to the tasks as literals."""
     bounds = customers.agg(F.min("id").alias("lo"), F.count(F.lit(1)).alias("n"))
+    lo, n = bounds.select("lo").scalar(), bounds.select("n").scalar()
     g = F.col("g")
-    age_s = F.pow(uniform(seed, 1, g), F.lit(1.3)) * F.lit(365 * 86400.0)
+    age_s = F.floor(F.pow(uniform(seed, 1, g), F.lit(1.3)) * F.lit(365 * 86400.0))
     u_status = uniform(seed, 3, g)
     status = (F.when(age_s < 86400, F.when(u_status < 0.5, "pending").otherwise("paid"))
               .when(age_s < 5 * 86400, F.when(u_status < 1 / 3, "paid").otherwise("shipped"))
               .when(uniform(seed, 4, g) < 0.03, "cancelled").when(uniform(seed, 5, g) < 0.02, "refunded")
               .otherwise("delivered"))
     created = ts_lit(as_of) - F.make_dt_interval(secs=age_s.cast("decimal(18,6)"))
-    step = (F.when(F.col("status") == "pending", F.make_dt_interval())
-            .when(F.col("status") == "paid", F.make_dt_interval(mins=F.lit(10)))
-            .when(F.col("status") == "shipped", F.make_dt_interval(days=F.lit(1)))
-            .otherwise(F.make_dt_interval(days=F.lit(4))))
-    o = (keys.crossJoin(F.broadcast(bounds))   # one-row aggregate (J05): bounded
-         .select("g", skewed_key(uniform(seed, 2, g), F.col("lo"), F.col("n"), 1.5).alias("customer_id"),
-                 status.alias("status"), created.alias("created_at"))
-         .withColumn("updated_at", F.col("created_at") + step))
-    return sequence_ids(o, ["created_at", "g"])
+    o = (keys.select("g", skewed_key(uniform(seed, 2, g), lo, n, 1.5).alias("customer_id"),
+                     status.alias("status"), created.alias("created_at")))
+    return sequence_ids(with_updated_at(o), ["created_at", "g"])
 
 
 def build_order_lines(orders: DataFrame, products: DataFrame, seed: int = 42) -> DataFrame:
     """1-4 lines per order (B04), products skewed (k = 3, about 21% of lines on the top 1%),
     joined to the catalogue by the computed key (J07)."""
     bounds = products.agg(F.min("id").alias("lo"), F.count(F.lit(1)).alias("n"))
+    lo, n = bounds.select("lo").scalar(), bounds.select("n").scalar()
     lines = fan_out(orders.select(F.col("id").alias("order_id")), 1 + F.floor(uniform(seed, 10, "order_id") * 4), "line")
-    picked = (lines.crossJoin(F.broadcast(bounds))
-              .select("order_id", "line",
-                      skewed_key(uniform(seed, 11, "order_id", "line"), F.col("lo"), F.col("n"), 3.0).alias("product_id"),
-                      (1 + F.floor(F.pow(uniform(seed, 12, "order_id", "line"), F.lit(3.0)) * 4)).cast("int")
-                      .alias("quantity")))
+    picked = lines.select(
+        "order_id", "line", skewed_key(uniform(seed, 11, "order_id", "line"), lo, n, 3.0).alias("product_id"),
+        (1 + F.floor(F.pow(uniform(seed, 12, "order_id", "line"), F.lit(3.0)) * 4)).cast("int").alias("quantity"))
     return picked.join(products.select(F.col("id").alias("product_id"), F.col("price").alias("unit_price")),
                        "product_id")
 

@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.functions import classify_error, outcome_class, pick, skewed_key, uniform
+from tillbook.functions import classify_error, outcome_class, pick, skewed_key, skewed_key_sql, uniform, uniform_sql
 from tillbook.operators.windows import latest_per_key
 from tillbook.plans.build import cross_list, fan_out
 from tillbook.plans.registry import register
@@ -40,11 +40,12 @@ def build_catalog(ids: DataFrame, suppliers: DataFrame, brands: int = 25, seed:
     """Products 1..n: SKU, a name from two word lists and the id, brand by ``g*7 mod n``,
     supplier by ``g mod n`` (bounds as a one-row aggregate), hashed price, every 50th inactive."""
     sb = suppliers.agg(F.min("s_suppkey").alias("s_lo"), F.count(F.lit(1)).alias("s_n"))
+    s_lo, s_n = sb.select("s_lo").scalar(), sb.select("s_n").scalar()   # scalar subqueries (J05)
     g = F.col("g")
     name = F.concat_ws(" ", pick(g, NAME_WORDS_1), pick(F.floor(g / 10), NAME_WORDS_2), g.cast("string"))
-    return ids.crossJoin(F.broadcast(sb)).select(   # one-row aggregate: bounded
+    return ids.select(
         g.alias("id"), F.concat(F.lit("SKU-"), F.lpad(g.cast("string"), 8, "0")).alias("sku"), name.alias("name"),
-        (1 + (g * 7) % brands).cast("int").alias("brand_id"), (F.col("s_lo") + g % F.col("s_n")).alias("supplier_id"),
+        (1 + (g * 7) % brands).cast("int").alias("brand_id"), (s_lo + g % s_n).alias("supplier_id"),
         F.round(F.lit(4.99) + uniform(seed, 20, g) * 495, 2).cast("decimal(10,2)").alias("price"),
         (g % 50 != 0).alias("active"))
 
@@ -54,11 +55,13 @@ WITH sb AS (SELECT min(s_suppkey) AS lo, count(*) AS n FROM supplier)
 SELECT p_partkey AS id, 'SKU-' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS sku,
        """ + _arr_sql(NAME_WORDS_1) + """[1 + p_partkey % 10] || ' ' || """ + _arr_sql(NAME_WORDS_2)
           + """[1 + (p_partkey // 10) % 12] || ' ' || CAST(p_partkey AS VARCHAR) AS name,
-       CAST(1 + (p_partkey * 7) % 25 AS INT) AS brand_id, sb.lo + p_partkey % sb.n AS supplier_id, p_partkey % 50 <> 0 AS active
+       CAST(1 + (p_partkey * 7) % 25 AS INT) AS brand_id, sb.lo + p_partkey % sb.n AS supplier_id,
+       CAST(round(4.99e0 + """ + uniform_sql(42, 20, "p_partkey") + """ * 495, 2) AS DECIMAL(10,2)) AS price,
+       p_partkey % 50 <> 0 AS active
 FROM part, sb""")
 def q_catalog_build(spark, d):
     t = Tables(spark, d)
-    return build_catalog(t.part.select(F.col("p_partkey").alias("g")), t.supplier).drop("price")
+    return build_catalog(t.part.select(F.col("p_partkey").alias("g")), t.supplier)
 
 
 # ---- B05 / F12: attributes (EAV) and their pivot --------------------------------------------------------
@@ -98,7 +101,11 @@ def build_inventory(products: DataFrame, warehouses: int = 5, seed: int = 42):
     return inv, purchases
 
 
-@register("inventory_build")
+@register("inventory_build", adapters=("products_v",), oracle=f"""
+SELECT CAST(w AS INT) AS warehouse_id, p.id AS product_id,
+       CAST(CASE WHEN {uniform_sql(42, 30, "p.id", "w")} < 0.02e0 THEN 0
+                 ELSE 50 + floor({uniform_sql(42, 31, "p.id", "w")} * 950) END AS INT) AS quantity, 0 AS reserved
+FROM products_v p, range(1, 6) r(w)""")
 def q_inventory_build(spark, d):
     inv, _ = build_inventory(Tables(spark, d).products_v)
     return inv
@@ -109,12 +116,13 @@ def q_inventory_build(spark, d):
 def build_customers(ids: DataFrame, nation: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Customers (names by id modulo, country by id over the sorted country list) and their
     addresses: a default shipping address each, a billing address for even ids."""
-    codes = nation.agg(F.array_sort(F.collect_list("n_name")).alias("codes"))   # 25 fixed rows: bounded
+    # the sorted country list: 25 fixed rows, one array value (scalar subquery)
+    codes = nation.agg(F.array_sort(F.collect_list("n_name")).alias("codes")).scalar()
     g = F.col("g")
-    cust = ids.crossJoin(F.broadcast(codes)).select(
+    cust = ids.select(
         g.alias("id"), F.concat(F.lit("customer"), g.cast("string"), F.lit("@example.com")).alias("email"),
         pick(g, FIRST_NAMES).alias("first_name"), pick(F.floor(g / 20), LAST_NAMES).alias("last_name"),
-        F.element_at("codes", (1 + g % F.size("codes")).cast("int")).alias("country_code"),
+        F.element_at(codes, (1 + g % F.size(codes)).cast("int")).alias("country_code"),
         F.when(g % 97 == 0, "closed").when(g % 53 == 0, "suspended").otherwise("active").alias("status"),
         (g % 3 == 0).alias("marketing_opt_in"))
     c = F.col("id")
@@ -189,31 +197,53 @@ def q_wishlist_insert_ignore(spark, d):
 
 
 def build_carts(keys: DataFrame, customers: DataFrame, products: DataFrame, as_of: str, seed: int = 42):
-    """Carts (20% guests, six-way status mix) with 1-4 skewed items each."""
+    """Carts (20% guests, six-way status mix) created up to 60 days back (whole
+    microseconds), with 1-4 skewed items each (B04, B03); a product drawn twice for one cart
+    is inserted once, the first draw winning (B07 insert-ignore)."""
     cb = customers.agg(F.min("id").alias("c_lo"), F.count(F.lit(1)).alias("c_n"))
     pb = products.agg(F.min("id").alias("p_lo"), F.count(F.lit(1)).alias("p_n"))
+    c_lo, c_n = cb.select("c_lo").scalar(), cb.select("c_n").scalar()   # scalar subqueries (J05)
+    p_lo, p_n = pb.select("p_lo").scalar(), pb.select("p_n").scalar()
     g = F.col("g")
-    created = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(
-        secs=(uniform(seed, 40, g) * 60 * 86400).cast("decimal(18,6)"))
-    carts = keys.crossJoin(F.broadcast(cb)).select(
+    micros = F.floor(uniform(seed, 40, g) * (60 * 86400 * 1_000_000.0)).cast("decimal(18,0)")
+    created = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(secs=(micros / 1_000_000).cast("decimal(18,6)"))
+    carts = keys.select(
         g.alias("id"),
-        F.when(uniform(seed, 41, g) < 0.8, F.col("c_lo") + F.floor(uniform(seed, 42, g) * F.col("c_n")))
-        .cast("bigint").alias("customer_id"),
+        F.when(uniform(seed, 41, g) < 0.8, c_lo + F.floor(uniform(seed, 42, g) * c_n)).cast("bigint").alias("customer_id"),
         pick(F.floor(uniform(seed, 43, g) * 6), CART_STATUSES).alias("status"), created.alias("created_at"))
     items = (fan_out(carts.select(F.col("id").alias("cart_id"), "created_at"),
                      1 + F.floor(uniform(seed, 44, "cart_id") * 4), "item")
-             .crossJoin(F.broadcast(pb))
-             .select("cart_id", skewed_key(uniform(seed, 45, "cart_id", "item"), F.col("p_lo"), F.col("p_n"), 2.0)
+             .select("cart_id", "item", skewed_key(uniform(seed, 45, "cart_id", "item"), p_lo, p_n, 2.0)
                      .alias("product_id"), (1 + F.floor(uniform(seed, 46, "cart_id", "item") * 3)).cast("int")
                      .alias("quantity"), F.col("created_at").alias("added_at")))
-    return carts, insert_ignore(items.filter(F.lit(False)), items, ["cart_id", "product_id"], ["added_at"])
+    kept = insert_ignore(items.filter(F.lit(False)), items, ["cart_id", "product_id"], ["added_at", "item"])
+    return carts, kept.drop("item")
 
 
-@register("carts_build")
+def _carts_sql(seed: int = 42) -> str:
+    u = lambda draw, *k: uniform_sql(seed, draw, *k)
+    return f"""pb AS (SELECT min(id) AS lo, count(*) AS n FROM products_v),
+carts AS (SELECT o_orderkey AS id,
+                 TIMESTAMP '{BUILD_CARTS_AS_OF}' - to_microseconds(CAST(floor({u(40, "o_orderkey")} * 5184000000000.0) AS BIGINT))
+                   AS created_at
+          FROM orders),
+it AS (SELECT id AS cart_id, created_at, unnest(generate_series(1, CAST(1 + floor({u(44, "id")} * 4) AS BIGINT))) AS item
+       FROM carts),
+items AS (SELECT cart_id, item, {skewed_key_sql(u(45, "cart_id", "item"), "pb.lo", "pb.n", 2.0)} AS product_id,
+                 CAST(1 + floor({u(46, "cart_id", "item")} * 3) AS INT) AS quantity, created_at AS added_at
+          FROM it, pb)"""
+
+
+BUILD_CARTS_AS_OF = "2024-01-31 00:00:00"
+
+
+@register("carts_build", adapters=("products_v",), oracle=f"""WITH {_carts_sql()}
+SELECT cart_id, product_id, arg_min(quantity, item) AS quantity, arg_min(added_at, item) AS added_at
+FROM items GROUP BY 1, 2""")
 def q_carts_build(spark, d):
     t = Tables(spark, d)
     _, items = build_carts(t.orders.select(F.col("o_orderkey").alias("g")), t.customers_v, t.products_v,
-                           "2024-01-31 00:00:00")
+                           BUILD_CARTS_AS_OF)
     return items
 
 

@@ -100,10 +100,9 @@ SELECT (SELECT count(*) FROM swept WHERE just_abandoned) AS abandoned, (SELECT c
 def q_cart_cleanup_counts(spark, d):
     carts, items = carts_from_events(Tables(spark, d).events, CART_AS_OF)
     _, new_items, counts = cleanup_carts(carts, items, CART_AS_OF)
-    kept = new_items.agg(F.count(F.lit(1)).alias("items_kept"))
-    total = items.agg(F.count(F.lit(1)).alias("_all"))
-    return (counts.crossJoin(kept).crossJoin(total)
-            .select("abandoned", "deleted", (F.col("_all") - F.col("items_kept")).alias("items_deleted"), "items_kept"))
+    kept = new_items.agg(F.count(F.lit(1))).scalar()   # one-row aggregates as scalar subqueries
+    total = items.agg(F.count(F.lit(1))).scalar()
+    return counts.select("abandoned", "deleted", (total - kept).alias("items_deleted"), kept.alias("items_kept"))
 
 
 # ---- M02 restock ----------------------------------------------------------------------------------

@@ -38,8 +38,9 @@ def read_outages(spark: SparkSession, path: str, last: int = 20):
     total = log.agg(F.count(F.lit(1)).alias("outages"), F.round(F.sum("duration_s"), 3).alias("downtime_s"))
     tail = log.orderBy(F.col("end").desc(), F.col("target").desc()).limit(last)
     w = Window.orderBy(F.col("end").desc(), F.col("target").desc())
-    numbered = (tail.withColumn("_r", F.row_number().over(w)).crossJoin(F.broadcast(total.select("outages")))
-                .withColumn("number", (F.col("outages") - F.col("_r") + 1).cast("bigint")).drop("_r", "outages"))
+    outages = total.select("outages").scalar()   # one value: a scalar subquery
+    numbered = (tail.withColumn("_r", F.row_number().over(w))
+                .withColumn("number", (outages - F.col("_r") + 1).cast("bigint")).drop("_r"))
     return numbered, total
 
 

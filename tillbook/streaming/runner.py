@@ -79,8 +79,8 @@ def drain_upsert(stream: DataFrame, name: str, keys: Sequence[str], mode: str =
     if mode == "complete":  # every batch holds the whole result: the last one is the table
         full = T.StructType(list(stream.schema.fields) + [T.StructField("batch", T.LongType())])
         df = spark.read.schema(full).parquet(data)
-        last = df.agg(F.max("batch").alias("_last"))
-        return df.join(F.broadcast(last), F.col("batch") == F.col("_last")).drop("batch", "_last")
+        last = df.agg(F.max("batch")).scalar()   # the newest batch id (scalar subquery)
+        return df.filter(F.col("batch") == last).drop("batch")
     return read_upserts(spark, data, stream.schema, keys)
 
 
