@@ -178,3 +178,91 @@ def test_wallet_stream_equals_sequential_fold(spark):
             expect[r.id] = ("ok", b)
         balances[r.player_id] = b
     assert got == expect
+
+
+def _fold_deposits(rows, limits, declined):
+    """Plain sequential fold of M14: limit first (approved deposits only), then the decline."""
+    used, out = {}, {}
+    for req, player, day, amount in sorted(rows):
+        lim = limits.get(player)
+        before = used.get((player, day), 0)
+        if lim is not None and before + amount > lim:
+            out[req] = "limit_reached"
+        elif req in declined:
+            out[req] = "declined"
+        else:
+            out[req] = "ok"
+            used[(player, day)] = before + amount
+    return out
+
+
+def test_deposits_declined_do_not_consume_the_limit(spark):
+    from datetime import datetime
+
+    from tillbook.functions import uniform
+    from tillbook.plans.book_jobs import decide_deposits
+
+    rng = random.Random(11)
+    rows = [(r, rng.randint(1, 4), rng.randint(1, 3), rng.randint(10, 60)) for r in range(1, 400)]
+    limits = {1: 100, 2: 150, 3: None, 4: 80}
+    req = spark.createDataFrame([(r, r, p, datetime(2024, 1, d, 12), Decimal(a)) for r, p, d, a in rows],
+                                "request_id long, seq long, player_id long, ts timestamp_ntz, amount decimal(14,2)")
+    players = spark.createDataFrame([(p, None if v is None else Decimal(v)) for p, v in limits.items()],
+                                    "id long, daily_deposit_limit decimal(12,2)")
+    got = {r.request_id: r.result for r in decide_deposits(req, players, decline_share=20).collect()}
+    declined = {r.request_id for r in req.select("request_id", (uniform(42, 60, "request_id") < 0.2).alias("d"))
+                .filter("d").collect()}
+    want = _fold_deposits([(r, p, d, a) for r, p, d, a in rows], limits, declined)
+    assert got == want
+    assert {"limit_reached", "declined", "ok"} <= set(got.values())
+
+
+def test_bet_decisions_follow_the_sequential_ladder(spark):
+    from datetime import datetime, timedelta
+
+    from tillbook.plans.book_jobs import decide_bets
+
+    rng = random.Random(5)
+    players = [(1, "active", Decimal(500), None), (2, "active", Decimal(20), Decimal(60)),
+               (3, "suspended", Decimal(500), None), (4, "active", Decimal(500), Decimal(40))]
+    balance = {1: Decimal(120), 2: Decimal(400), 4: Decimal(90)}
+    start = datetime(2024, 1, 10)
+    reqs = []
+    for r in range(1, 160):
+        p = rng.randint(1, 4)
+        ts = start + timedelta(hours=rng.randint(0, 60))
+        reqs.append((r, p, rng.choice([1, 2]), rng.randint(1, 3), Decimal(rng.randint(5, 30)), ts))
+    # match 1 is open, match 2 finished (market suspended); odds seen = current odds, so no odds change
+    from tillbook.functions import implied_odds
+    odds = {r["id"]: r["o"] for r in spark.range(1, 3).select("id", implied_odds("id").alias("o")).collect()}
+    req = spark.createDataFrame([(r, p, m, o, s, odds[m][o - 1], ts) for r, p, m, o, s, ts in reqs],
+                                "request_id long, player_id long, event_id long, outcome int, stake decimal(12,2), "
+                                "seen_odds decimal(7,3), ts timestamp_ntz")
+    pl = spark.createDataFrame(players, "id long, status string, max_stake decimal(12,2), daily_loss_limit decimal(12,2)")
+    matches = spark.createDataFrame([(1, "live"), (2, "finished")], "id long, status string")
+    funds = spark.createDataFrame(list(balance.items()), "player_id long, balance decimal(14,2)")
+    got = {r.request_id: r.result for r in decide_bets(req, pl, matches, funds).collect()}
+
+    info = {p: (st, mx, lim) for p, st, mx, lim in players}
+    spent, spent_day, want = {}, {}, {}
+    for r, p, m, o, s, ts in sorted(reqs, key=lambda x: (x[5], x[0])):
+        st, mx, lim = info[p]
+        bal = balance.get(p, Decimal(0)) - spent.get(p, 0)
+        today = spent_day.get((p, ts.date()), 0)
+        if st != "active":
+            res = "blocked"
+        elif s > mx:
+            res = "limit_reached"
+        elif bal < s:
+            res = "insufficient_funds"
+        elif lim is not None and today + s > lim:
+            res = "limit_reached"
+        elif m == 2:
+            res = "market_suspended"
+        else:
+            res = "ok"
+            spent[p] = spent.get(p, 0) + s
+            spent_day[(p, ts.date())] = today + s
+        want[r] = res
+    assert got == want
+    assert {"blocked", "limit_reached", "insufficient_funds", "market_suspended", "ok"} <= set(got.values())

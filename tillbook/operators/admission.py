@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.operators.windows import running_sum
+from tillbook.operators.windows import sequence_scan
 from tillbook.session import checkpoint_dir
 
 
@@ -52,8 +52,9 @@ def admit(lines: DataFrame, capacity: DataFrame, req: str, seq: str, keys: Seque
                .withColumn("_live", F.coalesce(F.col("accepted"), F.lit(True)))   # accepted or undecided
                .withColumn("_hi_amt", F.when(F.col("_live"), F.col("_amt")).otherwise(0))
                .withColumn("_lo_amt", F.when(F.col("accepted"), F.col("_amt")).otherwise(0)))
-        cur = running_sum(cur, keys, [seq, req], "_hi_amt", "_hi", F.col("_bucket"))
-        cur = running_sum(cur, keys, [seq, req], "_lo_amt", "_lo", F.col("_bucket"))
+        # one segmented scan gives both running sums
+        cur = sequence_scan(cur, keys, [seq, req], F.col("_bucket"), sum_cols=["_hi_amt", "_lo_amt"], prefix_sum="_run")
+        cur = cur.withColumnRenamed("_run_hi_amt", "_hi").withColumnRenamed("_run_lo_amt", "_lo")
         und = cur.filter(F.col("accepted").isNull())
         # running sums are inclusive: subtract the request's own share to get "earlier only".
         hi_before = F.col("_hi") - F.col("_hi_amt")

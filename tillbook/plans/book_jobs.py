@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillbook.functions import SELECTION_NAMES, implied_odds, money, selection_result, stable_uuid, trunc_ts, ts_lit
+from tillbook.functions import (SELECTION_NAMES, implied_odds, money, selection_result, stable_uuid, trunc_ts, ts_lit,
+                                uniform, uniform_sql)
 from tillbook.operators.admission import admit
 from tillbook.operators.joins import anti_join, semi_join
 from tillbook.operators.windows import day_bucket, last_n, running_sum
@@ -334,7 +335,7 @@ def q_signups(spark, d):
 def validate_bets(requests: DataFrame, players: DataFrame, matches: DataFrame) -> DataFrame:
     """M12, stateless part of the refusal ladder, in the reference's order: blocked ->
     limit_reached (stake over the maximum) -> market_suspended -> odds_changed (> 2%) -> ok.
-    Funds and the daily loss limit depend on earlier requests: see ``admit`` (M14)."""
+    Funds and the daily loss limit depend on earlier requests: ``decide_bets`` adds them."""
     p = players.select(F.col("id").alias("player_id"), F.col("status").alias("_pstatus"), "max_stake")
     m = matches.select(F.col("id").alias("event_id"), F.col("status").alias("_mstatus"),
                        implied_odds("id").alias("_odds"))
@@ -378,6 +379,98 @@ def q_bet_validation(spark, d):
     return validate_bets(_bet_requests(t), t.players_v, t.matches_v)
 
 
+def decide_bets(requests: DataFrame, players: DataFrame, matches: DataFrame, funds: DataFrame) -> DataFrame:
+    """M12, the whole refusal ladder in the reference's order: blocked -> limit_reached (stake
+    over the maximum) -> insufficient_funds -> limit_reached (daily loss) -> market_suspended
+    -> odds_changed (> 2%) -> ok, with requests applied one by one per player in (ts, id) order.
+
+    Only a placed bet moves money, so only requests that pass every stateless check can
+    consume: they go through set-based admission on two keys each, the player's funds
+    (``funds``: balance at the start) and the player's day (daily loss limit, when set). Every
+    request's reason then reads the stakes placed before it (segmented running sums)."""
+    p = players.select(F.col("id").alias("player_id"), F.col("status").alias("_pstatus"), "max_stake",
+                       F.col("daily_loss_limit").alias("_loss_limit"))
+    m = matches.select(F.col("id").alias("event_id"), F.col("status").alias("_mstatus"),
+                       implied_odds("id").alias("_odds"))
+    f = funds.select("player_id", F.col("balance").alias("_balance"))
+    current = F.element_at("_odds", F.col("outcome"))
+    pre = (F.when(F.col("_pstatus").isNull() | (F.col("_pstatus") != "active"), "blocked")
+           .when(F.col("stake") > F.col("max_stake"), "limit_reached"))
+    post = (F.when(~F.coalesce(F.col("_mstatus").isin("scheduled", "live"), F.lit(False)), "market_suspended")
+            .when(F.abs(current - F.col("seen_odds")) > F.col("seen_odds") * F.lit(0.02).cast("decimal(3,2)"),
+                  "odds_changed"))
+    r = (requests.join(p, "player_id", "left").join(m, "event_id", "left").join(f, "player_id", "left")
+         .select("request_id", "player_id", "event_id", "stake", "seen_odds", current.alias("current_odds"),
+                 F.unix_micros(F.col("ts").cast("timestamp")).alias("_seq"), F.to_date("ts").alias("day"),
+                 F.coalesce("_balance", F.lit(0)).alias("_balance"), "_loss_limit", pre.alias("_pre"),
+                 post.alias("_post")))
+    cand = r.filter(F.col("_pre").isNull() & F.col("_post").isNull())
+    lines = cand.select("request_id", "_seq", "player_id", F.lit("funds").alias("_k"), F.col("stake").alias("amount")) \
+        .unionByName(cand.filter(F.col("_loss_limit").isNotNull())
+                     .select("request_id", "_seq", "player_id", F.col("day").cast("string").alias("_k"),
+                             F.col("stake").alias("amount")))
+    caps = (cand.groupBy("player_id").agg(F.first("_balance").alias("cap")).withColumn("_k", F.lit("funds"))
+            .unionByName(cand.filter(F.col("_loss_limit").isNotNull())
+                         .groupBy("player_id", F.col("day").cast("string").alias("_k"))
+                         .agg(F.first("_loss_limit").alias("cap"))))
+    dec = admit(lines, caps, "request_id", "_seq", ["player_id", "_k"], "amount", bucket_rows=86_400_000_000)
+    zero = F.lit(0).cast("decimal(12,2)")
+    r = (r.join(dec.select("request_id", "accepted"), "request_id", "left")
+         .withColumn("_take", F.when(F.col("accepted"), F.col("stake")).otherwise(zero)))
+    r = _used_before(r, ["player_id"], "_take", "_spent")
+    r = _used_before(r, ["player_id", "day"], "_take", "_spent_today")
+    result = (F.when(F.col("_pre").isNotNull(), F.col("_pre"))
+              .when(F.col("_balance") - F.col("_spent") < F.col("stake"), "insufficient_funds")
+              .when(F.col("_loss_limit").isNotNull() & (F.col("_spent_today") + F.col("stake") > F.col("_loss_limit")),
+                    "limit_reached")
+              .when(F.col("_post").isNotNull(), F.col("_post")).otherwise("ok"))
+    return r.select("request_id", "player_id", "event_id", "stake", "current_odds", result.alias("result"))
+
+
+def _bet_result_sql(ub: str, udb: str) -> str:
+    return (f"CASE WHEN j.pre IS NOT NULL THEN j.pre WHEN j.balance - ({ub}) < j.stake THEN 'insufficient_funds' "
+            f"WHEN j.lim IS NOT NULL AND ({udb}) + j.stake > j.lim THEN 'limit_reached' "
+            f"WHEN j.post IS NOT NULL THEN j.post ELSE 'ok' END")
+
+
+_TAKE = "CASE WHEN w.result = 'ok' THEN w.stake ELSE 0 END"
+
+
+@register("bet_decisions", adapters=("players_v", "matches_v", "money_events_v"), oracle="WITH RECURSIVE "
+          + _SEL_SQL.removeprefix("WITH ") + f""",
+req AS (SELECT event_id AS request_id, user_id AS player_id, event_id % 200 AS match_id, CAST(1 + event_id % 3 AS INT) AS outcome,
+               CAST(value AS DECIMAL(12,2)) AS stake, event_id, ts FROM events WHERE event_type = 'purchase'),
+r2 AS (SELECT r.*, s.odds AS current_odds,
+              CAST(s.odds * CAST(97 + r.event_id % 7 AS DECIMAL(5,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(7,3)) AS seen_odds
+       FROM req r LEFT JOIN sel s ON s.selection_id = r.match_id * 7 + r.outcome),
+funds AS (SELECT player_id, sum(amount) AS balance FROM money_events_v WHERE type = 'deposit' GROUP BY 1),
+j AS (SELECT r2.request_id, r2.player_id, r2.match_id, r2.stake, r2.current_odds, coalesce(f.balance, 0) AS balance,
+             p.daily_loss_limit AS lim, CAST(r2.ts AS DATE) AS day,
+             CASE WHEN p.status IS NULL OR p.status <> 'active' THEN 'blocked'
+                  WHEN r2.stake > p.max_stake THEN 'limit_reached' END AS pre,
+             CASE WHEN NOT coalesce(m.status IN ('scheduled', 'live'), false) THEN 'market_suspended'
+                  WHEN abs(r2.current_odds - r2.seen_odds) > r2.seen_odds * 0.02 THEN 'odds_changed' END AS post,
+             row_number() OVER (PARTITION BY r2.player_id ORDER BY r2.ts, r2.request_id) AS rn
+      FROM r2 LEFT JOIN players_v p ON p.id = r2.player_id LEFT JOIN matches_v m ON m.id = r2.match_id
+      LEFT JOIN funds f ON f.player_id = r2.player_id),
+walk AS (
+  SELECT j.player_id, j.rn, j.day, j.stake, CAST(0 AS DECIMAL(38,2)) AS spent, CAST(0 AS DECIMAL(38,2)) AS spent_today,
+         {_bet_result_sql("0", "0")} AS result
+  FROM j WHERE j.rn = 1
+  UNION ALL
+  SELECT j.player_id, j.rn, j.day, j.stake, CAST(w.spent + {_TAKE} AS DECIMAL(38,2)),
+         CAST(CASE WHEN j.day = w.day THEN w.spent_today + {_TAKE} ELSE 0 END AS DECIMAL(38,2)),
+         {_bet_result_sql("w.spent + " + _TAKE, "CASE WHEN j.day = w.day THEN w.spent_today + " + _TAKE + " ELSE 0 END")}
+  FROM walk w JOIN j ON j.player_id = w.player_id AND j.rn = w.rn + 1)
+SELECT j.request_id, j.player_id, j.match_id AS event_id, j.stake, j.current_odds, w.result
+FROM j JOIN walk w ON w.player_id = j.player_id AND w.rn = j.rn""")
+def q_bet_decisions(spark, d):
+    t = Tables(spark, d)
+    funds = (t.money_events_v.filter(F.col("type") == "deposit").groupBy("player_id")
+             .agg(F.sum("amount").alias("balance")))
+    return decide_bets(_bet_requests(t), t.players_v, t.matches_v, funds)
+
+
 def cashout_quotes(bets: DataFrame, legs: DataFrame, matches: DataFrame) -> DataFrame:
     """Open singles on live matches: ``stake x placed / current x 0.95``, cents half-even."""
     singles = bets.filter((F.col("status") == "open") & (F.col("legs") == 1)).select(
@@ -411,22 +504,52 @@ def q_cashout_quotes(spark, d):
     return cashout_quotes(_bets_final(t), t.legs_v, t.matches_v)
 
 
-def decide_deposits(requests: DataFrame, players: DataFrame, decline_share: int = 5) -> DataFrame:
-    """Deposits in request order against each player's daily deposit limit (admission:
-    a refused deposit does not count), then a provider decline for ``decline_share`` %."""
-    lim = players.select(F.col("id").alias("player_id"), "daily_deposit_limit")
-    lines = (requests.join(lim, "player_id", "left")
-             .select("request_id", "seq", "player_id", F.to_date("ts").alias("day"), "amount"))
-    caps = (lines.select("player_id", "day").distinct().join(lim, "player_id", "left")
-            .select("player_id", "day", F.coalesce(F.col("daily_deposit_limit"), F.lit(10 ** 12).cast("decimal(18,2)"))
-                    .alias("cap")))
-    dec = admit(lines, caps, "request_id", "seq", ["player_id", "day"], "amount")
-    declined = F.pmod(F.xxhash64("request_id"), F.lit(100)) < decline_share
-    return dec.select("request_id", F.when(~F.col("accepted"), "limit_reached").when(declined, "declined")
-                      .otherwise("ok").alias("result"))
-
-
-@register("deposit_decisions")
+def _used_before(rows: DataFrame, keys: list[str], take: str, out: str) -> DataFrame:
+    """Accepted amount of earlier requests per key (requests ordered by ``_seq, request_id``);
+    a segmented running sum, so a hot key is split by sequence buckets."""
+    bucket = F.floor(F.col("_seq") / F.lit(3_600_000_000)).cast("long")
+    r = running_sum(rows, keys, ["_seq", "request_id"], take, "_run", bucket)
+    return r.withColumn(out, F.col("_run") - F.col(take)).drop("_run")
+
+
+def decide_deposits(requests: DataFrame, players: DataFrame, decline_share: int = 5, seed: int = 42) -> DataFrame:
+    """Deposits in request order against each player's daily deposit limit; the
+    provider then declines ``decline_share`` % (a hashed draw per request).
+
+    Only approved deposits count toward the limit, so a declined one consumes nothing: the
+    requests that can be approved (not declined, limited player) go through set-based
+    admission per (player, day); every request's verdict then reads the approved amount
+    before it (``limit_reached`` wins over ``declined``, as the limit is checked first)."""
+    lim = players.select(F.col("id").alias("player_id"), F.col("daily_deposit_limit").alias("_limit"))
+    r = (requests.join(lim, "player_id", "left")
+         .select("request_id", F.col("seq").alias("_seq"), "player_id", F.to_date("ts").alias("day"), "amount",
+                 "_limit", (uniform(seed, 60, "request_id") < decline_share / 100).alias("_declined")))
+    lines = r.filter(~F.col("_declined") & F.col("_limit").isNotNull())
+    caps = lines.groupBy("player_id", "day").agg(F.first("_limit").alias("cap"))
+    dec = admit(lines, caps, "request_id", "_seq", ["player_id", "day"], "amount")
+    r = (r.join(dec.select("request_id", "accepted"), "request_id", "left")
+         .withColumn("_take", F.when(F.col("accepted"), F.col("amount")).otherwise(F.lit(0).cast("decimal(14,2)"))))
+    r = _used_before(r, ["player_id", "day"], "_take", "_used")
+    over = F.col("_limit").isNotNull() & (F.col("_used") + F.col("amount") > F.col("_limit"))
+    return r.select("request_id", F.when(over, "limit_reached").when(F.col("_declined"), "declined")
+                    .otherwise("ok").alias("result"))
+
+
+@register("deposit_decisions", adapters=("money_events_v", "players_v"), oracle=f"""WITH RECURSIVE j AS (SELECT d.id AS request_id, d.player_id, CAST(d.created_at AS DATE) AS day, d.amount, p.daily_deposit_limit AS lim,
+             {uniform_sql(42, 60, "d.id")} < 0.05e0 AS declined,
+             row_number() OVER (PARTITION BY d.player_id, CAST(d.created_at AS DATE) ORDER BY d.id) AS rn
+      FROM money_events_v d LEFT JOIN players_v p ON p.id = d.player_id WHERE d.type = 'deposit'),
+walk AS (
+  SELECT player_id, day, rn, amount, CAST(0 AS DECIMAL(38,2)) AS used,
+         CASE WHEN lim IS NOT NULL AND amount > lim THEN 'limit_reached' WHEN declined THEN 'declined' ELSE 'ok' END AS result
+  FROM j WHERE rn = 1
+  UNION ALL
+  SELECT j.player_id, j.day, j.rn, j.amount,
+         CAST(w.used + CASE WHEN w.result = 'ok' THEN w.amount ELSE 0 END AS DECIMAL(38,2)),
+         CASE WHEN j.lim IS NOT NULL AND w.used + CASE WHEN w.result = 'ok' THEN w.amount ELSE 0 END + j.amount > j.lim
+              THEN 'limit_reached' WHEN j.declined THEN 'declined' ELSE 'ok' END
+  FROM walk w JOIN j ON j.player_id = w.player_id AND j.day = w.day AND j.rn = w.rn + 1)
+SELECT j.request_id, w.result FROM j JOIN walk w ON w.player_id = j.player_id AND w.day = j.day AND w.rn = j.rn""")
 def q_deposit_decisions(spark, d):
     t = Tables(spark, d)
     req = t.money_events_v.filter(F.col("type") == "deposit").select(
