@@ -200,19 +200,34 @@ def q_orders_evolved(spark, d):
     return S.evolve(both, {"channel": F.lit("web")}).select("id", "status", "channel")
 
 
-@register("regulatory_snapshot", adapters=("bets_v", "legs_v", "matches_v", "players_v", "money_events_v"))
+_SNAPSHOT_STEPS = {"ggr": "ggr_daily", "turnover": "competition_turnover", "self_excluded": "self_excluded_bets",
+                   "deposits": "large_deposits", "liability": "open_liability"}
+
+
+def _snapshot_oracle() -> str:
+    """Rows per step, each step being the oracle of its single run (the snapshot must not change them)."""
+    from tillbook.plans import sportsbook  # noqa: F401  (registers the single runs and their oracles)
+    from tillbook.plans.registry import ORACLES
+
+    return "\nUNION ALL\n".join(f"SELECT '{step}' AS step, count(*) AS rows FROM (\n{ORACLES[name]}\n) q_{step}"
+                                 for step, name in _SNAPSHOT_STEPS.items())
+
+
+@register("regulatory_snapshot", oracle=_snapshot_oracle())
 def q_regulatory_snapshot(spark, d):
-    """The regulatory report's steps over one snapshot: rows per step."""
+    """The regulatory report's steps over one snapshot (each input materialised once and
+    shared by every step): rows per step, equal to the single runs of the same reports."""
     from tillbook.plans import sportsbook as B
+    from tillbook.session import ORDERS_AS_OF
 
     t = Tables(spark, d)
     snap_inputs = {"bets": B.finalise_bets(t.bets_v, t.legs_v, t.matches_v), "players": t.players_v,
                    "legs": t.legs_v, "matches": t.matches_v, "ledger": t.money_events_v}
     steps = {
-        "ggr": lambda s: B.ggr_daily(s["bets"], s["players"], "2001-08-02 00:00:00"),
-        "turnover": lambda s: B.competition_turnover(s["legs"], s["bets"], s["matches"], "2001-08-02 00:00:00"),
-        "self_excluded": lambda s: B.self_excluded_bets(s["players"], s["bets"], "2001-08-02 00:00:00"),
-        "deposits": lambda s: B.large_deposits(s["ledger"], EVENTS_AS_OF),
+        "ggr": lambda s: B.ggr_daily(s["bets"], s["players"], ORDERS_AS_OF),
+        "turnover": lambda s: B.competition_turnover(s["legs"], s["bets"], s["matches"], ORDERS_AS_OF, days=90),
+        "self_excluded": lambda s: B.self_excluded_bets(s["players"], s["bets"], ORDERS_AS_OF, days=365),
+        "deposits": lambda s: B.large_deposits(s["ledger"], EVENTS_AS_OF, limit=200, days=10),
         "liability": lambda s: B.open_liability(s["bets"], s["legs"]),
     }
     out = S.with_snapshot(snap_inputs, steps)

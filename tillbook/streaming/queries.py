@@ -473,7 +473,20 @@ def wallet_stream(ledger: DataFrame) -> DataFrame:
                                                          GroupStateTimeout.NoTimeout)
 
 
-@register("stream_wallets")
+@register("stream_wallets", adapters=("money_events_v",), oracle="""WITH RECURSIVE j AS (
+  SELECT id, player_id, type, amount, row_number() OVER (PARTITION BY player_id ORDER BY created_at, id) AS rn
+  FROM money_events_v WHERE account = 'cash'),
+walk AS (
+  SELECT id, player_id, rn, type, amount, CASE WHEN amount < 0 THEN 'insufficient_funds' ELSE 'ok' END AS result,
+         CAST(CASE WHEN amount < 0 THEN 0 ELSE amount END AS DECIMAL(14,2)) AS balance_after
+  FROM j WHERE rn = 1
+  UNION ALL
+  SELECT j.id, j.player_id, j.rn, j.type, j.amount,
+         CASE WHEN j.amount < 0 AND w.balance_after + j.amount < 0 THEN 'insufficient_funds' ELSE 'ok' END,
+         CAST(CASE WHEN j.amount < 0 AND w.balance_after + j.amount < 0 THEN w.balance_after
+                   ELSE w.balance_after + j.amount END AS DECIMAL(14,2))
+  FROM walk w JOIN j ON j.player_id = w.player_id AND j.rn = w.rn + 1)
+SELECT id, player_id, type, amount, result, balance_after FROM walk""")
 def q_stream_wallets(spark, d):
     return drain_append(wallet_stream(money_events_v(stream_table(spark, d, "events"))), "wallets")
 
