@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillbook.operators.windows import sequence_scan
@@ -44,10 +44,7 @@ def admit(lines: DataFrame, capacity: DataFrame, req: str, seq: str, keys: Seque
             .checkpoint())
     schema = f"{req} {dict(base.dtypes)[req]}, accepted boolean, round int"
     decided = lines.sparkSession.createDataFrame([], schema)
-    remaining = base.select(req).distinct().count()
     for rnd in range(1, max_rounds + 1):
-        if remaining == 0:
-            break
         cur = (base.join(decided.select(req, "accepted"), req, "left")
                .withColumn("_live", F.coalesce(F.col("accepted"), F.lit(True)))   # accepted or undecided
                .withColumn("_hi_amt", F.when(F.col("_live"), F.col("_amt")).otherwise(0))
@@ -59,16 +56,23 @@ def admit(lines: DataFrame, capacity: DataFrame, req: str, seq: str, keys: Seque
         # running sums are inclusive: subtract the request's own share to get "earlier only".
         hi_before = F.col("_hi") - F.col("_hi_amt")
         lo_before = F.col("_lo") - F.col("_lo_amt")
+        # both counts are observed metrics of the round's checkpoint job: no extra jobs
+        left, got = Observation(), Observation()
         verdict = (und.groupBy(req)
                    .agg(F.bool_and(hi_before + F.col("_amt") <= F.col("cap")).alias("_sure_ok"),
-                        F.bool_or(lo_before + F.col("_amt") > F.col("cap")).alias("_sure_bad")))
+                        F.bool_or(lo_before + F.col("_amt") > F.col("cap")).alias("_sure_bad"))
+                   .observe(left, F.count(F.lit(1)).alias("n")))
         new = (verdict.filter(F.col("_sure_ok") | F.col("_sure_bad"))
-               .select(req, F.col("_sure_ok").alias("accepted"), F.lit(rnd).alias("round"))).checkpoint()
-        n_new = new.count()
+               .select(req, F.col("_sure_ok").alias("accepted"), F.lit(rnd).alias("round")))
+        new = new.observe(got, F.count(F.lit(1)).alias("n")).checkpoint()
+        n_new, undecided = got.get["n"], left.get["n"]
+        if undecided == 0:
+            break
         if n_new == 0:  # cannot happen (the earliest undecided request is always decided)
             raise RuntimeError("admission made no progress")
         decided = decided.unionByName(new)
-        remaining -= n_new
+        if n_new == undecided:
+            break
     return decided
 
 
