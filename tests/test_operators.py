@@ -266,3 +266,17 @@ def test_bet_decisions_follow_the_sequential_ladder(spark):
         want[r] = res
     assert got == want
     assert {"blocked", "limit_reached", "insufficient_funds", "market_suspended", "ok"} <= set(got.values())
+
+
+def test_period_rules_overlaps_across_day_segments(spark):
+    from datetime import datetime as dt
+
+    from tillbook.operators.quality import period_rules
+
+    rows = [(1, dt(2024, 1, 1), dt(2024, 1, 5)), (1, dt(2024, 1, 3), dt(2024, 1, 10)),   # overlap across days
+            (1, dt(2024, 1, 10), None), (1, dt(2024, 1, 20), None),                      # open period overlaps next
+            (2, dt(2024, 1, 1), dt(2024, 1, 2)), (2, dt(2024, 1, 2), dt(2024, 1, 2)),    # end not after start
+            (2, dt(2024, 1, 2, 12), dt(2024, 1, 3))]
+    df = spark.createDataFrame(rows, "product_id long, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    r = period_rules(df, "product_id").collect()[0]
+    assert (r.bad_periods, r.overlaps) == (1, 2)

@@ -116,17 +116,6 @@ def to_periods(df: DataFrame, keys: Sequence[str], start: str, order: Sequence[s
     return res.withColumnRenamed(f"_next_{start}", end)
 
 
-def rolling_sum(df: DataFrame, keys: Sequence[str], ts: str, value: str, seconds: int, out: str) -> DataFrame:
-    """Sum over the trailing ``seconds`` (RANGE frame on epoch microseconds, both ends included).
-
-    A RANGE frame needs the whole key in one ordered partition; for a key that may hold a
-    large share of the rows use ``rolling_sum_segmented``.
-    """
-    secs = F.unix_micros(F.col(ts).cast("timestamp"))
-    w = Window.partitionBy(*keys).orderBy(secs).rangeBetween(-seconds * 1_000_000, 0)
-    return df.withColumn(out, F.sum(value).over(w))
-
-
 def day_bucket(ts: str) -> Column:
     """Numeric day bucket (epoch days) for the segmented scans."""
     return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(86_400_000_000)).cast("long")
@@ -134,7 +123,8 @@ def day_bucket(ts: str) -> Column:
 
 def rolling_sum_segmented(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, seconds: int,
                           out: str) -> DataFrame:
-    """W09 without a per-key partition: ``sum over (t - seconds, t]`` as a difference of prefixes.
+    """W09 without a per-key partition (a RANGE frame would need a whole key in one ordered
+    partition): ``sum over (t - seconds, t]`` as a difference of prefixes.
 
     prefix(t) = running sum through the last row at ``t`` (peers included, as a RANGE frame);
     the window sum is ``prefix(t) - prefix(just before t - seconds)``. Both prefixes come from
