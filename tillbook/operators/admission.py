@@ -34,19 +34,24 @@ def admit(lines: DataFrame, capacity: DataFrame, req: str, seq: str, keys: Seque
 
     ``lines``: one row per (request, key) with its ``seq`` (total order of requests) and
     ``amount``. ``capacity``: one row per key with ``cap``; keys without a row have no room.
+
+    Each round works on the *active* lines only: the lines of keys that still hold an
+    undecided request, with the verdicts found so far. A key whose requests are all decided
+    cannot change anybody's running sums any more, so it leaves the state, and late rounds
+    touch only the contended keys.
     """
     keys = list(keys)
     checkpoint_dir(lines.sparkSession)
-    base = (lines.groupBy(req, seq, *keys).agg(F.sum(amount).alias("_amt"))
-            .join(capacity.select(*keys, F.col("cap")), keys, "left")
-            .withColumn("cap", F.coalesce(F.col("cap"), F.lit(0)))
-            .withColumn("_bucket", F.floor(F.col(seq) / F.lit(bucket_rows)).cast("long"))
-            .checkpoint())
-    schema = f"{req} {dict(base.dtypes)[req]}, accepted boolean, round int"
+    state = (lines.groupBy(req, seq, *keys).agg(F.sum(amount).alias("_amt"))
+             .join(capacity.select(*keys, F.col("cap")), keys, "left")
+             .withColumn("cap", F.coalesce(F.col("cap"), F.lit(0)))
+             .withColumn("_bucket", F.floor(F.col(seq) / F.lit(bucket_rows)).cast("long"))
+             .withColumn("accepted", F.lit(None).cast("boolean"))
+             .checkpoint())
+    schema = f"{req} {dict(state.dtypes)[req]}, accepted boolean, round int"
     decided = lines.sparkSession.createDataFrame([], schema)
     for rnd in range(1, max_rounds + 1):
-        cur = (base.join(decided.select(req, "accepted"), req, "left")
-               .withColumn("_live", F.coalesce(F.col("accepted"), F.lit(True)))   # accepted or undecided
+        cur = (state.withColumn("_live", F.coalesce(F.col("accepted"), F.lit(True)))   # accepted or undecided
                .withColumn("_hi_amt", F.when(F.col("_live"), F.col("_amt")).otherwise(0))
                .withColumn("_lo_amt", F.when(F.col("accepted"), F.col("_amt")).otherwise(0)))
         # one segmented scan gives both running sums
@@ -73,6 +78,10 @@ def admit(lines: DataFrame, capacity: DataFrame, req: str, seq: str, keys: Seque
         decided = decided.unionByName(new)
         if n_new == undecided:
             break
+        upd = (state.join(new.select(req, F.col("accepted").alias("_new")), req, "left")
+               .withColumn("accepted", F.coalesce(F.col("accepted"), F.col("_new"))).drop("_new"))
+        active = upd.filter(F.col("accepted").isNull()).select(*keys).distinct()
+        state = upd.join(active, keys, "left_semi").checkpoint()
     return decided
 
 
