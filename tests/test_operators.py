@@ -280,3 +280,22 @@ def test_period_rules_overlaps_across_day_segments(spark):
     df = spark.createDataFrame(rows, "product_id long, valid_from timestamp_ntz, valid_to timestamp_ntz")
     r = period_rules(df, "product_id").collect()[0]
     assert (r.bad_periods, r.overlaps) == (1, 2)
+
+
+def test_rolling_sum_matches_brute_force_across_buckets(spark):
+    from datetime import datetime, timedelta
+
+    from tillbook.operators.windows import rolling_sum_segmented
+
+    rng = random.Random(3)
+    start = datetime(2024, 1, 1)
+    rows = []
+    for i in range(300):
+        key = 1 if i % 4 else 2                                   # key 1 is hot
+        secs = rng.choice([0, 86400, 2 * 86400, rng.randint(0, 5 * 86400)])   # exact bucket edges and ties
+        rows.append((i, key, start + timedelta(seconds=secs), rng.randint(1, 9)))
+    df = spark.createDataFrame(rows, "id long, k long, ts timestamp_ntz, v long")
+    got = {r.id: r.s for r in rolling_sum_segmented(df, ["k"], "ts", "v", 86400, "s").collect()}
+    want = {i: sum(v2 for _, k2, t2, v2 in rows if k2 == k and t - timedelta(days=1) <= t2 <= t)
+            for i, k, t, _ in rows}
+    assert got == want

@@ -121,24 +121,21 @@ def day_bucket(ts: str) -> Column:
     return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(86_400_000_000)).cast("long")
 
 
-def rolling_sum_segmented(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, seconds: int,
+def rolling_sum_segmented(df: DataFrame, keys: Sequence[str], ts: str, value: str, seconds: int,
                           out: str) -> DataFrame:
-    """W09 without a per-key partition (a RANGE frame would need a whole key in one ordered
-    partition): ``sum over (t - seconds, t]`` as a difference of prefixes.
+    """``sum(value)`` over ``[t - seconds, t]`` per key (a RANGE frame, peers included),
+    without putting a whole key in one ordered partition.
 
-    prefix(t) = running sum through the last row at ``t`` (peers included, as a RANGE frame);
-    the window sum is ``prefix(t) - prefix(just before t - seconds)``. Both prefixes come from
-    the segmented running sum and two segmented as-of lookups, so a hot key is split by day.
+    Time is cut into buckets as wide as the window. A row's window then lies inside its own
+    bucket and the previous one. So every row is also copied once into the next bucket as
+    context, and a RANGE frame runs per (key, bucket). This is one shuffle and exact, it
+    doubles the rows at most, and a hot key is split into one task per bucket.
     """
-    from tillbook.operators.joins import asof_join
-
     keys = list(keys)
-    run = running_sum(df.select(*keys, ts, tie, value), keys, [ts, tie], value, "_prefix", day_bucket(ts))
-    right = run.select(*keys, F.col(ts).alias("_rt"), F.col(tie).alias("_rid"), "_prefix")
-    probe = (df.withColumn("_hi", F.col(ts))
-             .withColumn("_lo", F.col(ts) - F.make_dt_interval(secs=F.lit(seconds) + F.lit(0.000001))))
-    a = asof_join(probe, right, keys, "_hi", "_rt", ["_prefix"], right_order=["_rid"])
-    a = a.withColumnRenamed("_prefix", "_p_hi")
-    b = asof_join(a, right, keys, "_lo", "_rt", ["_prefix"], right_order=["_rid"])
-    return (b.withColumn(out, F.col("_p_hi") - F.coalesce(F.col("_prefix"), F.lit(0)))
-            .drop("_hi", "_lo", "_p_hi", "_prefix"))
+    span = seconds * 1_000_000
+    d = df.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
+    d = d.withColumn("_b", F.floor(F.col("_t") / F.lit(span)).cast("long")).withColumn("_probe", F.lit(True))
+    ctx = d.select(*keys, "_t", (F.col("_b") + 1).alias("_b"), value, F.lit(False).alias("_probe"))
+    w = Window.partitionBy(*keys, "_b").orderBy("_t").rangeBetween(-span, 0)
+    return (d.unionByName(ctx, allowMissingColumns=True).withColumn(out, F.sum(value).over(w))
+            .filter(F.col("_probe")).drop("_t", "_b", "_probe"))

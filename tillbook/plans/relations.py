@@ -173,7 +173,7 @@ FROM money_events_v WHERE type = 'deposit'""")
 def q_rolling_deposits_24h(spark, d):
     m = Tables(spark, d).money_events_v.filter(F.col("type") == "deposit").select("id", "player_id", "created_at",
                                                                                 "amount")
-    r = rolling_sum_segmented(m, ["player_id"], "created_at", "id", "amount", 24 * 3600, "deposits_24h")
+    r = rolling_sum_segmented(m, ["player_id"], "created_at", "amount", 24 * 3600, "deposits_24h")
     return r.withColumn("deposits_24h", F.col("deposits_24h").cast("decimal(38,2)"))
 
 
