@@ -656,3 +656,87 @@ SELECT player_id, id, rn FROM (SELECT b.player_id, b.id,
        FROM bets_v b WHERE b.id IN (SELECT bet_id FROM legs_v)) WHERE rn <= 20""")
 def q_bet_history(spark, d):
     return bet_history(_bets_final(Tables(spark, d))).select("player_id", "id", "rn")
+
+
+def event_pages(matches: DataFrame, teams: DataFrame) -> DataFrame:
+    """M22 event page of every match: competition, both team names, score, and every market's
+    selections with their odds (the page's two statements joined on the match)."""
+    from tillbook.plans.relations import with_teams
+
+    hdr = with_teams(matches.select("id", "competition_id", "status", "home_score", "away_score",
+                                    (F.col("id") % 25).cast("int").alias("home_team_id"),
+                                    ((F.col("id") + 1 + F.col("id") % 24) % 25).cast("int").alias("away_team_id")),
+                     teams)
+    sel = build_selections(matches).select("event_id", "selection_id", "market", "name", "odds")
+    return hdr.join(sel, F.col("event_id") == F.col("id")).select(
+        "event_id", "competition_id", "status", "home_score", "away_score", "home_team", "away_team",
+        "selection_id", "market", "name", "odds")
+
+
+@register("event_pages", adapters=("matches_v",), oracle=_SEL_SQL + """,
+hdr AS (SELECT m.id, m.competition_id, m.status, m.home_score, m.away_score, h.n_name AS home_team, a.n_name AS away_team
+        FROM matches_v m JOIN nation h ON h.n_nationkey = m.id % 25 JOIN nation a ON a.n_nationkey = (m.id + 1 + m.id % 24) % 25)
+SELECT hdr.id AS event_id, hdr.competition_id, hdr.status, hdr.home_score, hdr.away_score, hdr.home_team, hdr.away_team,
+       s.selection_id, s.market, s.name, s.odds
+FROM hdr JOIN sel s ON s.event_id = hdr.id""")
+def q_event_pages(spark, d):
+    t = Tables(spark, d)
+    return event_pages(t.matches_v, t.nation)
+
+
+def wallet_pages(ledger: DataFrame, n: int = 20) -> DataFrame:
+    """M22 wallet page of every player: cash and bonus balance, and the last ``n`` ledger rows
+    with the balance after each (W03 segmented running sum, W05 last-n with a partial
+    WindowGroupLimit before the shuffle)."""
+    run = running_sum(ledger, ["player_id", "account"], ["created_at", "id"], "amount", "balance_after",
+                      day_bucket("created_at"))
+    last = last_n(run, ["player_id"], [F.col("created_at").desc(), F.col("id").desc()], n)
+    wallet = ledger.groupBy("player_id").agg(
+        F.sum(F.when(F.col("account") == "cash", F.col("amount")).otherwise(0)).cast("decimal(38,2)").alias("balance"),
+        F.sum(F.when(F.col("account") == "bonus", F.col("amount")).otherwise(0)).cast("decimal(38,2)")
+        .alias("bonus_balance"))
+    return last.join(wallet, "player_id").select(
+        "player_id", "balance", "bonus_balance", "id", "type", "account", "amount",
+        F.col("balance_after").cast("decimal(38,2)").alias("balance_after"), "created_at",
+        F.col("rn").cast("bigint").alias("rn"))
+
+
+@register("wallet_pages", adapters=("money_events_v",), oracle="""
+WITH r AS (SELECT *, CAST(sum(amount) OVER (PARTITION BY player_id, account ORDER BY created_at, id ROWS UNBOUNDED PRECEDING)
+                          AS DECIMAL(38,2)) AS balance_after,
+                  row_number() OVER (PARTITION BY player_id ORDER BY created_at DESC, id DESC) AS rn
+           FROM money_events_v),
+w AS (SELECT player_id, CAST(sum(CASE WHEN account = 'cash' THEN amount ELSE 0 END) AS DECIMAL(38,2)) AS balance,
+             CAST(sum(CASE WHEN account = 'bonus' THEN amount ELSE 0 END) AS DECIMAL(38,2)) AS bonus_balance
+      FROM money_events_v GROUP BY 1)
+SELECT r.player_id, w.balance, w.bonus_balance, r.id, r.type, r.account, r.amount, r.balance_after, r.created_at,
+       CAST(r.rn AS BIGINT) AS rn
+FROM r JOIN w ON w.player_id = r.player_id WHERE r.rn <= 20""")
+def q_wallet_pages(spark, d):
+    return wallet_pages(Tables(spark, d).money_events_v)
+
+
+def leaderboard_page(board: DataFrame, players: DataFrame, n: int = 100) -> DataFrame:
+    """M22 weekly leaderboard page: the first ``n`` positions with the players' names."""
+    names = players.select(F.col("id").alias("player_id"), "username")
+    return board.filter(F.col("position") <= n).join(names, "player_id").select(
+        "period", "position", "points", "player_id", "username")
+
+
+def _leaderboard_page_oracle() -> str:
+    from tillbook.plans.registry import ORACLES
+    from tillbook.sources.adapters import with_adapters
+
+    return with_adapters(f"""SELECT l.period, l.position, l.points, l.player_id, p.username
+FROM (
+{ORACLES["leaderboard"]}
+) l JOIN players_v p ON p.id = l.player_id WHERE l.position <= 100""", "players_v")
+
+
+@register("leaderboard_page", oracle=_leaderboard_page_oracle())
+def q_leaderboard_page(spark, d):
+    from tillbook.plans.sportsbook import leaderboard
+    from tillbook.session import ORDERS_AS_OF
+
+    t = Tables(spark, d)
+    return leaderboard_page(leaderboard(_bets_final(t), ORDERS_AS_OF), t.players_v)
