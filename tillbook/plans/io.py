@@ -236,3 +236,43 @@ def q_regulatory_snapshot(spark, d):
     for p in parts[1:]:
         res = res.unionByName(p)
     return res
+
+
+_BI_STEPS = {"orders_by_month": "monthly_status", "top_products": "top_products", "delivery": "delivery_times",
+             "movements": "movement_summary", "shipment_events": "event_daily"}
+
+
+def _bi_extract_oracle() -> str:
+    from tillbook.plans import shop  # noqa: F401  (registers the single runs and their oracles)
+    from tillbook.plans.registry import ORACLES
+
+    return "\nUNION ALL\n".join(f"SELECT '{step}' AS step, count(*) AS rows FROM (\n{ORACLES[name]}\n) q_{step}"
+                                for step, name in _BI_STEPS.items())
+
+
+@register("bi_extract", oracle=_bi_extract_oracle())
+def q_bi_extract(spark, d):
+    """S09 for the shop: the BI extract's five steps over one snapshot of the shop tables
+    (each input materialised once and shared); rows per step, equal to the single runs."""
+    from tillbook.plans import shop as P
+
+    t = Tables(spark, d)
+    # only the columns the steps read are materialised: the snapshot copy stays as small as the report
+    snap_inputs = {"orders": t.orders_v.select("created_at", "status", "total_amount"),
+                   "lines": t.order_items_v.select("product_id", "quantity", "unit_price"),
+                   "shipments": t.shipments_v.select("carrier_id", "shipped_at", "delivered_at"),
+                   "movements": t.stock_movements_v.select("warehouse_id", "reason", "quantity"),
+                   "events": t.events.select("ts", "event_type")}
+    steps = {
+        "orders_by_month": lambda s: P.monthly_status(s["orders"]),
+        "top_products": lambda s: P.top_products(s["lines"]),
+        "delivery": lambda s: P.delivery_times(s["shipments"]),
+        "movements": lambda s: P.movement_summary(s["movements"]),
+        "shipment_events": lambda s: P.event_daily(s["events"], EVENTS_AS_OF),
+    }
+    out = S.with_snapshot(snap_inputs, steps)
+    parts = [df.agg(F.lit(name).alias("step"), F.count(F.lit(1)).alias("rows")) for name, df in out.items()]
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    return res

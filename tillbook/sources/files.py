@@ -136,7 +136,8 @@ def export_chunked(df: DataFrame, path: str, order: Sequence[str], rows: int = 5
 
 def with_snapshot(tables: dict[str, DataFrame], steps: dict) -> dict[str, DataFrame]:
     """Run several report steps on one consistent snapshot: every input is materialised
-    once (``checkpoint()`` in the shared folder) and the same DataFrames feed all steps."""
+    once (``checkpoint()`` in the shared folder) and the same DataFrames feed all steps.
+    Callers pass only the columns the steps read, so the copy is no wider than the report."""
     snap = {name: df.checkpoint() for name, df in tables.items()}
     return {name: step(snap) for name, step in steps.items()}
 
