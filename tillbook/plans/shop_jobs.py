@@ -170,7 +170,7 @@ def place_orders(requests: DataFrame, stock: DataFrame, bucket_rows: int = 1_000
 # The oracle runs the same fixpoint as ``admit`` in DuckDB (a recursive CTE: running sums of
 # "accepted or undecided" and "accepted" stakes per key, decide, repeat). That the fixpoint
 # equals the one-by-one fold is checked against plain Python in tests/test_operators.py.
-@register("place_orders", oracle="""WITH RECURSIVE
+_CHECKOUT_FIX_SQL = """WITH RECURSIVE
 l AS (SELECT o_orderkey AS request_id, CAST(1 + o_orderkey % 5 AS INT) AS w, l_partkey AS p,
              sum(CAST(l_quantity AS INT)) AS amt
       FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL),
@@ -187,6 +187,10 @@ fix AS (
                 coalesce(sum(CASE WHEN acc THEN amt ELSE 0 END) OVER k, 0) AS lo_before
       FROM fix WINDOW k AS (PARTITION BY w, p ORDER BY request_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))
   WHERE undecided > 0)
+"""
+
+
+@register("place_orders", oracle=_CHECKOUT_FIX_SQL + """
 SELECT DISTINCT request_id, CASE WHEN acc THEN 'ok' ELSE 'out_of_stock' END AS result
 FROM fix WHERE it = (SELECT max(it) FROM fix)""")
 def q_place_orders(spark, d):
@@ -196,6 +200,19 @@ def q_place_orders(spark, d):
     return outcome.select("request_id", "result")
 
 
+@register("checkout_stock", oracle=_CHECKOUT_FIX_SQL + """,
+last AS (SELECT * FROM fix WHERE it = (SELECT max(it) FROM fix))
+SELECT CAST(w AS INT) AS warehouse_id, p AS product_id,
+       CAST(max(cap) - sum(CASE WHEN acc THEN amt ELSE 0 END) AS INT) AS quantity
+FROM last GROUP BY 1, 2""")
+def q_checkout_stock(spark, d):
+    """Stock per (warehouse, product) after the batch: opening stock less the accepted lines."""
+    t = Tables(spark, d)
+    req = checkout_requests(t.orders, t.lineitem)
+    _, new_stock, _ = place_orders(req, opening_stock(req))
+    return new_stock.withColumn("quantity", F.col("quantity").cast("int"))
+
+
 # ---- M04 payment run ------------------------------------------------------------------------------
 
 def run_payments(payments: DataFrame, orders: DataFrame, invoices: DataFrame, as_of: str, n: int = 200,
