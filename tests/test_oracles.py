@@ -21,10 +21,10 @@ def test_matches_oracle(spark, con, name):
     assert ok, msg
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_rows_only(spark, name):
-    df = QUERIES[name](spark, SF_SMALL)
-    assert df.count() >= 0
+def test_rows_only_queries_run(spark):
+    # every query has an oracle today; a query registered without one must at least run
+    for name in sorted(set(QUERIES) - set(ORACLES)):
+        assert QUERIES[name](spark, SF_SMALL).count() >= 0
 
 
 def test_entry_smoke(spark):

@@ -168,7 +168,7 @@ def place_orders(requests: DataFrame, stock: DataFrame, bucket_rows: int = 1_000
 
 
 # The oracle runs the same fixpoint as ``admit`` in DuckDB (a recursive CTE: running sums of
-# "accepted or undecided" and "accepted" stakes per key, decide, repeat). That the fixpoint
+# "accepted or undecided" and "accepted" quantities per key, decide, repeat). That the fixpoint
 # equals the one-by-one fold is checked against plain Python in tests/test_operators.py.
 _CHECKOUT_FIX_SQL = """WITH RECURSIVE
 l AS (SELECT o_orderkey AS request_id, CAST(1 + o_orderkey % 5 AS INT) AS w, l_partkey AS p,
