@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -29,16 +30,49 @@ _local_checkpoint_dir: str | None = None
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings (idempotent; safe on a session somebody else built)."""
+    """Apply the runtime settings (idempotent; safe on a session somebody else built) and make
+    the package importable on the executors."""
     for key, value in _RUNTIME_CONF.items():
         try:
             if spark.conf.get(key, None) != value:
                 spark.conf.set(key, value)
         except Exception:  # pragma: no cover - a locked-down session keeps its own value
             pass
+    ship_package(spark)
     return spark
 
 
+_shipped_to: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Ship ``tillbook`` to the executors' Python workers, once per application.
+
+    The keyed-state stream functions run in Python workers, which import them by module
+    name. So the package is zipped on the driver and added with ``addPyFile``, as
+    ``spark-submit --py-files`` would do. Executors then import it whatever their working
+    directory, on any cluster.
+    """
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # pragma: no cover - Spark Connect ships code with addArtifacts instead
+        return
+    if app in _shipped_to:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="tillbook-pyfiles-")   # read once on the driver by addPyFile
+    archive = os.path.join(folder, "tillbook.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    _shipped_to.add(app)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
