@@ -299,3 +299,34 @@ def test_rolling_sum_matches_brute_force_across_buckets(spark):
     want = {i: sum(v2 for _, k2, t2, v2 in rows if k2 == k and t - timedelta(days=1) <= t2 <= t)
             for i, k, t, _ in rows}
     assert got == want
+
+
+def test_closure_matches_bfs_on_random_cyclic_graphs(spark):
+    rng = random.Random(13)
+    edges = set()
+    for sample in range(3):
+        n = 40
+        for w in range(1, n):                          # queues: mostly chains, some fan-in, some cycles
+            for b in rng.sample(range(n), rng.choice([0, 1, 1, 1, 2])):
+                if b != w:
+                    edges.add((sample, w, b))
+    df = spark.createDataFrame(sorted(edges), "sample int, pid long, blocker_pid long")
+    got = {tuple(r) for r in transitive_closure(df, ["sample"], "pid", "blocker_pid").collect()}
+
+    want = set()
+    for sample in range(3):
+        e = [(w, b) for s, w, b in edges if s == sample]
+        waiting = {w for w, _ in e}
+        waiters_of: dict = {}
+        for w, b in e:
+            waiters_of.setdefault(b, set()).add(w)
+        for root in {b for _, b in e} - waiting:
+            seen, todo = set(), [root]
+            while todo:
+                for w in waiters_of.get(todo.pop(), ()):
+                    if w not in seen:
+                        seen.add(w)
+                        todo.append(w)
+            want |= {(sample, root, w) for w in seen}
+    assert got == want
+    assert len(want) > 50
