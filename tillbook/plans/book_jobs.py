@@ -404,15 +404,17 @@ def decide_bets(requests: DataFrame, players: DataFrame, matches: DataFrame, fun
                  F.unix_micros(F.col("ts").cast("timestamp")).alias("_seq"), F.to_date("ts").alias("day"),
                  F.coalesce("_balance", F.lit(0)).alias("_balance"), "_loss_limit", pre.alias("_pre"),
                  post.alias("_post")))
-    cand = r.filter(F.col("_pre").isNull() & F.col("_post").isNull())
-    lines = cand.select("request_id", "_seq", "player_id", F.lit("funds").alias("_k"), F.col("stake").alias("amount")) \
-        .unionByName(cand.filter(F.col("_loss_limit").isNotNull())
-                     .select("request_id", "_seq", "player_id", F.col("day").cast("string").alias("_k"),
-                             F.col("stake").alias("amount")))
-    caps = (cand.groupBy("player_id").agg(F.first("_balance").alias("cap")).withColumn("_k", F.lit("funds"))
-            .unionByName(cand.filter(F.col("_loss_limit").isNotNull())
-                         .groupBy("player_id", F.col("day").cast("string").alias("_k"))
-                         .agg(F.first("_loss_limit").alias("cap"))))
+    # one admission line per key a candidate consumes: its funds, and its day when a loss limit is set
+    # (built by one explode, so the joined candidates are computed once)
+    funds_key = F.struct(F.lit("funds").alias("_k"), F.col("_balance").cast("decimal(18,2)").alias("cap"))
+    day_key = F.struct(F.col("day").cast("string").alias("_k"), F.col("_loss_limit").cast("decimal(18,2)").alias("cap"))
+    keyed = (r.filter(F.col("_pre").isNull() & F.col("_post").isNull())
+             .select("request_id", "_seq", "player_id", F.col("stake").alias("amount"),
+                     F.explode(F.when(F.col("_loss_limit").isNotNull(), F.array(funds_key, day_key))
+                               .otherwise(F.array(funds_key))).alias("key"))
+             .select("request_id", "_seq", "player_id", "amount", "key._k", "key.cap"))
+    lines = keyed.select("request_id", "_seq", "player_id", "_k", "amount")
+    caps = keyed.groupBy("player_id", "_k").agg(F.first("cap").alias("cap"))
     dec = admit(lines, caps, "request_id", "_seq", ["player_id", "_k"], "amount", bucket_rows=86_400_000_000)
     zero = F.lit(0).cast("decimal(12,2)")
     r = (r.join(dec.select("request_id", "accepted"), "request_id", "left")

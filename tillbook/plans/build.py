@@ -126,21 +126,20 @@ def with_updated_at(orders: DataFrame) -> DataFrame:
 
 def expand_status_history(orders: DataFrame) -> DataFrame:
     """The statuses an order passed, spread evenly over its life; cancelled / refunded get
-    their final transition at ``updated_at``."""
-    steps = F.array(*[F.struct(F.lit(s).alias("step"), F.lit(a).cast("string").alias("from_status"),
-                               F.lit(b).alias("to_status")) for s, a, b in STATUS_STEPS])
+    their final transition at ``updated_at``. One pass: each order explodes its own list."""
+    life = F.col("updated_at") - F.col("created_at")
+    ladder = F.array(*[F.struct(F.lit(s).alias("step"), F.lit(a).cast("string").alias("from_status"),
+                                F.lit(b).alias("to_status"), (F.col("created_at") + life * F.lit(s) / 3).alias("changed_at"))
+                       for s, a, b in STATUS_STEPS])
     last = (F.when(F.col("status") == "pending", 0).when(F.col("status") == "paid", 1)
             .when(F.col("status") == "shipped", 2).when(F.col("status").isin("delivered", "refunded"), 3).otherwise(0))
-    ladder = (orders.select("id", "created_at", "updated_at", last.alias("_last"), F.explode(steps).alias("s"))
-              .filter(F.col("s.step") <= F.col("_last"))
-              .select(F.col("id").alias("order_id"), "s.from_status", "s.to_status",
-                      (F.col("created_at") + (F.col("updated_at") - F.col("created_at")) * F.col("s.step") / 3)
-                      .alias("changed_at")))
-    final = orders.filter(F.col("status").isin("cancelled", "refunded")).select(
-        F.col("id").alias("order_id"),
-        F.when(F.col("status") == "cancelled", "pending").otherwise("delivered").alias("from_status"),
-        F.col("status").alias("to_status"), F.col("updated_at").alias("changed_at"))
-    return ladder.unionByName(final)
+    passed = F.filter(ladder, lambda x: x["step"] <= last)
+    final = F.array(F.struct(F.lit(len(STATUS_STEPS)).alias("step"),
+                             F.when(F.col("status") == "cancelled", "pending").otherwise("delivered").alias("from_status"),
+                             F.col("status").alias("to_status"), F.col("updated_at").alias("changed_at")))
+    moves = F.when(F.col("status").isin("cancelled", "refunded"), F.concat(passed, final)).otherwise(passed)
+    return (orders.select(F.col("id").alias("order_id"), F.explode(moves).alias("m"))
+            .select("order_id", "m.from_status", "m.to_status", "m.changed_at"))
 
 
 def derive_payments(orders: DataFrame) -> DataFrame:

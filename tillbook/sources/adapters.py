@@ -80,14 +80,16 @@ def shipments_v(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 
 def stock_movements_v(lineitem: DataFrame) -> DataFrame:
-    wh = (1 + F.col("l_orderkey") % 5).cast("int").alias("warehouse_id")
-    sales = lineitem.select(wh, F.col("l_partkey").alias("product_id"),
-                            (-F.col("l_quantity").cast("int")).alias("quantity"), F.lit("sale").alias("reason"),
-                            F.col("l_orderkey").alias("order_id"))
-    purchases = lineitem.filter(F.col("l_linenumber") == 1).select(
-        wh, F.col("l_partkey").alias("product_id"), (F.col("l_quantity").cast("int") + 100).alias("quantity"),
-        F.lit("purchase").alias("reason"), F.lit(None).cast("bigint").alias("order_id"))
-    return sales.unionByName(purchases)
+    """A sale per line and an opening purchase per first line, from one scan of ``lineitem``
+    (each line explodes into one or two movements instead of a second scan for the union)."""
+    q = F.col("l_quantity").cast("int")
+    sale = F.struct((-q).alias("quantity"), F.lit("sale").alias("reason"), F.col("l_orderkey").alias("order_id"))
+    purchase = F.struct((q + 100).alias("quantity"), F.lit("purchase").alias("reason"),
+                        F.lit(None).cast("bigint").alias("order_id"))
+    moves = F.when(F.col("l_linenumber") == 1, F.array(sale, purchase)).otherwise(F.array(sale))
+    return lineitem.select((1 + F.col("l_orderkey") % 5).cast("int").alias("warehouse_id"),
+                           F.col("l_partkey").alias("product_id"), F.explode(moves).alias("m")).select(
+        "warehouse_id", "product_id", "m.quantity", "m.reason", "m.order_id")
 
 
 def players_v(customer: DataFrame, nation: DataFrame) -> DataFrame:
