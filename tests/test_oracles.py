@@ -31,3 +31,20 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns == ["day", "category_id", "revenue", "orders", "rank"]
+
+
+# Segmented scans must not depend on the segment width (it only decides task sizes).
+SEGMENTED = ("running_balance", "status_transitions", "odds_at_placement", "odds_periods", "outages", "request_rate",
+             "job_stats", "period_rules", "up_timeline", "apply_ledger")
+
+
+@pytest.mark.parametrize("name", SEGMENTED)
+def test_segment_width_does_not_change_results(spark, con, name):
+    from tillbook.operators.windows import SEGMENT_CONF
+
+    spark.conf.set(SEGMENT_CONF, "3600")
+    try:
+        ok, msg = compare(spark, name, QUERIES[name], ORACLES[name], SF_SMALL, con)
+    finally:
+        spark.conf.unset(SEGMENT_CONF)
+    assert ok, msg

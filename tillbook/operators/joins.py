@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from tillbook.operators.windows import segment_bucket
 from tillbook.session import checkpoint_dir
 
 _UNB = Window.unboundedPreceding
@@ -85,11 +86,11 @@ def period_join(lines: DataFrame, periods: DataFrame, key: str, pkey: str, at: s
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
-              values: Sequence[str], right_order: Sequence[str] = (), bucket: str = "day") -> DataFrame:
+              values: Sequence[str], right_order: Sequence[str] = ()) -> DataFrame:
     """For every left row, the right values in force at ``left_ts`` (latest ``right_ts <= left_ts``).
 
     Both sides are unioned and scanned per key in time order (a right row at the same instant
-    counts as in force). The scan is segmented by ``date_trunc(bucket)``: inside a segment a
+    counts as in force). The scan is segmented by time (``windows.segment_bucket``): inside a segment a
     window carries the last right row forward; across segments, one summary row per segment
     carries the last right row of earlier segments. One sort-based pass, no range join and
     no single task per key. Left rows without a match get nulls (left outer semantics).
@@ -105,7 +106,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: s
                       F.lit(None).cast(r.schema["_v"].dataType).alias("_v"),
                       F.struct(*[F.col(c) for c in lcols]).alias("_l"))
     r = r.withColumn("_l", F.lit(None).cast(lft.schema["_l"].dataType))
-    u = r.unionByName(lft).withColumn("_seg", F.date_trunc(bucket, F.col("_t")))
+    u = r.unionByName(lft).withColumn("_seg", segment_bucket("_t"))
     seg = keys + ["_seg"]
     w_in = Window.partitionBy(*seg).orderBy("_t", "_side", "_ord").rowsBetween(_UNB, Window.currentRow)
     u = u.withColumn("_in", F.last("_v", ignorenulls=True).over(w_in))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillbook.functions import LATENCY_BUCKETS, prom_match, seconds_between
-from tillbook.operators.windows import day_bucket, running_sum, sequence_scan
+from tillbook.operators.windows import running_sum, segment_bucket, sequence_scan
 
 
 def series_key(labels: str = "labels") -> Column:
@@ -38,7 +38,7 @@ def counter_samples(events: DataFrame, metric: str, label_cols: Sequence[str], t
     d = events.select(*keys, ts, tie, F.lit(1).alias("_one"))
     if reset_every:
         d = d.withColumn("_epoch", F.date_trunc(reset_every, F.col(ts)).cast("timestamp_ntz"))
-    run = running_sum(d, part, [ts, tie], "_one", "value", day_bucket(ts))
+    run = running_sum(d, part, [ts, tie], "_one", "value", segment_bucket(ts))
     labels = F.create_map(*[x for k in keys for x in (F.lit(k), F.col(k).cast("string"))])
     return run.select(F.col(ts).alias("ts"), F.col(tie).alias("sample_id"), F.lit(metric).alias("metric"),
                       labels.alias("labels"), F.col("value").cast("double").alias("value"))
@@ -56,7 +56,7 @@ def counter_deltas(samples: DataFrame) -> DataFrame:
     """Per-sample increase of a counter with reset handling: ``v < prev`` means a restart, so the
     increase is ``v``; the first sample of a series counts from 0."""
     s = samples.withColumn("_series", series_key())
-    lagged = sequence_scan(s, ["_series"], ["ts", "sample_id"], day_bucket("ts"), lag_cols=["value"])
+    lagged = sequence_scan(s, ["_series"], ["ts", "sample_id"], segment_bucket("ts"), lag_cols=["value"])
     prev = F.col("prev_value")
     delta = F.when(prev.isNull(), F.col("value")).when(F.col("value") < prev, F.col("value")) \
         .otherwise(F.col("value") - prev)
@@ -152,9 +152,9 @@ def outages(checks: DataFrame, target: str = "target", ts: str = "ts", tie: str
     """
     d = checks.select(F.col(target).alias("target"), F.col(ts).alias("ts"), F.col(tie).alias("tie"),
                       F.col(ok).alias("ok"), F.col(error).alias("error"))
-    d = sequence_scan(d, ["target"], ["ts", "tie"], day_bucket("ts"), lag_cols=["ok"])
+    d = sequence_scan(d, ["target"], ["ts", "tie"], segment_bucket("ts"), lag_cols=["ok"])
     starts = (~F.col("ok") & F.coalesce(F.col("prev_ok"), F.lit(True))).cast("int")
-    d = running_sum(d.withColumn("_start", starts), ["target"], ["ts", "tie"], "_start", "island", day_bucket("ts"))
+    d = running_sum(d.withColumn("_start", starts), ["target"], ["ts", "tie"], "_start", "island", segment_bucket("ts"))
     failed = (d.filter(~F.col("ok")).groupBy("target", "island")
               .agg(F.min("ts").alias("start"), F.count(F.lit(1)).alias("failed_checks"),
                    F.min_by("error", F.struct("ts", "tie")).alias("error")))
@@ -192,9 +192,9 @@ def state_timeline(df: DataFrame, key: str, ts: str, tie: str, value: Column, ma
     """Q10: value changes -> intervals (start, end = next change) with a value mapping."""
     m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])
     d = df.select(F.col(key).alias("key"), F.col(ts).alias("ts"), F.col(tie).alias("tie"), value.alias("v"))
-    ch = sequence_scan(d, ["key"], ["ts", "tie"], day_bucket("ts"), lag_cols=["v"])
+    ch = sequence_scan(d, ["key"], ["ts", "tie"], segment_bucket("ts"), lag_cols=["v"])
     ch = ch.filter(~F.col("prev_v").eqNullSafe(F.col("v"))).drop("prev_v")
-    nxt = sequence_scan(ch, ["key"], ["ts", "tie"], day_bucket("ts"), lag_cols=["ts"], prefix_lag="next_",
+    nxt = sequence_scan(ch, ["key"], ["ts", "tie"], segment_bucket("ts"), lag_cols=["ts"], prefix_lag="next_",
                         descending=True)
     return nxt.select(F.col("key").alias(key), F.col("ts").alias("start"), F.col("next_ts").alias("end"),
                       F.col("v").alias("value"), F.element_at(m, F.col("v")).alias("state"))
@@ -203,7 +203,7 @@ def state_timeline(df: DataFrame, key: str, ts: str, tie: str, value: Column, ma
 def job_stats(runs: DataFrame) -> DataFrame:
     """Q11: per job: runs by result, duration of the latest run, and overlapping runs (a run that
     starts before the previous run of the same job finished)."""
-    lagged = sequence_scan(runs, ["job_name"], ["started_at", "run_id"], day_bucket("started_at"),
+    lagged = sequence_scan(runs, ["job_name"], ["started_at", "run_id"], segment_bucket("started_at"),
                            lag_cols=["finished_at"])
     overlap = F.col("prev_finished_at").isNotNull() & (F.col("started_at") < F.col("prev_finished_at"))
     return lagged.groupBy("job_name").agg(

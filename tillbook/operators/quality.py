@@ -53,9 +53,9 @@ def period_rules(df: DataFrame, key: str, start: str = "valid_from", end: str =
     """``end`` null or after ``start``; periods of a key must not overlap (checked with the
     next period's start, a backwards segmented scan split by day, so a key with very many
     periods is not one task)."""
-    from tillbook.operators.windows import day_bucket, sequence_scan
+    from tillbook.operators.windows import segment_bucket, sequence_scan
 
-    d = sequence_scan(df.select(key, start, end), [key], [start, end], day_bucket(start), lag_cols=[start],
+    d = sequence_scan(df.select(key, start, end), [key], [start, end], segment_bucket(start), lag_cols=[start],
                       prefix_lag="_next_", descending=True).withColumnRenamed(f"_next_{start}", "_next")
     return d.agg(F.count_if(F.col(end).isNotNull() & (F.col(end) <= F.col(start))).alias("bad_periods"),
                  F.count_if(F.col("_next").isNotNull() & (F.col(end).isNull() | (F.col("_next") < F.col(end))))

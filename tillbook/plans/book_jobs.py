@@ -13,7 +13,7 @@ from tillbook.functions import (SELECTION_NAMES, implied_odds, money, selection_
                                 uniform, uniform_sql)
 from tillbook.operators.admission import admit
 from tillbook.operators.joins import anti_join, semi_join
-from tillbook.operators.windows import day_bucket, last_n, running_sum
+from tillbook.operators.windows import last_n, running_sum, segment_bucket
 from tillbook.plans.registry import register
 from tillbook.plans.sportsbook import MONEY, _bets_final, leg_results, mission_qualifiers, odds_product
 from tillbook.sources.adapters import Tables
@@ -77,7 +77,7 @@ def apply_ledger(opening: DataFrame, rows: DataFrame, existing_keys: DataFrame):
                            F.struct("created_at", "id")).alias("r"))
              .select("idempotency_key", "r.*"))
     fresh = anti_join(dedup, existing_keys, ["idempotency_key"])
-    run = running_sum(fresh, ["player_id", "account"], ["created_at", "id"], "amount", "_run", day_bucket("created_at"))
+    run = running_sum(fresh, ["player_id", "account"], ["created_at", "id"], "amount", "_run", segment_bucket("created_at"))
     applied = (run.join(opening, ["player_id", "account"], "left")
                .withColumn("balance_after", (F.coalesce("balance", F.lit(0)) + F.col("_run")).cast("decimal(14,2)"))
                .drop("_run", "balance"))
@@ -691,7 +691,7 @@ def wallet_pages(ledger: DataFrame, n: int = 20) -> DataFrame:
     with the balance after each (W03 segmented running sum, W05 last-n with a partial
     WindowGroupLimit before the shuffle)."""
     run = running_sum(ledger, ["player_id", "account"], ["created_at", "id"], "amount", "balance_after",
-                      day_bucket("created_at"))
+                      segment_bucket("created_at"))
     last = last_n(run, ["player_id"], [F.col("created_at").desc(), F.col("id").desc()], n)
     wallet = ledger.groupBy("player_id").agg(
         F.sum(F.when(F.col("account") == "cash", F.col("amount")).otherwise(0)).cast("decimal(38,2)").alias("balance"),

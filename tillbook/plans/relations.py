@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tillbook.functions import changed, trunc_ts
 from tillbook.operators.joins import anti_join, asof_join, first_per_key, not_in, period_join
-from tillbook.operators.windows import day_bucket, rolling_sum_segmented, running_sum, to_periods, transitions
+from tillbook.operators.windows import rolling_sum_segmented, running_sum, segment_bucket, to_periods, transitions
 from tillbook.plans.build import build_price_periods
 from tillbook.plans.registry import register
 from tillbook.session import ORDERS_AS_OF
@@ -139,7 +139,7 @@ SELECT id, player_id, account, amount,
 FROM money_events_v""")
 def q_running_balance(spark, d):
     m = Tables(spark, d).money_events_v
-    r = running_sum(m, ["player_id", "account"], ["created_at", "id"], "amount", "balance_after", day_bucket("created_at"))
+    r = running_sum(m, ["player_id", "account"], ["created_at", "id"], "amount", "balance_after", segment_bucket("created_at"))
     return r.select("id", "player_id", "account", "amount", F.col("balance_after").cast("decimal(38,2)"))
 
 
@@ -149,7 +149,7 @@ SELECT id, selection_id, odds, changed_at AS valid_from,
 FROM odds_feed_v""")
 def q_odds_periods(spark, d):
     f = Tables(spark, d).odds_feed_v
-    p = to_periods(f, ["selection_id"], "changed_at", ["changed_at", "id"], day_bucket("changed_at"))
+    p = to_periods(f, ["selection_id"], "changed_at", ["changed_at", "id"], segment_bucket("changed_at"))
     return p.select("id", "selection_id", "odds", F.col("changed_at").alias("valid_from"), "valid_to")
 
 
@@ -160,7 +160,7 @@ WHERE from_status IS DISTINCT FROM event_type""")
 def q_status_transitions(spark, d):
     e = Tables(spark, d).events
     t = transitions(e.select("user_id", "event_id", "ts", "event_type"), ["user_id"], ["ts", "event_id"],
-                    "event_type", day_bucket("ts"))
+                    "event_type", segment_bucket("ts"))
     return t.select("user_id", "event_id", "ts", F.col("from_event_type").alias("from_status"),
                     F.col("event_type").alias("to_status"))
 
