@@ -420,7 +420,11 @@ def decide_bets(requests: DataFrame, players: DataFrame, matches: DataFrame, fun
     r = (r.join(dec.select("request_id", "accepted"), "request_id", "left")
          .withColumn("_take", F.when(F.col("accepted"), F.col("stake")).otherwise(zero)))
     r = _used_before(r, ["player_id"], "_take", "_spent")
-    r = _used_before(r, ["player_id", "day"], "_take", "_spent_today")
+    # requests run in time order, so a player's days are contiguous: stakes placed earlier the
+    # same day are the running total less its value at the day's first request (its minimum)
+    day_start = r.groupBy("player_id", "day").agg(F.min("_spent").alias("_day_start"))
+    r = (r.join(day_start, ["player_id", "day"])
+         .withColumn("_spent_today", F.col("_spent") - F.col("_day_start")).drop("_day_start"))
     result = (F.when(F.col("_pre").isNotNull(), F.col("_pre"))
               .when(F.col("_balance") - F.col("_spent") < F.col("stake"), "insufficient_funds")
               .when(F.col("_loss_limit").isNotNull() & (F.col("_spent_today") + F.col("stake") > F.col("_loss_limit")),
