@@ -13,7 +13,7 @@ from tillbook.functions import (SELECTION_NAMES, implied_odds, money, selection_
                                 uniform, uniform_sql)
 from tillbook.operators.admission import admit
 from tillbook.operators.joins import anti_join, semi_join
-from tillbook.operators.windows import last_n, running_sum, segment_bucket
+from tillbook.operators.windows import last_n, running_sum, segment_bucket, segment_seconds
 from tillbook.plans.registry import register
 from tillbook.plans.sportsbook import MONEY, _bets_final, leg_results, mission_qualifiers, odds_product
 from tillbook.sources.adapters import Tables
@@ -415,7 +415,9 @@ def decide_bets(requests: DataFrame, players: DataFrame, matches: DataFrame, fun
              .select("request_id", "_seq", "player_id", "amount", "key._k", "key.cap"))
     lines = keyed.select("request_id", "_seq", "player_id", "_k", "amount")
     caps = keyed.groupBy("player_id", "_k").agg(F.first("cap").alias("cap"))
-    dec = admit(lines, caps, "request_id", "_seq", ["player_id", "_k"], "amount", bucket_rows=86_400_000_000)
+    # _seq is epoch microseconds: admission segments follow the scans' segment width
+    dec = admit(lines, caps, "request_id", "_seq", ["player_id", "_k"], "amount",
+                bucket_rows=segment_seconds() * 1_000_000)
     zero = F.lit(0).cast("decimal(12,2)")
     r = (r.join(dec.select("request_id", "accepted"), "request_id", "left")
          .withColumn("_take", F.when(F.col("accepted"), F.col("stake")).otherwise(zero)))
