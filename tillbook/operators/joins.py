@@ -133,8 +133,10 @@ def transitive_closure(edges: DataFrame, part: Sequence[str], src: str, dst: str
     part = list(part)
     spark = edges.sparkSession
     checkpoint_dir(spark)
-    # The edge list is read once per round: materialise it once in the shared checkpoint folder.
-    e = edges.select(*part, F.col(src).alias("_w"), F.col(dst).alias("_b")).distinct().checkpoint()
+    # The edge list is read once per round: materialise it once in the shared checkpoint folder,
+    # hash-partitioned on the round's join key so no round shuffles it again.
+    e = (edges.select(*part, F.col(src).alias("_w"), F.col(dst).alias("_b")).distinct()
+         .repartition(*part, "_b").checkpoint())
     waiting = e.select(*part, F.col("_w").alias("_b")).distinct()
     chain = (e.join(waiting, part + ["_b"], "left_anti")
              .select(*part, F.col("_b").alias("root_pid"), F.col("_w").alias("waiting_pid")).distinct())
