@@ -48,3 +48,15 @@ def test_segment_width_does_not_change_results(spark, con, name):
     finally:
         spark.conf.unset(SEGMENT_CONF)
     assert ok, msg
+
+
+def test_flagship_pushes_filters_and_prunes_columns(spark):
+    """A01 reads only the columns it needs and hands the date filter to the Parquet scan."""
+    import re
+
+    plan = E.entry(spark)._jdf.queryExecution().executedPlan().toString()
+    scans = {m.group(2): set(re.sub(r"#\d+L?", "", m.group(1)).split(","))
+             for m in re.finditer(r"FileScan parquet \[([^\]]*)\].*?Location: [^\[]*\[[^\]]*/(\w+)\.parquet\]", plan)}
+    assert scans["lineitem"] == {"l_orderkey", "l_partkey", "l_quantity"}
+    assert scans["orders"] == {"o_orderkey", "o_orderstatus", "o_orderdate"}
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(o_orderdate", plan)
