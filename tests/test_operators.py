@@ -330,3 +330,40 @@ def test_closure_matches_bfs_on_random_cyclic_graphs(spark):
             want |= {(sample, root, w) for w in seen}
     assert got == want
     assert len(want) > 50
+
+
+def test_outages_match_a_sequential_walk(spark):
+    from datetime import datetime, timedelta
+
+    from tillbook.operators.metrics import outages
+
+    rng = random.Random(21)
+    start = datetime(2024, 1, 1)
+    rows = []
+    for i in range(400):
+        target = f"db{i % 3}"
+        ts = start + timedelta(seconds=rng.choice([i * 900, i * 900, (i - 1) * 900]))   # equal times: id breaks ties
+        rows.append((target, ts, i, rng.random() < 0.7 if i > 2 else False, f"e{i}"))   # targets start failed
+    df = spark.createDataFrame(rows, "target string, ts timestamp_ntz, event_id long, ok boolean, error string")
+    got = {(r.target, r.outage): (r.start, r.end, r.last_ok, r.failed_checks, r.error, r.open)
+           for r in outages(df).collect()}
+
+    want = {}
+    for t in ("db0", "db1", "db2"):
+        seq = sorted((r for r in rows if r[0] == t), key=lambda r: (r[1], r[2]))
+        n, cur, last_ok = 0, None, None
+        for _, ts, _, ok, err in seq:
+            if ok:
+                if cur is not None:
+                    want[(t, n)] = (cur[0], ts, cur[1], cur[2], cur[3], False)
+                    cur = None
+                last_ok = ts
+            elif cur is None:
+                n += 1
+                cur = [ts, last_ok, 1, err]
+            else:
+                cur[2] += 1
+        if cur is not None:
+            want[(t, n)] = (cur[0], None, cur[1], cur[2], cur[3], True)
+    assert got == want
+    assert any(v[5] for v in want.values()) or len(want) > 10

@@ -147,23 +147,24 @@ def outages(checks: DataFrame, target: str = "target", ts: str = "ts", tie: str
 
     An outage runs from the first failed check to the next successful one (X17); ``last_ok`` is
     the successful check before it; an outage without a later success is open (end null).
-    Islands come from a segmented lag + running count; every outage attribute is then an
-    aggregate per (target, island), so no target is ever processed by a single task.
+    One segmented scan over the checks gives each check the previous check (status, time) and
+    the running count of successful checks. The failed checks of one outage share that
+    count, the outage ends at the successful check that follows a failure, and the check
+    before the outage's first failure is its ``last_ok``. Outages are then numbered by a
+    second scan over the outages only. No target is ever processed by a single task.
     """
     d = checks.select(F.col(target).alias("target"), F.col(ts).alias("ts"), F.col(tie).alias("tie"),
-                      F.col(ok).alias("ok"), F.col(error).alias("error"))
-    d = sequence_scan(d, ["target"], ["ts", "tie"], segment_bucket("ts"), lag_cols=["ok"])
-    starts = (~F.col("ok") & F.coalesce(F.col("prev_ok"), F.lit(True))).cast("int")
-    d = running_sum(d.withColumn("_start", starts), ["target"], ["ts", "tie"], "_start", "island", segment_bucket("ts"))
-    failed = (d.filter(~F.col("ok")).groupBy("target", "island")
+                      F.col(ok).alias("ok"), F.col(error).alias("error"), F.col(ok).cast("int").alias("_okc"))
+    d = sequence_scan(d, ["target"], ["ts", "tie"], segment_bucket("ts"), lag_cols=["ok", "ts"], sum_cols=["_okc"])
+    failed = (d.filter(~F.col("ok")).groupBy("target", F.col("run__okc").alias("_grp"))
               .agg(F.min("ts").alias("start"), F.count(F.lit(1)).alias("failed_checks"),
-                   F.min_by("error", F.struct("ts", "tie")).alias("error")))
-    oks = d.filter(F.col("ok")).groupBy("target", "island").agg(F.min("ts").alias("first_ok"),
-                                                                F.max("ts").alias("last_ok_ts"))
-    end = oks.select("target", "island", F.col("first_ok").alias("end"))
-    before = oks.select("target", (F.col("island") + 1).alias("island"), F.col("last_ok_ts").alias("last_ok"))
-    out = failed.join(end, ["target", "island"], "left").join(before, ["target", "island"], "left")
-    return out.select("target", F.col("island").cast("bigint").alias("outage"), "start", "end",
+                   F.min_by("error", F.struct("ts", "tie")).alias("error"),
+                   F.min_by("prev_ts", F.struct("ts", "tie")).alias("last_ok")))
+    ends = (d.filter(F.col("ok") & (F.col("prev_ok") == F.lit(False)))
+            .select("target", (F.col("run__okc") - 1).alias("_grp"), F.col("ts").alias("end")))
+    out = failed.join(ends, ["target", "_grp"], "left").withColumn("_one", F.lit(1))
+    out = running_sum(out, ["target"], ["start", "_grp"], "_one", "outage", segment_bucket("start"))
+    return out.select("target", F.col("outage").cast("bigint").alias("outage"), "start", "end",
                       F.round(seconds_between("start", "end"), 3).alias("duration_s"), "last_ok",
                       F.col("failed_checks").cast("bigint").alias("failed_checks"), "error",
                       F.col("end").isNull().alias("open"))
