@@ -115,6 +115,20 @@ def groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
         yield pa.concat_tables(held)
 
 
+def packed(tables: Iterable[pa.Table], rows: int = 10_000) -> Iterator[pa.RecordBatch]:
+    """Many small tables as few Arrow batches."""
+    held: list[pa.Table] = []
+    count = 0
+    for t in tables:
+        held.append(t)
+        count += t.num_rows
+        if count >= rows:
+            yield from pa.concat_tables(held).combine_chunks().to_batches()
+            held, count = [], 0
+    if held:
+        yield from pa.concat_tables(held).combine_chunks().to_batches()
+
+
 def same(a, b):
     """Null-safe equality of two columns."""
     return a.eqNullSafe(b)
