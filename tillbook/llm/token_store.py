@@ -54,6 +54,23 @@ def vocabulary(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def pieces(word: str) -> list[str]:
+    """A word cut where the tokenizer's own split always cuts: at single line breaks between other
+    characters, and before a closing mark that follows a letter or digit."""
+    lines = word.split("\n")
+    if len(lines) > 1 and any(x == "" or x[0].isspace() and k or x[-1].isspace() for k, x in enumerate(lines)):
+        return [word]
+    out = []
+    for k, line in enumerate(lines):
+        if k:
+            out.append("\n")
+        if len(line) > 1 and line[-1] in ",.;:!?" and line[-2].isalnum():
+            out += [line[:-1], line[-1]]
+        else:
+            out.append(line)
+    return out
+
+
 class Encoder:
     """Ids of many texts at once: each distinct space-led word of the texts is encoded once."""
 
@@ -70,19 +87,26 @@ class Encoder:
         self.flat, self.used = np.empty(1 << 16, np.uint32), 0
         self.start, self.size = [], []
 
+    def _add(self, word: str, ids) -> None:
+        if self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.empty(max(len(self.flat), len(ids)), np.uint32)))
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.at[word] = len(self.start)
+        self.start.append(self.used)
+        self.size.append(len(ids))
+        self.used += len(ids)
+
     def _entries(self, words: list[str]) -> np.ndarray:
-        new = [w for w in dict.fromkeys(words) if w not in self.at]
-        for k in range(0, len(new), 20_000):
-            some = new[k:k + 20_000]
+        new = {w: pieces(w) for w in words if w not in self.at}
+        plain = [p for p in dict.fromkeys(p for own in new.values() for p in own) if p not in self.at]
+        for k in range(0, len(plain), 20_000):
+            some = plain[k:k + 20_000]
             for w, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                ids = e.ids
-                if self.used + len(ids) > len(self.flat):
-                    self.flat = np.concatenate((self.flat, np.empty(max(len(self.flat), len(ids)), np.uint32)))
-                self.flat[self.used:self.used + len(ids)] = ids
-                self.at[w] = len(self.start)
-                self.start.append(self.used)
-                self.size.append(len(ids))
-                self.used += len(ids)
+                self._add(w, e.ids)
+        for w, own in new.items():
+            if len(own) > 1:
+                at = [self.at[p] for p in own]
+                self._add(w, np.concatenate([self.flat[self.start[k]:self.start[k] + self.size[k]] for k in at]))
         return np.fromiter((self.at[w] for w in words), np.int64, len(words))
 
     def encode(self, texts: pa.Array, end: int) -> list[np.ndarray]:
