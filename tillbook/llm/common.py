@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tillbook.session import configure, scratch_path
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -43,11 +42,6 @@ def sliced(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
                 yield batch.slice(a, b - a)
 
 
-@functools.lru_cache(maxsize=1 << 18)
-def _word_hash(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word)
-
-
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit hashes of all words, offsets by text): lower-cased runs of letters and digits.
 
@@ -57,7 +51,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     spaced = pc.utf8_trim(pc.replace_substring_regex(low, r"[^\p{L}\p{N}]+", " "), " ")
     lists = pc.split_pattern(spaced, " ")
     words = lists.flatten().dictionary_encode()
-    lut = np.fromiter((_word_hash(w) for w in words.dictionary.to_pylist()), np.uint64, len(words.dictionary))
+    lut = np.fromiter(map(xxhash.xxh3_64_intdigest, words.dictionary.to_pylist()), np.uint64, len(words.dictionary))
     hashes = lut[words.indices.to_numpy(zero_copy_only=False)] if len(words) else np.empty(0, np.uint64)
     offsets = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))))
     empty = pc.equal(pc.binary_length(spaced), 0).to_numpy(zero_copy_only=False)

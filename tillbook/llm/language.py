@@ -31,6 +31,7 @@ DOC_GRAMS = 300
 MAX_LANGUAGES = 1000
 UNDETERMINED = "und"
 SPACE = 32
+SLICE_BYTES = 1 << 20
 
 
 @functools.lru_cache(maxsize=1)
@@ -77,7 +78,7 @@ def _merge(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 
 def _count_by_language(batches):
     held: dict[str, tuple[list, list]] = {}
-    for batch in sliced(batches, "text", 4 << 20):
+    for batch in sliced(batches, "text", SLICE_BYTES):
         for lang, (codes, counts) in zip(batch.column("lang").to_pylist(), counted_grams(batch.column("text")), strict=True):
             own = held.setdefault(lang, ([], []))
             own[0].append(codes)
@@ -127,7 +128,7 @@ def _predictor(profiles: dict[str, np.ndarray], top: int, columns: tuple[str, ..
         return names[best], 1 - float(cost[best]) / (size * len(own))
 
     def run(batches):
-        for batch in sliced(batches, "text", 4 << 20):
+        for batch in sliced(batches, "text", SLICE_BYTES):
             got = [guess(*x) for x in counted_grams(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in columns), pa.array([g[0] for g in got], pa.string()),

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import functools
 import os
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -85,7 +86,7 @@ class Encoder:
     def _clear(self) -> None:
         self.at: dict[str, int] = {}
         self.flat, self.used = np.empty(1 << 16, np.uint32), 0
-        self.start, self.size = [], []
+        self.start, self.size = array("q"), array("q")
 
     def _add(self, word: str, ids) -> None:
         if self.used + len(ids) > len(self.flat):
@@ -127,7 +128,7 @@ class Encoder:
         if led.any():
             lut = self._entries([f" {w}" for w in words.dictionary.to_pylist()])
             entry[led] = lut[words.indices.to_numpy(zero_copy_only=False)]
-        start, size = np.asarray(self.start)[entry], np.asarray(self.size)[entry]
+        start, size = np.array(self.start)[entry], np.array(self.size)[entry]
         upto = np.concatenate(([0], np.cumsum(size)))
         flat = self.flat[np.repeat(start - upto[:-1], size) + np.arange(upto[-1])]
         bounds = np.append(upto[firsts], upto[-1])
@@ -182,7 +183,7 @@ def _writer(path: str, end: int, block: int, chunk: int, bits: bool):
                 "doc_sizes": [len(x) for x in ids], "plane_sizes": [len(p) for p in planes],
                 "payload": b"".join(planes)}], schema=_CHUNK_ARROW)
 
-        for batch in sliced(batches, "text", 4 << 20):
+        for batch in sliced(batches, "text"):
             for doc, x in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"), end), strict=True):
                 held.append(doc)
                 ids.append(x)
