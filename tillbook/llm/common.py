@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from tillbook.session import configure, scratch_path
 
 SLICE_BYTES = 2 << 20
+BITMAP_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -133,6 +135,42 @@ def text_key(column: str = "text"):
     return F.xxhash64(F.coalesce(F.col(column), F.lit("")))
 
 
+def row_spot(doc_id, key):
+    """A row's place in bitmaps, from its doc_id and the key of its text."""
+    return F.xxhash64(doc_id, key).bitwiseAND(F.lit((1 << 62) - 1))
+
+
+def marker(rows: DataFrame):
+    """A test whether a row spot can be among those of ``rows`` (column spot).
+
+    The spots become a bitmap of 16 bits a row, at most ``BITMAP_BYTES`` in all, which is broadcast. What
+    it marks by chance (more, if it is full) has to be told apart by an exact join afterwards; what it
+    does not mark needs no join, so its texts are not shuffled.
+    """
+    words = 1 << max(4, min((BITMAP_BYTES // 8).bit_length() - 1, (max(1, rows.count()) * 16 // 64).bit_length()))
+    spot = F.col("spot") % (64 * words)
+    found = rows.groupBy(F.floor(spot / 64).cast("long").alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 64).cast("int"))).alias("bits")).toArrow()
+    bits = np.zeros(words, np.uint64)
+    bits[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    sent = rows.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def marked(spots: pd.Series) -> pd.Series:
+        own, at = sent.value, spots.to_numpy() % (64 * len(sent.value))
+        return pd.Series((own[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1)
+
+    return marked
+
+
+def without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) less the rows whose id and text key are in ``rows`` (its_id, its_key)."""
+    marked = marker(rows.select(row_spot(F.col("its_id"), F.col("its_key")).alias("spot")))
+    spot = row_spot(docs.doc_id, text_key())
+    rest = docs.where(marked(spot)).join(rows, [same(docs.doc_id, F.col("its_id")), text_key() == F.col("its_key")], "left_anti")
+    return docs.where(~marked(spot)).unionByName(rest)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected edges (a, b): one row (node, root), root the smallest node.
 

@@ -17,8 +17,7 @@ so exact copies never meet each other. Then, run by run:
 A pair that shares several leaves is counted in the smallest one alone, which its two sets' leaf
 lists tell; so links are counted without a list of pairs. Sets only travel to leaves where some
 partner of a possible size has to be compared with them. They are made anew from the texts of the
-documents marked in a bitmap of at most ``BITMAP_BYTES``; a full bitmap lets more through, which the
-join with the leaves then drops.
+documents marked in a bitmap of bounded size, so that the other texts stay where they are.
 
 Result: one row per document with the smallest doc_id of its class (connected component), the
 number of links (other distinct shingle sets of similarity >= threshold) and of copies (other
@@ -41,7 +40,22 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillbook.llm.common import components, groups, keep, mix, ngrams, packed, same, sliced, table, text_key, word_hashes
+from tillbook.llm.common import (
+    components,
+    groups,
+    keep,
+    marker,
+    mix,
+    ngrams,
+    packed,
+    row_spot,
+    same,
+    sliced,
+    table,
+    text_key,
+    without,
+    word_hashes,
+)
 from tillbook.session import configure
 
 WORDS = 5
@@ -50,7 +64,6 @@ RECALL = 0.9999
 BUCKET = 256
 DEPTH = 3
 COORDS = 32
-BITMAP_BYTES = 16 << 20
 
 _SEEDS = mix(np.arange(1, COORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -98,16 +111,9 @@ def _fingerprints(width: int):
     return run
 
 
-def _sets(width: int, bitmap):
-    """Set ids and shingles of the rows whose ``spot`` is marked in the broadcast bitmap."""
+def _sets(width: int):
     def run(batches):
-        words = bitmap.value
-        for whole in sliced(batches, "text"):
-            spot = whole.column("spot").to_numpy() % (64 * len(words))
-            marked = (words[spot >> 6] >> (spot & 63).astype(np.uint64)) & np.uint64(1) == 1
-            batch = whole.filter(pa.array(marked))
-            if batch.num_rows == 0:
-                continue
+        for batch in sliced(batches, "text"):
             found = _shingles(batch, width)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_set_id(x) for x in found], pa.binary()),
@@ -115,22 +121,6 @@ def _sets(width: int, bitmap):
     return run
 
 
-def _spot(doc_id, key):
-    """A document's place in bitmaps."""
-    return F.xxhash64(doc_id, key).bitwiseAND(F.lit((1 << 62) - 1))
-
-
-def _bitmap(carriers: DataFrame) -> np.ndarray:
-    """The spots of ``carriers`` (column spot) as bits: 16 for each, at most ``BITMAP_BYTES`` in all."""
-    words = 1 << max(4, min((BITMAP_BYTES // 8).bit_length() - 1, (max(1, carriers.count()) * 16 // 64).bit_length()))
-    spot = F.col("spot") % (64 * words)
-    rows = carriers.groupBy(F.floor(spot / 64).cast("long").alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 64).cast("int"))).alias("bits")).toArrow()
-    out = np.zeros(words, np.uint64)
-    out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
-    return out
-
-
 def _leaves(sets: DataFrame, first: int, last: int, threshold: float, bucket: int, depth: int) -> tuple[list[DataFrame], int]:
     """Rows (leaf, sid, n, size) of the runs first..last-1, and the depth of the deepest leaf."""
     low, part = divmod(1 / threshold, 1)
@@ -283,13 +273,12 @@ def join(docs: DataFrame, width: int = WORDS, threshold: float = THRESHOLD, reca
     dealt = rows.repartition(*_KEYS).sortWithinPartitions(*_KEYS)
     flagged = keep(dealt.mapInArrow(_flag(threshold), rows.schema), "join-flagged")
 
-    # one document of each set that has to be compared gives its shingles; the bitmap spares the others,
-    # and what it lets through by chance ends in the join below
-    carriers = keep(sets.select("sid", _spot(F.col("head.doc_id"), F.col("head.key")).alias("spot"))
+    # one document of each set that has to be compared gives its shingles; what the bitmap lets
+    # through by chance ends in the join with the leaves
+    carriers = keep(sets.select("sid", row_spot(F.col("head.doc_id"), F.col("head.key")).alias("spot"))
                     .join(flagged.select("sid").distinct(), "sid").select("spot"), "join-carriers")
-    bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(carriers))
-    marked = texts.select("text", _spot(F.col("doc_id"), F.col("key")).alias("spot"))
-    wanted = marked.mapInArrow(_sets(width, bitmap), "sid binary, shingles binary").dropDuplicates(["sid"])
+    wanted = texts.where(marker(carriers)(row_spot(F.col("doc_id"), F.col("key")))).select("text")
+    wanted = wanted.mapInArrow(_sets(width), "sid binary, shingles binary").dropDuplicates(["sid"])
     shipped = flagged.join(keep(wanted, "join-shingles"), "sid").repartition(*_KEYS).sortWithinPartitions(*_KEYS)
     linked = keep(shipped.mapInArrow(_verify(threshold), "sid binary, links long, root binary"), "join-links")
 
@@ -309,15 +298,15 @@ def join(docs: DataFrame, width: int = WORDS, threshold: float = THRESHOLD, reca
 
 def drop_copies(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each class of near copies; texts without words all stay."""
-    found = keep(join(docs, **options), "join-found")
-    mine = [same(docs.doc_id, F.col("its_id")), text_key() == F.col("its_key")]
-    named = found.select(F.col("doc_id").alias("its_id"), F.col("text_key").alias("its_key"), "keeper", "n_shingles")
-    gone = keep(named.where("not keeper").drop("keeper", "n_shingles").distinct(), "join-gone")
-    again = keep(named.where("keeper and n_shingles > 0").groupBy("its_id", "its_key").count().where("count > 1").drop("count"), "join-again")
+    found = keep(join(docs, **options), "join-found").withColumnsRenamed({"doc_id": "its_id", "text_key": "its_key"})
+    gone = keep(found.where("not keeper").select("its_id", "its_key").distinct(), "join-gone")
+    again = found.where("keeper and n_shingles > 0").groupBy("its_id", "its_key").count().where("count > 1").drop("count")
+    again = keep(again, "join-again")
     if again.isEmpty():
-        return docs.join(gone, mine, "left_anti")
+        return without(docs, gone)
+    mine = [same(docs.doc_id, F.col("its_id")), text_key() == F.col("its_key")]
     once = docs.join(again, mine, "left_semi").withColumn("its_key", text_key()).dropDuplicates(["doc_id", "its_key"]).drop("its_key")
-    return docs.join(gone.unionByName(again), mine, "left_anti").unionByName(once)
+    return without(docs, gone.unionByName(again)).unionByName(once)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
