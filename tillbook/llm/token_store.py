@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import functools
 import os
-from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,8 @@ TOKENIZER = "byte_bpe_50k.json"
 END = 2
 BLOCK = 1 << 14
 CHUNK = 1 << 18
-CACHE_WORDS = 400_000
+CACHE_WORDS = 700_000
+SLICE_BYTES = 4 << 20  # fewer repeats of common words than the default
 
 _CHUNKS = ("shard int, chunk int, start_in_shard long, n_ids long, doc_ids array<long>, doc_sizes array<long>, "
            "plane_sizes array<int>, payload binary")
@@ -55,21 +56,10 @@ def vocabulary(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def pieces(word: str) -> list[str]:
-    """A word cut where the tokenizer's own split always cuts: at single line breaks between other
-    characters, and before a closing mark that follows a letter or digit."""
-    lines = word.split("\n")
-    if len(lines) > 1 and any(x == "" or x[0].isspace() and k or x[-1].isspace() for k, x in enumerate(lines)):
-        return [word]
-    out = []
-    for k, line in enumerate(lines):
-        if k:
-            out.append("\n")
-        if len(line) > 1 and line[-1] in ",.;:!?" and line[-2].isalnum():
-            out += [line[:-1], line[-1]]
-        else:
-            out.append(line)
-    return out
+def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches [start, start + size) of ``flat``, one after the other."""
+    ends = np.cumsum(size)
+    return flat[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 class Encoder:
@@ -85,30 +75,17 @@ class Encoder:
 
     def _clear(self) -> None:
         self.at: dict[str, int] = {}
-        self.flat, self.used = np.empty(1 << 16, np.uint32), 0
-        self.start, self.size = array("q"), array("q")
-
-    def _add(self, word: str, ids) -> None:
-        if self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.empty(max(len(self.flat), len(ids)), np.uint32)))
-        self.flat[self.used:self.used + len(ids)] = ids
-        self.at[word] = len(self.start)
-        self.start.append(self.used)
-        self.size.append(len(ids))
-        self.used += len(ids)
+        self.flat, self.size = np.empty(0, np.uint32), np.empty(0, np.int64)
 
     def _entries(self, words: list[str]) -> np.ndarray:
-        new = {w: pieces(w) for w in words if w not in self.at}
-        plain = [p for p in dict.fromkeys(p for own in new.values() for p in own) if p not in self.at]
-        for k in range(0, len(plain), 20_000):
-            some = plain[k:k + 20_000]
-            for w, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self._add(w, e.ids)
-        for w, own in new.items():
-            if len(own) > 1:
-                at = [self.at[p] for p in own]
-                self._add(w, np.concatenate([self.flat[self.start[k]:self.start[k] + self.size[k]] for k in at]))
-        return np.fromiter((self.at[w] for w in words), np.int64, len(words))
+        new = [w for w in dict.fromkeys(words) if w not in self.at]
+        if new:
+            lists = [e.ids for e in self.tok.encode_batch_fast(new, add_special_tokens=False)]
+            size = np.fromiter(map(len, lists), np.int64, len(lists))
+            self.at.update(zip(new, range(len(self.size), len(self.size) + len(new)), strict=True))
+            self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(lists), np.uint32, size.sum())))
+            self.size = np.concatenate((self.size, size))
+        return np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
 
     def encode(self, texts: pa.Array, end: int) -> list[np.ndarray]:
         """The ids of each text, with the end id."""
@@ -128,9 +105,8 @@ class Encoder:
         if led.any():
             lut = self._entries([f" {w}" for w in words.dictionary.to_pylist()])
             entry[led] = lut[words.indices.to_numpy(zero_copy_only=False)]
-        start, size = np.array(self.start)[entry], np.array(self.size)[entry]
-        upto = np.concatenate(([0], np.cumsum(size)))
-        flat = self.flat[np.repeat(start - upto[:-1], size) + np.arange(upto[-1])]
+        upto = np.concatenate(([0], np.cumsum(self.size[entry])))
+        flat = gather(self.flat, (np.cumsum(self.size) - self.size)[entry], self.size[entry])
         bounds = np.append(upto[firsts], upto[-1])
         out = [np.append(flat[a:b], np.uint32(end)) for a, b in zip(bounds, bounds[1:], strict=False)]
         for k in np.flatnonzero(whole):
@@ -183,7 +159,7 @@ def _writer(path: str, end: int, block: int, chunk: int, bits: bool):
                 "doc_sizes": [len(x) for x in ids], "plane_sizes": [len(p) for p in planes],
                 "payload": b"".join(planes)}], schema=_CHUNK_ARROW)
 
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", SLICE_BYTES):
             for doc, x in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"), end), strict=True):
                 held.append(doc)
                 ids.append(x)
