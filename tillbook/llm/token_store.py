@@ -39,7 +39,7 @@ END = 2
 BLOCK = 1 << 14
 CHUNK = 1 << 18
 CACHE_WORDS = 700_000
-SLICE_BYTES = 4 << 20  # fewer repeats of common words than the default
+SLICE_BYTES = 8 << 20  # fewer repeats of common words than the default
 
 _CHUNKS = ("shard int, chunk int, start_in_shard long, n_ids long, doc_ids array<long>, doc_sizes array<long>, "
            "plane_sizes array<int>, payload binary")
@@ -74,22 +74,23 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.at: dict[str, int] = {}
+        self.first: dict[str, int] = {}  # of words that begin a text
+        self.led: dict[str, int] = {}  # of words that follow a space
         self.flat, self.size = np.empty(0, np.uint32), np.empty(0, np.int64)
 
-    def _entries(self, words: list[str]) -> np.ndarray:
-        new = [w for w in dict.fromkeys(words) if w not in self.at]
+    def _entries(self, words: list[str], at: dict[str, int], lead: str) -> np.ndarray:
+        new = [w for w in dict.fromkeys(words) if w not in at]
         if new:
-            lists = [e.ids for e in self.tok.encode_batch_fast(new, add_special_tokens=False)]
+            lists = [e.ids for e in self.tok.encode_batch_fast([lead + w for w in new], add_special_tokens=False)]
             size = np.fromiter(map(len, lists), np.int64, len(lists))
-            self.at.update(zip(new, range(len(self.size), len(self.size) + len(new)), strict=True))
+            at.update(zip(new, range(len(self.size), len(self.size) + len(new)), strict=True))
             self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(lists), np.uint32, size.sum())))
             self.size = np.concatenate((self.size, size))
-        return np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
+        return np.fromiter(map(at.__getitem__, words), np.int64, len(words))
 
     def encode(self, texts: pa.Array, end: int) -> list[np.ndarray]:
         """The ids of each text, with the end id."""
-        if len(self.at) > CACHE_WORDS:
+        if len(self.led) > CACHE_WORDS:
             self._clear()
         texts = pc.fill_null(texts, "").cast(pa.large_string())
         whole = pc.match_substring_regex(texts, _UNSAFE).to_numpy(zero_copy_only=False)
@@ -101,9 +102,9 @@ class Encoder:
         led[firsts] = False
         words = parts.filter(pa.array(led)).dictionary_encode()
         entry = np.empty(len(parts), np.int64)
-        entry[firsts] = self._entries(parts.take(pa.array(firsts)).to_pylist())
+        entry[firsts] = self._entries(parts.take(pa.array(firsts)).to_pylist(), self.first, "")
         if led.any():
-            lut = self._entries([f" {w}" for w in words.dictionary.to_pylist()])
+            lut = self._entries(words.dictionary.to_pylist(), self.led, " ")
             entry[led] = lut[words.indices.to_numpy(zero_copy_only=False)]
         upto = np.concatenate(([0], np.cumsum(self.size[entry])))
         flat = gather(self.flat, (np.cumsum(self.size) - self.size)[entry], self.size[entry])
