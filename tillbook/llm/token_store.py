@@ -38,8 +38,8 @@ TOKENIZER = "byte_bpe_50k.json"
 END = 2
 BLOCK = 1 << 14
 CHUNK = 1 << 18
-CACHE_WORDS = 700_000
-SLICE_BYTES = 8 << 20  # fewer repeats of common words than the default
+CACHE_WORDS = 500_000
+SLICE_BYTES = 4 << 20  # fewer repeats of common words than the default
 
 _CHUNKS = ("shard int, chunk int, start_in_shard long, n_ids long, doc_ids array<long>, doc_sizes array<long>, "
            "plane_sizes array<int>, payload binary")
