@@ -1,10 +1,11 @@
 """Compare every registered query with its oracle (CLI): python tests/run_oracles.py [sf_dir] [names...]"""
 
+import os
 import sys
 import time
 
-sys.path.insert(0, "/root/repo")
-sys.path.insert(0, "/root/repo/tests")
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 from oracle import compare, duck  # noqa: E402
 

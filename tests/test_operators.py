@@ -367,3 +367,53 @@ def test_outages_match_a_sequential_walk(spark):
             want[(t, n)] = (cur[0], None, cur[1], cur[2], cur[3], True)
     assert got == want
     assert any(v[5] for v in want.values()) or len(want) > 10
+
+
+def test_settlement_stream_over_several_batches(spark, tmp_path):
+    """ST16: match updates in several files give each bet the outcome of one run over all of them."""
+    from conftest import SF_MID
+    from tillbook.plans.book_jobs import settle
+    from tillbook.sources.adapters import Tables, matches_v
+    from tillbook.streaming.queries import settlement_stream
+    from tillbook.streaming.runner import stream_table
+
+    t = Tables(spark, SF_MID)
+    spark.read.parquet(f"{SF_MID}/part.parquet").repartition(3).write.parquet(str(tmp_path / "part.parquet"))
+    got = settlement_stream(matches_v(stream_table(spark, str(tmp_path), "part")), t.matches_v, t.bets_v, t.legs_v).collect()
+    want = {r.bet_id: (r.status, r.payout) for r in settle(t.matches_v, t.bets_v, t.legs_v, None)[0].collect()}
+    last = {}
+    for r in got:
+        if last.get(r.bet_id, ("open",))[0] == "open":
+            last[r.bet_id] = (r.status, r.payout)
+    assert len(got) > len(last) and last == want
+    decided = [r.bet_id for r in got if r.status != "open"]
+    assert len(decided) == len(set(decided))
+
+
+def test_category_path_of_a_deep_tree_and_a_cycle(spark):
+    import pytest
+
+    from tillbook.plans.relations import category_path
+
+    nodes = spark.createDataFrame([(k, k - 1 if k else None, f"n{k}") for k in range(12)], "id long, parent_id long, name string")
+    got = {r.id: (r.path, r.depth) for r in category_path(nodes).collect()}
+    assert got[11] == (" > ".join(f"n{k}" for k in range(12)), 12) and got[0] == ("n0", 1)
+    ring = spark.createDataFrame([(1, 2, "a"), (2, 1, "b")], "id long, parent_id long, name string")
+    with pytest.raises(ValueError):
+        category_path(ring)
+
+
+def test_cluster_needs_a_shared_checkpoint_folder():
+    import pytest
+
+    from tillbook import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_dir(Session())

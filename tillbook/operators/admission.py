@@ -19,6 +19,7 @@ recomputes one round).
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
@@ -29,7 +30,7 @@ from tillbook.session import checkpoint_dir
 
 
 def admit(lines: DataFrame, capacity: DataFrame, req: str, seq: str, keys: Sequence[str], amount: str,
-          bucket_rows: int = 1_000_000, max_rounds: int = 10_000) -> DataFrame:
+          bucket_rows: int = 1_000_000) -> DataFrame:
     """Return ``(req, accepted, round)`` for every request.
 
     ``lines``: one row per (request, key) with its ``seq`` (total order of requests) and
@@ -50,7 +51,7 @@ def admit(lines: DataFrame, capacity: DataFrame, req: str, seq: str, keys: Seque
              .checkpoint())
     schema = f"{req} {dict(state.dtypes)[req]}, accepted boolean, round int"
     decided = lines.sparkSession.createDataFrame([], schema)
-    for rnd in range(1, max_rounds + 1):
+    for rnd in itertools.count(1):
         cur = (state.withColumn("_live", F.coalesce(F.col("accepted"), F.lit(True)))   # accepted or undecided
                .withColumn("_hi_amt", F.when(F.col("_live"), F.col("_amt")).otherwise(0))
                .withColumn("_lo_amt", F.when(F.col("accepted"), F.col("_amt")).otherwise(0)))

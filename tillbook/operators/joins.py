@@ -120,7 +120,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: s
     return out.select("_l.*", *[v.getField(c).alias(c) for c in values])
 
 
-def transitive_closure(edges: DataFrame, part: Sequence[str], src: str, dst: str, max_rounds: int = 1000) -> DataFrame:
+def transitive_closure(edges: DataFrame, part: Sequence[str], src: str, dst: str) -> DataFrame:
     """Root -> waiter pairs of a waits-for graph, per partition ``part`` (e.g. per sample).
 
     ``edges`` has one row per (waiter ``src``, blocker ``dst``). Roots are blockers that wait
@@ -142,7 +142,7 @@ def transitive_closure(edges: DataFrame, part: Sequence[str], src: str, dst: str
              .select(*part, F.col("_b").alias("root_pid"), F.col("_w").alias("waiting_pid")).distinct())
     chain = chain.checkpoint()
     frontier = chain
-    for _ in range(max_rounds):
+    while True:  # ends: every round adds pairs, and there are finitely many
         f, ed = frontier.alias("f"), e.alias("e")
         cond = [F.col(f"f.{p}") == F.col(f"e.{p}") for p in part] + [F.col("f.waiting_pid") == F.col("e._b")]
         nxt = (f.join(ed, cond)

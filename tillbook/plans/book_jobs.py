@@ -158,14 +158,18 @@ def q_negative_balances(spark, d):
 
 # ---- M06 settlement -------------------------------------------------------------------------------
 
-def settle(matches: DataFrame, bets: DataFrame, legs: DataFrame, n: int = 20):
-    """Settle the first ``n`` finished matches: their open bets become lost (any lost leg, X9),
+def settle(matches: DataFrame, bets: DataFrame, legs: DataFrame, n: int | None = 20, chosen: DataFrame | None = None):
+    """Settle the first ``n`` finished matches (all if None; of those in ``chosen`` (id) if given). ``matches`` is the whole table: their open bets become lost (any lost leg, X9),
     won (every leg decided) or keep waiting; winners get a ledger credit; matches -> settled.
 
     Returns (bet outcomes, ledger rows, settled match ids).
     """
-    batch = matches.filter(F.col("status") == "finished").orderBy("id").limit(n).select(F.col("id").alias("m_id"))
-    settling = F.broadcast(batch)  # at most n rows: bounded by the batch size
+    batch = matches.filter(F.col("status") == "finished").select(F.col("id").alias("m_id"))
+    if chosen is not None:
+        batch = batch.join(chosen.select(F.col("id").alias("m_id")).distinct(), "m_id", "left_semi")
+    if n is not None:
+        batch = batch.orderBy("m_id").limit(n)
+    settling = batch if n is None else F.broadcast(batch)  # at most n rows: bounded by the batch size
     lr = leg_results(legs, matches).join(settling, F.col("m_id") == F.col("event_id"), "left")
     decided = (F.col("_mstatus") == "settled") | F.col("m_id").isNotNull()
     m_status = matches.select(F.col("id").alias("_mid"), F.col("status").alias("_mstatus"))
@@ -567,13 +571,19 @@ def q_deposit_decisions(spark, d):
 
 
 def decide_withdrawals(requests: DataFrame, wallets: DataFrame, players: DataFrame, minimum: float = 10) -> DataFrame:
-    """M15 (first request per player): blocked without a wallet, kyc_required unless verified,
-    amount clamped to the balance, insufficient_funds under the minimum."""
-    first = requests.groupBy("player_id").agg(F.min_by(F.struct("request_id", "requested"), F.col("request_id"))
-                                              .alias("r")).select("player_id", "r.*")
-    j = first.join(wallets, "player_id", "left").join(
+    """Every request in id order: blocked without a wallet, kyc_required unless verified, amount
+    clamped to the balance that earlier accepted requests left, insufficient_funds under the minimum.
+
+    Requests below the minimum never take anything, and once the balance is below it no later one
+    does. So the balance before a request is the wallet less the earlier requests of at least the
+    minimum: one segmented running sum, no walk over the requests.
+    """
+    asked = requests.withColumn("_able", F.when(F.col("requested") >= minimum, F.col("requested")).otherwise(0).cast(MONEY))
+    bucket = F.floor(F.col("request_id") / F.lit(1_000_000)).cast("long")
+    asked = running_sum(asked, ["player_id"], ["request_id"], "_able", "_run", bucket)
+    j = asked.join(wallets, "player_id", "left").join(
         players.select(F.col("id").alias("player_id"), "kyc_status"), "player_id", "left")
-    amount = F.least(F.col("balance"), F.col("requested"))
+    amount = F.least(F.col("balance") - (F.col("_run") - F.col("_able")), F.col("requested"))
     return j.select("player_id", "request_id",
                     F.when(F.col("balance").isNull(), "blocked").when(F.col("kyc_status") != "verified", "kyc_required")
                     .when(amount < minimum, "insufficient_funds").otherwise("ok").alias("result"),
@@ -581,17 +591,26 @@ def decide_withdrawals(requests: DataFrame, wallets: DataFrame, players: DataFra
                            amount).cast(MONEY).alias("amount"))
 
 
-@register("withdrawal_decisions", adapters=("money_events_v", "players_v"), oracle="""
-WITH req AS (SELECT player_id, arg_min(id, id) AS request_id, arg_min(-amount, id) AS requested
-             FROM money_events_v WHERE type = 'withdrawal' GROUP BY 1),
-w AS (SELECT p.id AS player_id, coalesce(sum(m.amount), 0) AS balance FROM players_v p
-      LEFT JOIN money_events_v m ON m.player_id = p.id AND m.account = 'cash' GROUP BY 1)
-SELECT r.player_id, r.request_id,
-       CASE WHEN w.balance IS NULL THEN 'blocked' WHEN p.kyc_status <> 'verified' THEN 'kyc_required'
-            WHEN least(w.balance, r.requested) < 10 THEN 'insufficient_funds' ELSE 'ok' END AS result,
-       CASE WHEN w.balance IS NOT NULL AND p.kyc_status = 'verified' AND least(w.balance, r.requested) >= 10
-            THEN CAST(least(w.balance, r.requested) AS DECIMAL(38,2)) END AS amount
-FROM req r LEFT JOIN w ON w.player_id = r.player_id LEFT JOIN players_v p ON p.id = r.player_id""")
+@register("withdrawal_decisions", adapters=("money_events_v", "players_v"), oracle="""WITH RECURSIVE w AS (SELECT p.id AS player_id, coalesce(sum(m.amount), 0) AS balance FROM players_v p
+      LEFT JOIN money_events_v m ON m.player_id = p.id AND m.account = 'cash' GROUP BY 1),
+j AS (SELECT r.id, r.player_id, CAST(-r.amount AS DECIMAL(38,2)) AS requested, w.balance, p.kyc_status,
+             row_number() OVER (PARTITION BY r.player_id ORDER BY r.id) AS rn
+      FROM money_events_v r LEFT JOIN w ON w.player_id = r.player_id LEFT JOIN players_v p ON p.id = r.player_id
+      WHERE r.type = 'withdrawal'),
+walk AS (
+  SELECT player_id, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS request_id, CAST(any_value(balance) AS DECIMAL(38,2)) AS funds,
+         CAST(NULL AS VARCHAR) AS result, CAST(NULL AS DECIMAL(38,2)) AS amount
+  FROM j GROUP BY player_id
+  UNION ALL
+  SELECT j.player_id, j.rn, j.id,
+         CAST(CASE WHEN j.kyc_status = 'verified' AND least(k.funds, j.requested) >= 10 THEN k.funds - least(k.funds, j.requested)
+              ELSE k.funds END AS DECIMAL(38,2)),
+         CASE WHEN k.funds IS NULL THEN 'blocked' WHEN j.kyc_status <> 'verified' THEN 'kyc_required'
+              WHEN least(k.funds, j.requested) < 10 THEN 'insufficient_funds' ELSE 'ok' END,
+         CAST(CASE WHEN k.funds IS NOT NULL AND j.kyc_status = 'verified' AND least(k.funds, j.requested) >= 10
+              THEN least(k.funds, j.requested) END AS DECIMAL(38,2))
+  FROM walk k JOIN j ON j.player_id = k.player_id AND j.rn = k.rn + 1)
+SELECT player_id, request_id, result, amount FROM walk WHERE rn > 0""")
 def q_withdrawal_decisions(spark, d):
     from tillbook.plans.sportsbook import wallet_balances
 

@@ -9,33 +9,40 @@ from tillbook.operators.joins import anti_join, asof_join, first_per_key, not_in
 from tillbook.operators.windows import rolling_sum_segmented, running_sum, segment_bucket, to_periods, transitions
 from tillbook.plans.build import build_price_periods
 from tillbook.plans.registry import register
-from tillbook.session import ORDERS_AS_OF
+from tillbook.session import ORDERS_AS_OF, checkpoint_dir
 from tillbook.sources.adapters import Tables
 
 
 def with_teams(matches, teams, team_id: str = "n_nationkey", team_name: str = "n_name"):
-    """The same (fixed-size) dimension twice, home and away, as two aliased joins."""
+    """The same dimension twice, home and away, as two aliased joins."""
     h = teams.select(F.col(team_id).alias("h_id"), F.col(team_name).alias("home_team"))
     a = teams.select(F.col(team_id).alias("a_id"), F.col(team_name).alias("away_team"))
-    return (matches.join(F.broadcast(h), F.col("home_team_id") == F.col("h_id"))
-            .join(F.broadcast(a), F.col("away_team_id") == F.col("a_id")).drop("h_id", "a_id"))
+    return (matches.join(h, F.col("home_team_id") == F.col("h_id"))
+            .join(a, F.col("away_team_id") == F.col("a_id")).drop("h_id", "a_id"))
 
 
-def category_path(nodes, max_depth: int = 8):
+def category_path(nodes):
     """Full path of every node of a tree (id, parent_id, name) by repeated self-joins.
 
-    Depth is bounded by the tree (two levels in the shop's catalogue); each level is one join.
+    Each level is one join, written to the checkpoint folder; the loop ends when no path has a
+    parent left to prepend. A parent cycle raises an error.
     """
+    checkpoint_dir(nodes.sparkSession)
+    longest = nodes.count()
     cur = nodes.select("id", F.col("parent_id").alias("_up"), F.col("name").alias("path"),
                        F.lit(1).alias("depth"))
     parents = nodes.select(F.col("id").alias("_pid"), F.col("parent_id").alias("_pparent"),
                            F.col("name").alias("_pname"))
-    for _ in range(max_depth):
+    rounds = 0
+    while not cur.filter(F.col("_up").isNotNull()).isEmpty():
+        rounds += 1
+        if rounds > longest:
+            raise ValueError("the parents form a cycle")
         cur = (cur.join(parents, F.col("_up") == F.col("_pid"), "left")
                .select("id", F.col("_pparent").alias("_up"),
                        F.when(F.col("_pid").isNull(), F.col("path"))
                        .otherwise(F.concat_ws(" > ", F.col("_pname"), F.col("path"))).alias("path"),
-                       (F.col("depth") + F.col("_pid").isNotNull().cast("int")).alias("depth")))
+                       (F.col("depth") + F.col("_pid").isNotNull().cast("int")).alias("depth")).checkpoint())
     return cur.drop("_up")
 
 
@@ -113,7 +120,7 @@ def q_region_nation_path(spark, d):
              .unionByName(t.nation.select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("id"),
                                           F.concat(F.lit("r"), F.col("n_regionkey").cast("string")).alias("parent_id"),
                                           F.col("n_name").alias("name"))))
-    return category_path(nodes, max_depth=3)
+    return category_path(nodes)
 
 
 @register("products_never_ordered", adapters=("products_v", "order_items_v"), oracle="""

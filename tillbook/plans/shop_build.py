@@ -271,7 +271,7 @@ def build_audit(events: DataFrame) -> DataFrame:
     details = F.to_json(F.struct(
         F.concat(F.lit("10."), (F.col("user_id") % 255).cast("string"), F.lit("."),
                  (F.col("event_id") % 255).cast("string"), F.lit(".1")).alias("ip"),
-        F.lit("labapp").alias("user_agent")))
+        F.lit("shop-client").alias("user_agent")))
     return events.select(F.col("event_id").alias("id"), F.col("ts").alias("occurred_at"),
                          F.concat(F.lit("customer:"), F.col("user_id").cast("string")).alias("actor"),
                          F.col("event_type").alias("action"), details.alias("details"), "props")
@@ -279,7 +279,7 @@ def build_audit(events: DataFrame) -> DataFrame:
 
 @register("audit_json", oracle="""
 SELECT event_id AS id, ts AS occurred_at, 'customer:' || CAST(user_id AS VARCHAR) AS actor, event_type AS action,
-       '{"ip":"10.' || CAST(user_id % 255 AS VARCHAR) || '.' || CAST(event_id % 255 AS VARCHAR) || '.1","user_agent":"labapp"}' AS details,
+       '{"ip":"10.' || CAST(user_id % 255 AS VARCHAR) || '.' || CAST(event_id % 255 AS VARCHAR) || '.1","user_agent":"shop-client"}' AS details,
        '10.' || CAST(user_id % 255 AS VARCHAR) || '.' || CAST(event_id % 255 AS VARCHAR) || '.1' AS ip,
        CAST(json_extract(props, '$.k') AS INT) AS k
 FROM events""")

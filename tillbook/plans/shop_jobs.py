@@ -215,13 +215,16 @@ def q_checkout_stock(spark, d):
 
 # ---- M04 payment run ------------------------------------------------------------------------------
 
-def run_payments(payments: DataFrame, orders: DataFrame, invoices: DataFrame, as_of: str, n: int = 200,
+def _oldest(queue: DataFrame, order: list[str], n: int | None) -> DataFrame:
+    return queue if n is None else queue.orderBy(*order).limit(n)
+
+
+def run_payments(payments: DataFrame, orders: DataFrame, invoices: DataFrame, as_of: str, n: int | None = None,
                  declined=None):
-    """Oldest ``n`` pending payments: declined -> payment failed, order cancelled; else captured,
+    """All pending payments (the oldest ``n`` if given): declined -> payment failed, order cancelled; else captured,
     order paid (only if still pending) and an invoice, unless the order already has one (B07)."""
     declined = declined if declined is not None else (F.pmod(F.xxhash64("id"), F.lit(100)) < 3)
-    batch = (payments.filter(F.col("status") == "pending").orderBy("created_at", "id").limit(n)
-             .withColumn("_declined", declined))
+    batch = _oldest(payments.filter(F.col("status") == "pending"), ["created_at", "id"], n).withColumn("_declined", declined)
     o = orders.select(F.col("id").alias("order_id"), F.col("status").alias("order_status"))
     j = batch.join(o, "order_id", "left")
     new_order_status = (F.when(F.col("_declined"), F.lit("cancelled"))
@@ -238,8 +241,7 @@ def run_payments(payments: DataFrame, orders: DataFrame, invoices: DataFrame, as
 
 
 @register("payment_run", adapters=("orders_v",), oracle=f"""
-WITH batch AS (SELECT id, id AS order_id, created_at, id % 7 = 0 AS declined FROM orders_v WHERE status = 'pending'
-               ORDER BY created_at, id LIMIT 200)
+WITH batch AS (SELECT id, id AS order_id, created_at, id % 7 = 0 AS declined FROM orders_v WHERE status = 'pending')
 SELECT b.id AS payment_id, b.order_id, CASE WHEN declined THEN 'failed' ELSE 'captured' END AS payment_status,
        CASE WHEN declined THEN 'cancelled' WHEN o.status = 'pending' THEN 'paid' ELSE o.status END AS order_status,
        CASE WHEN NOT declined AND b.order_id % 4 <> 0 THEN 'INV-2001-' || lpad(CAST(b.order_id AS VARCHAR), 9, '0') END
@@ -250,30 +252,30 @@ def q_payment_run(spark, d):
     payments = o.select("id", F.col("id").alias("order_id"), F.lit("pending").alias("status"), "created_at") \
         .where(o.status == "pending")
     invoices = o.filter(F.col("id") % 4 == 0).select(F.col("id").alias("order_id"))
-    return run_payments(payments, o, invoices, SHOP_AS_OF, 200, declined=(F.col("id") % 7 == 0))
+    return run_payments(payments, o, invoices, SHOP_AS_OF, declined=(F.col("id") % 7 == 0))
 
 
 # ---- M05 shipping run -----------------------------------------------------------------------------
 
-def run_shipping(orders: DataFrame, shipments: DataFrame, as_of: str, n: int = 100) -> DataFrame:
-    """Oldest ``n`` paid orders are shipped (label_created + picked_up events); the oldest ``n``
+def run_shipping(orders: DataFrame, shipments: DataFrame, as_of: str, n: int | None = None) -> DataFrame:
+    """All paid orders (the oldest ``n`` if given) are shipped (label_created + picked_up events); all (or the oldest ``n``)
     shipments in transit for over 2 minutes are delivered (one event). Returns the new events."""
     now = ts_lit(as_of)
-    ship = orders.filter(F.col("status") == "paid").orderBy("created_at", "id").limit(n)
+    ship = _oldest(orders.filter(F.col("status") == "paid"), ["created_at", "id"], n)
     ship_events = ship.select(F.col("id").alias("order_id"), F.explode(F.array(
         F.struct(F.lit("label_created").alias("event"), F.lit("warehouse").alias("location")),
         F.struct(F.lit("picked_up").alias("event"), F.lit("warehouse").alias("location")))).alias("e")) \
         .select("order_id", "e.*")
-    transit = (shipments.filter(F.col("delivered_at").isNull() & (F.col("shipped_at") < now - _minutes(2)))
-               .orderBy("shipped_at", "id").limit(n))
+    transit = _oldest(shipments.filter(F.col("delivered_at").isNull() & (F.col("shipped_at") < now - _minutes(2))),
+                      ["shipped_at", "id"], n)
     deliver = transit.select("order_id", F.lit("delivered").alias("event"), F.lit("customer").alias("location"))
     return ship_events.unionByName(deliver).withColumn("created_at", now)
 
 
 @register("shipping_run", adapters=("orders_v", "shipments_v"), oracle=f"""
-WITH s AS (SELECT id FROM orders_v WHERE status = 'paid' ORDER BY created_at, id LIMIT 100),
+WITH s AS (SELECT id FROM orders_v WHERE status = 'paid'),
 t AS (SELECT order_id FROM shipments_v WHERE delivered_at IS NULL
-        AND shipped_at < TIMESTAMP '{SHOP_AS_OF}' - INTERVAL 2 MINUTE ORDER BY shipped_at, id LIMIT 100)
+        AND shipped_at < TIMESTAMP '{SHOP_AS_OF}' - INTERVAL 2 MINUTE)
 SELECT id AS order_id, 'label_created' AS event, 'warehouse' AS location, TIMESTAMP '{SHOP_AS_OF}' AS created_at FROM s
 UNION ALL SELECT id, 'picked_up', 'warehouse', TIMESTAMP '{SHOP_AS_OF}' FROM s
 UNION ALL SELECT order_id, 'delivered', 'customer', TIMESTAMP '{SHOP_AS_OF}' FROM t""")

@@ -178,15 +178,15 @@ def leaderboard(bets: DataFrame, as_of: str, n: int = 1000) -> DataFrame:
 
 
 # Ledger entry types.
-LEDGER_TYPES = ("deposit", "stake", "win", "withdrawal", "bonus")
+LEDGER_TYPES = ("deposit", "withdrawal", "withdrawal_reversal", "stake", "win", "cashout", "bonus")
 
 
 def money_flows(ledger: DataFrame) -> DataFrame:
-    """Totals per entry type (pivot over a fixed list) and GGR = stakes - wins."""
+    """Totals per entry type (pivot over all types of the ledger) and GGR = stakes - wins - cash-outs."""
     p = ledger.groupBy().pivot("type", list(LEDGER_TYPES)).agg(F.sum("amount"))
     cols = [F.coalesce(F.col(t), F.lit(0)).cast(MONEY).alias(f"{t}s") for t in LEDGER_TYPES]
     out = p.select(*cols)
-    return out.withColumn("ggr", (-F.col("stakes") - F.col("wins")).cast(MONEY))
+    return out.withColumn("ggr", (-F.col("stakes") - F.col("wins") - F.col("cashouts")).cast(MONEY))
 
 
 def settlement_summary(bets: DataFrame) -> DataFrame:
@@ -344,8 +344,9 @@ SELECT CAST(coalesce(sum(amount) FILTER (WHERE type = 'deposit'), 0) AS DECIMAL(
        CAST(coalesce(sum(amount) FILTER (WHERE type = 'win'), 0) AS DECIMAL(38,2)) AS wins,
        CAST(coalesce(sum(amount) FILTER (WHERE type = 'withdrawal'), 0) AS DECIMAL(38,2)) AS withdrawals,
        CAST(coalesce(sum(amount) FILTER (WHERE type = 'bonus'), 0) AS DECIMAL(38,2)) AS bonuss,
-       CAST(-coalesce(sum(amount) FILTER (WHERE type = 'stake'), 0) - coalesce(sum(amount) FILTER (WHERE type = 'win'), 0)
-            AS DECIMAL(38,2)) AS ggr
+       CAST(coalesce(sum(amount) FILTER (WHERE type = 'cashout'), 0) AS DECIMAL(38,2)) AS cashouts,
+       CAST(coalesce(sum(amount) FILTER (WHERE type = 'withdrawal_reversal'), 0) AS DECIMAL(38,2)) AS withdrawal_reversals,
+       CAST(-coalesce(sum(amount) FILTER (WHERE type IN ('stake', 'win', 'cashout')), 0) AS DECIMAL(38,2)) AS ggr
 FROM money_events_v""")
 def q_money_flows(spark, d):
     return money_flows(Tables(spark, d).money_events_v)

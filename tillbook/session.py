@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -33,11 +34,8 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings (idempotent; safe on a session somebody else built) and make
     the package importable on the executors."""
     for key, value in _RUNTIME_CONF.items():
-        try:
-            if spark.conf.get(key, None) != value:
-                spark.conf.set(key, value)
-        except Exception:  # pragma: no cover - a locked-down session keeps its own value
-            pass
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     ship_package(spark)
     return spark
 
@@ -73,15 +71,25 @@ def ship_package(spark: SparkSession) -> None:
     _shipped_to.add(app)
 
 
+def _given_checkpoint_dir(spark: SparkSession) -> str | None:
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # pragma: no cover - Spark Connect has no SparkContext
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    On a cluster this is ``spark.checkpoint.dir`` (a shared file system the cluster names).
-    Only when the session has none, as in local tests, a scratch folder is made here.
+    On a cluster this is ``spark.checkpoint.dir`` (a shared file system the cluster names), or the
+    folder already given to ``setCheckpointDir``. Only a local master without either, as in tests,
+    gets a scratch folder; any other raises an error, as its executors could not share one.
     """
     global _local_checkpoint_dir
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _given_checkpoint_dir(spark)
     if not base:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         if _local_checkpoint_dir is None:
             _local_checkpoint_dir = tempfile.mkdtemp(prefix="tillbook-ckpt-", dir="/tmp")
         base = _local_checkpoint_dir

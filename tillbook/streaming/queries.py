@@ -23,6 +23,7 @@ from tillbook.functions import ts_lit
 from tillbook.operators.joins import asof_join
 from tillbook.operators.windows import last_n
 from tillbook.plans.registry import register
+from tillbook.session import scratch_path
 from tillbook.sources.adapters import money_events_v, odds_feed_v, requests_v
 from tillbook.streaming.runner import (drain_append, drain_batches, drain_upsert, event_time, ntz, stream_table)
 from tillbook.sources.adapters import Tables
@@ -493,8 +494,37 @@ def q_stream_wallets(spark, d):
 
 # ---- ST16 settlement trigger ------------------------------------------------------------------------------
 
+def settlement_stream(updates: DataFrame, matches: DataFrame, bets: DataFrame, legs: DataFrame) -> DataFrame:
+    """ST16: bet outcomes of every micro-batch of match updates.
+
+    The finished matches of each micro-batch are kept in a folder per batch id (a replay overwrites
+    its own). The state of a batch is the match table with all finished matches so far, those of
+    earlier batches as settled; the batch only chooses which matches are settled now. So a bet
+    whose legs finish in different batches stays open until the last of them.
+    """
+    from tillbook.plans.book_jobs import settle
+
+    spark = updates.sparkSession
+    folder = scratch_path(spark, "streams/finished-matches")
+    kept = T.StructType([*updates.schema.fields, T.StructField("batch", T.LongType())])
+
+    def run(update: DataFrame, batch_id: int) -> DataFrame:
+        update.filter(F.col("status") == "finished").write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        rows = spark.read.schema(kept).parquet(folder).filter(F.col("batch") <= batch_id)
+        first = rows.groupBy("id").agg(F.min_by(F.struct(*[c for c in update.columns if c != "id"]), "batch").alias("r"),
+                                       F.min("batch").alias("batch"))
+        ended = first.select("id", "r.*", "batch").withColumn(
+            "status", F.when(F.col("batch") < batch_id, "settled").otherwise(F.col("status")))
+        state = matches.join(ended.select("id"), "id", "left_anti").unionByName(ended.select(*matches.columns))
+        return settle(state, bets, legs, None, ended.filter(F.col("batch") == batch_id).select("id"))[0]
+
+    schema = T.StructType([T.StructField("bet_id", T.LongType()), T.StructField("player_id", T.LongType()),
+                           T.StructField("status", T.StringType()), T.StructField("payout", T.DecimalType(14, 2))])
+    return drain_batches(updates, "settlement", run, schema)
+
+
 @register("stream_settlement", adapters=("matches_v", "legs_v", "bets_v"), oracle="""
-WITH batch AS (SELECT id AS m_id FROM matches_v WHERE status = 'finished' ORDER BY id LIMIT 20),
+WITH batch AS (SELECT id AS m_id FROM matches_v WHERE status = 'finished'),
 lr AS (
   SELECT l.bet_id, l.odds, m.status AS mstatus, bt.m_id,
          CASE WHEN (l.outcome = 1 AND m.home_score > m.away_score) OR (l.outcome = 2 AND m.home_score = m.away_score)
@@ -517,13 +547,8 @@ SELECT p.bet_id, b.player_id,
             THEN CAST(round_even(b.stake * p.total_odds, 2) AS DECIMAL(14,2)) END AS payout
 FROM per p JOIN bets_v b ON b.id = p.bet_id WHERE lost_before = 0""")
 def q_stream_settlement(spark, d):
-    """ST16: each micro-batch of match updates triggers the settlement job (M06) for the
-    finished matches it contains; the batch id keys the output (idempotent on replay)."""
-    from tillbook.plans.book_jobs import settle
+    """ST16: each micro-batch of match updates settles all finished matches it brings."""
     from tillbook.sources.adapters import matches_v
 
     t = Tables(spark, d)
-    updates = matches_v(stream_table(spark, d, "part"))
-    schema = T.StructType([T.StructField("bet_id", T.LongType()), T.StructField("player_id", T.LongType()),
-                           T.StructField("status", T.StringType()), T.StructField("payout", T.DecimalType(14, 2))])
-    return drain_batches(updates, "settlement", lambda b, _: settle(b, t.bets_v, t.legs_v)[0], schema)
+    return settlement_stream(matches_v(stream_table(spark, d, "part")), t.matches_v, t.bets_v, t.legs_v)

@@ -91,13 +91,15 @@ def drain_batches(stream: DataFrame, name: str, fn: Callable[[DataFrame, int], D
     base = scratch_path(spark, f"streams/{name}")
     data = os.path.join(base, "data")
 
+    ran: list[int] = []
+
     def run(batch: DataFrame, batch_id: int) -> None:
+        ran.append(batch_id)
         fn(batch, batch_id).write.mode("overwrite").parquet(os.path.join(data, f"batch={batch_id}"))
 
     q = (stream.writeStream.foreachBatch(run).option("checkpointLocation", os.path.join(base, "_checkpoint"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    try:
-        return spark.read.schema(schema).parquet(data).drop("batch")
-    except Exception:  # no batch produced output
+    if not ran:
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(data).drop("batch")
