@@ -140,8 +140,8 @@ def row_spot(doc_id, key):
     return F.xxhash64(doc_id, key).bitwiseAND(F.lit((1 << 62) - 1))
 
 
-def marker(rows: DataFrame):
-    """A test whether a row spot can be among those of ``rows`` (column spot).
+def spot_test(rows: DataFrame):
+    """A test, for tasks, which of an array of row spots can be among those of ``rows`` (column spot).
 
     The spots become a bitmap of 16 bits a row, at most ``BITMAP_BYTES`` in all, which is broadcast. What
     it marks by chance (more, if it is full) has to be told apart by an exact join afterwards; what it
@@ -155,17 +155,21 @@ def marker(rows: DataFrame):
     bits[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
     sent = rows.sparkSession.sparkContext.broadcast(bits)
 
-    @F.pandas_udf("boolean")
-    def marked(spots: pd.Series) -> pd.Series:
-        own, at = sent.value, spots.to_numpy() % (64 * len(sent.value))
-        return pd.Series((own[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1)
+    def test(spots: np.ndarray) -> np.ndarray:
+        own, at = sent.value, spots % (64 * len(sent.value))
+        return (own[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
 
-    return marked
+    return test
 
 
 def without(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text) less the rows whose id and text key are in ``rows`` (its_id, its_key)."""
-    marked = marker(rows.select(row_spot(F.col("its_id"), F.col("its_key")).alias("spot")))
+    test = spot_test(rows.select(row_spot(F.col("its_id"), F.col("its_key")).alias("spot")))
+
+    @F.pandas_udf("boolean")
+    def marked(spots: pd.Series) -> pd.Series:
+        return pd.Series(test(spots.to_numpy()))
+
     spot = row_spot(docs.doc_id, text_key())
     rest = docs.where(marked(spot)).join(rows, [same(docs.doc_id, F.col("its_id")), text_key() == F.col("its_key")], "left_anti")
     return docs.where(~marked(spot)).unionByName(rest)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillbook.llm.common import keep, marker, ngrams, row_spot, same, sliced, table, text_key, without, word_hashes
+from tillbook.llm.common import keep, ngrams, same, sliced, table, text_key, without, word_hashes
 from tillbook.session import configure
 
 WORDS = 3
@@ -164,8 +164,7 @@ def _block(texts: DataFrame, items: DataFrame, width: int, seeds: float, min_sco
                                             ((lane + 1) * grid + F.col("length") + margin).alias("last")).distinct())
     per_doc = keep(spots.groupBy("doc_id", "key").agg(F.collect_list(F.struct("number", "first", "last")).alias("spots")),
                    "decon-spots").withColumnRenamed("doc_id", "id").withColumnRenamed("key", "text_key")
-    near = marker(per_doc.select(row_spot(F.col("id"), F.col("text_key")).alias("spot")))
-    matched = texts.where(near(row_spot(F.col("doc_id"), F.col("key")))).join(per_doc, (texts.key == per_doc.text_key) & same(texts.doc_id, per_doc.id))
+    matched = texts.join(per_doc, (texts.key == per_doc.text_key) & same(texts.doc_id, per_doc.id))
     return matched.select("doc_id", "text_key", "text", "spots").mapInArrow(
         _score({n: (i, w) for n, (i, w, _) in held.items()}, min_score), _FOUND)
 

@@ -44,13 +44,13 @@ from tillbook.llm.common import (
     components,
     groups,
     keep,
-    marker,
     mix,
     ngrams,
     packed,
     row_spot,
     same,
     sliced,
+    spot_test,
     table,
     text_key,
     without,
@@ -111,9 +111,12 @@ def _fingerprints(width: int):
     return run
 
 
-def _sets(width: int):
+def _sets(width: int, test):
     def run(batches):
-        for batch in sliced(batches, "text"):
+        for whole in sliced(batches, "text"):
+            batch = whole.filter(pa.array(test(whole.column("spot").to_numpy())))
+            if batch.num_rows == 0:
+                continue
             found = _shingles(batch, width)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_set_id(x) for x in found], pa.binary()),
@@ -277,8 +280,8 @@ def join(docs: DataFrame, width: int = WORDS, threshold: float = THRESHOLD, reca
     # through by chance ends in the join with the leaves
     carriers = keep(sets.select("sid", row_spot(F.col("head.doc_id"), F.col("head.key")).alias("spot"))
                     .join(flagged.select("sid").distinct(), "sid").select("spot"), "join-carriers")
-    wanted = texts.where(marker(carriers)(row_spot(F.col("doc_id"), F.col("key")))).select("text")
-    wanted = wanted.mapInArrow(_sets(width), "sid binary, shingles binary").dropDuplicates(["sid"])
+    wanted = texts.select("text", row_spot(F.col("doc_id"), F.col("key")).alias("spot"))
+    wanted = wanted.mapInArrow(_sets(width, spot_test(carriers)), "sid binary, shingles binary").dropDuplicates(["sid"])
     shipped = flagged.join(keep(wanted, "join-shingles"), "sid").repartition(*_KEYS).sortWithinPartitions(*_KEYS)
     linked = keep(shipped.mapInArrow(_verify(threshold), "sid binary, links long, root binary"), "join-links")
 
