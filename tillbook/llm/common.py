@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,6 +32,15 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give freed memory back at the end of a task: Python workers are reused by later stages, whose
+    memory would otherwise come on top of what Arrow and malloc still hold."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
 def sliced(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the texts of a slice stay near ``limit`` bytes (one row at least)."""
     for batch in batches:
@@ -42,6 +52,7 @@ def sliced(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
         for a, b in zip(cuts, cuts[1:], strict=False):
             if b > a:
                 yield batch.slice(a, b - a)
+    release()
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -109,6 +120,8 @@ def groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
             last = key
     if held:
         yield pa.concat_tables(held)
+    held = []
+    release()
 
 
 def packed(tables: Iterable[pa.Table], rows: int = 10_000) -> Iterator[pa.RecordBatch]:

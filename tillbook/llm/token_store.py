@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillbook.llm.common import sliced, table, text_key
+from tillbook.llm.common import release, sliced, table, text_key
 from tillbook.session import configure, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -71,9 +71,9 @@ class Encoder:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self.first: dict[str, int] = {}  # of words that begin a text
         self.led: dict[str, int] = {}  # of words that follow a space
         self.flat, self.size = np.empty(0, np.uint32), np.empty(0, np.int64)
@@ -91,7 +91,7 @@ class Encoder:
     def encode(self, texts: pa.Array, end: int) -> list[np.ndarray]:
         """The ids of each text, with the end id."""
         if len(self.led) > CACHE_WORDS:
-            self._clear()
+            self.clear()
         texts = pc.fill_null(texts, "").cast(pa.large_string())
         whole = pc.match_substring_regex(texts, _UNSAFE).to_numpy(zero_copy_only=False)
         lists = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
@@ -171,6 +171,9 @@ def _writer(path: str, end: int, block: int, chunk: int, bits: bool):
                     held, ids, count = [], [], 0
         if ids:
             yield flush()
+        held, ids = [], []
+        encoder.clear()
+        release()
     return run
 
 
