@@ -55,6 +55,34 @@ def test_copies_edits_and_clean_texts(spark):
         assert r.from_word <= 100 and r.to_word >= 130 and 0.5 <= r.score <= 1
 
 
+def test_edited_copies_beside_a_full_one_match_brute_force(spark):
+    rnd = random.Random(8)
+    clean = [f"clean{k}" for k in range(400)]
+    items = [[f"item{i}word{k}" for k in range(rnd.randint(16, 59))] for i in range(12)]
+    items.append(["of", "the", "same", "of", "the", "same", *(f"rest{k}" for k in range(14))])
+    docs = []
+    for item in items:
+        docs.append([*rnd.choices(clean, k=60), *item, *rnd.choices(clean, k=60)])
+        for share in (0.15, 0.2, 0.25, 0.25):
+            copy = [rnd.choice(clean) if rnd.random() < share else w for w in item]
+            docs.append([*rnd.choices(clean, k=60), *copy, *rnd.choices(clean, k=60)])
+        docs.append([*rnd.choices(clean, k=40), *item[:len(item) // 2 + 1], *rnd.choices(clean, k=40)])
+        docs.append([x for k, w in enumerate(item) for x in ((w, rnd.choice(clean)) if k % 10 > 3 else (w,))])  # many insertions
+    docs += [[*rnd.choices(clean, k=30), "of", "the", "same", *rnd.choices(clean, k=30)] for _ in range(40)]
+    want = {}
+    for d, doc in enumerate(docs):
+        for i, item in enumerate(items):
+            windows = {tuple(item[k:k + 3]) for k in range(len(item) - 2)}
+            if any(tuple(doc[k:k + 3]) in windows for k in range(len(doc) - 2)):
+                score = plain_score(item, doc) / (2 * len(item))
+                if score >= 0.5:
+                    want[d, i] = score
+    got = decontaminate.find(table(spark, [(d, " ".join(x)) for d, x in enumerate(docs)], "doc_id"),
+                             table(spark, [(i, " ".join(x)) for i, x in enumerate(items)], "item_id")).collect()
+    assert {(r.doc_id, r.item_id): r.score for r in got} == want
+    assert len(want) > 4 * len(items)
+
+
 def test_blocks_of_items_agree(spark):
     docs = [(k, f"before alpha{k} beta{k} gamma{k} delta{k} eps{k} after that") for k in range(30)]
     items = [(k, f"alpha{k} beta{k} gamma{k} delta{k} eps{k}") for k in range(30)]
