@@ -44,6 +44,15 @@ def test_odd_texts(spark):
     assert [tuple(r) for r in store.digests(df).orderBy("start").collect()] == expected(rows)
 
 
+def test_special_token_literal(spark):
+    mark = "<|endoftext|>"
+    texts = [f"one {mark} two", mark, f"{mark} first", f"last {mark}", f"in{mark}side words", f"before{mark} and {mark}after it",
+             f"{mark}{mark} {mark}", f"double  space {mark}\nline {mark}\t{mark}", f" {mark} ", f"broken <|endof text|> {mark[:-1]} >"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    assert 50256 in Tokenizer.from_file(store.vocabulary()).encode(texts[0], add_special_tokens=False).ids
+    assert [tuple(r) for r in store.digests(df).orderBy("start").collect()] == expected(list(enumerate(texts)))
+
+
 def test_repeated_rows_stay_apart(spark):
     df = spark.createDataFrame([(1, "same"), (1, "same"), (2, "other")], "doc_id long, text string")
     got = store.digests(df).orderBy("start").collect()

@@ -15,7 +15,8 @@ A shard is one range of doc_id. A chunk ends with the first document that takes
 ``chunk`` ids, so a document never straddles chunks and readers need no shuffle.
 
 Null texts are empty; a null doc_id sorts first; rows that repeat a doc_id are ordered by text
-and stay separate documents; an empty table gives an empty store. Further columns are ignored.
+and stay separate documents; an empty table gives an empty store. The literal of the tokenizer's special
+token in a text gives that token's id, as the library does by default. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -70,7 +71,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         self.clear()
 
     def clear(self) -> None:
