@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tillbook.llm import (
     decontaminate,
+    filter_audit,
     language,
     licences,
     mixture,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_secrets": secrets.query,
     "op9_language": language.query,
     "op10_decontaminate": decontaminate.query,
+    "op13_filter_audit": filter_audit.query,
 }
 
 # The others have no SQL form (or, op8, none for spans that do not overlap): see tests/llm.
@@ -35,4 +37,5 @@ ORACLES = {
     "op5_licences": licences.oracle(),
     "op6_warc": warc.ORACLE,
     "op7_url_filter": url_filter.oracle(),
+    "op13_filter_audit": filter_audit.oracle(),
 }
