@@ -5,6 +5,8 @@ from __future__ import annotations
 from tillbook.llm import (
     decontaminate,
     filter_audit,
+    fingerprints,
+    hard_negatives,
     language,
     licences,
     mixture,
@@ -27,6 +29,8 @@ QUERIES = {
     "op8_secrets": secrets.query,
     "op9_language": language.query,
     "op10_decontaminate": decontaminate.query,
+    "op11_hard_negatives": hard_negatives.query,
+    "op12_fingerprints": fingerprints.query,
     "op13_filter_audit": filter_audit.query,
 }
 
@@ -37,5 +41,6 @@ ORACLES = {
     "op5_licences": licences.oracle(),
     "op6_warc": warc.ORACLE,
     "op7_url_filter": url_filter.oracle(),
+    "op11_hard_negatives": hard_negatives.ORACLE,
     "op13_filter_audit": filter_audit.oracle(),
 }
