@@ -50,7 +50,7 @@ def clustered(n, d, centres, seed, spread=0.2):
 @pytest.mark.parametrize(("tile", "block", "spread"), [(4096, 1024, 0.2), (40, 3, 0.2), (64, 8, 1.0), (1, 1, 0.2)])
 def test_tiles_and_blocks(spark, tile, block, spread):
     rows = clustered(220, 6, 5, 4, spread)
-    assert result(spark, rows, 10, tile=tile, block=block) == brute_force(rows, 10)
+    assert result(spark, rows, 10, tile_rows=tile, block=block) == brute_force(rows, 10)
 
 
 def test_other_windows(spark):
@@ -69,7 +69,7 @@ def test_odd_vectors(spark):
 def test_common_vector(spark):
     """A third of the rows are one vector, with many labels: ties go to the smaller ids."""
     rows = clustered(200, 5, 4, 6) + [(1000 + i, i % 3, [0.5, 0.25, 1.0, 0.0, 1.0]) for i in range(100)]
-    assert result(spark, rows, 20, tile=64) == brute_force(rows, 20)
+    assert result(spark, rows, 20, tile_rows=64) == brute_force(rows, 20)
 
 
 def test_large_values(spark):

@@ -1,6 +1,6 @@
 """Hard-negative mining (11): cover trees over norm-augmented vectors, searched best first.
 
-Candidates stay in their partitions, in tiles of at most ``TILE`` vectors of one length. A tile gets one
+Candidates are dealt evenly over tiles of at most ``TILE_BYTES`` of vectors of one length. A tile gets one
 more coordinate, sqrt(M - |x|^2) with M its largest squared norm, so that all its vectors lie on a sphere
 and a larger inner product with a query means a smaller distance. Over them stands a cover tree: the
 level below covers each node's vectors with balls of 1 / ``BASE`` of its radius, whose centres are
@@ -27,7 +27,6 @@ without positives, or a window without negatives, gives no rows, as do empty tab
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterable, Iterator
 
@@ -45,9 +44,10 @@ EVERY = 100
 POSITIVES = 5
 NEGATIVES = 5
 LOW, HIGH = 80, 100  # a negative's score, in per cent of the positive's
-TILE = 4096
+TILE_BYTES = 8 << 20  # of a tile's vectors
 BLOCK = 1024
 LEAF = 16
+FIRST_BATCH = 16  # nodes opened at once at first
 BASE = 1.4
 
 _LIMIT = (1 << 63) - 1
@@ -109,6 +109,12 @@ def cover_tree(v: np.ndarray, leaf: int = LEAF, base: float = BASE) -> tuple[np.
     return order, np.array(nodes, float)
 
 
+def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of the runs [start, start + size), one after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Tile:
     """A tile's vectors in the order of its tree, ready to be searched."""
 
@@ -131,41 +137,46 @@ class Tile:
         return math.sqrt(self.top) * math.sqrt(float(np.square(q).sum())) < 2.0**52
 
     def search(self, q: np.ndarray, goal: Goal) -> int:
-        """Open the tree best first until no node can improve the goal; returns the rows scored."""
+        """Open the tree best first until no node can improve the goal; returns the rows scored.
+
+        The nodes that wait are opened in batches of the best ones, each larger than the last: the first ones raise
+        the goal's bounds, by which most of the others are skipped, and array operations do the rest.
+        """
         far = self.top + float(np.square(q).sum())
         if not math.isfinite(far):
             goal.offer(np.arange(len(self.ids)), self.scores(slice(None), q))
             return len(self.ids)
-        exact, slack, scored = self.exact(q), 1 + 1e-6 * far, 0
-
-        def bounds(a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            dots = self.centres[a:b] @ q
-            dist, r = np.sqrt(np.maximum(far - 2 * dots, 0)), self.radius[a:b]
-            return dots, (far - np.square(dist + r)) / 2 - slack, (far - np.square(np.maximum(dist - r, 0))) / 2 + slack
-
-        _, low, high = bounds(0, 1)
-        heap = [(-high[0], 0, low[0])]
-        while heap:
-            high, node, low = heapq.heappop(heap)
-            if -high < goal.least():
-                break
-            if not goal.wants(np.array([low]), np.array([-high]))[0]:
-                continue
-            start, end = self.start[node], self.end[node]
-            if not self.children[node]:
-                goal.offer(np.arange(start, end), self.scores(slice(start, end), q))
-                scored += end - start
-                continue
-            a, b = self.child[node], self.child[node] + self.children[node]
-            dots, lows, highs = bounds(a, b)
-            wanted = np.flatnonzero(goal.wants(lows, highs))
-            lone = self.end[a + wanted] - self.start[a + wanted] == 1
+        exact, slack, scored, batch = self.exact(q), 1 + 1e-6 * far, 0, FIRST_BATCH
+        waiting, low_w, high = np.zeros(1, np.int64), np.array([-np.inf]), np.array([np.inf])
+        while len(waiting):
+            if len(waiting) > batch:
+                best = np.argpartition(-high, batch)
+                now, rest = best[:batch], best[batch:]
+            else:
+                now, rest = np.arange(len(waiting)), np.empty(0, np.int64)
+            batch *= 2
+            opened = waiting[now]
+            leaf = self.children[opened] == 0
+            if leaf.any():
+                rows = _runs(self.start[opened[leaf]], self.end[opened[leaf]] - self.start[opened[leaf]])
+                goal.offer(rows, self.scores(rows, q))
+                scored += len(rows)
+            inner = opened[~leaf]
+            nodes = _runs(self.child[inner], self.children[inner])
+            dots = self.centres[nodes] @ q
+            dist, r = np.sqrt(np.maximum(far - 2 * dots, 0)), self.radius[nodes]
+            low, up = (far - np.square(dist + r)) / 2 - slack, (far - np.square(np.maximum(dist - r, 0))) / 2 + slack
+            wanted = goal.wants(low, up)
+            lone = wanted & (self.end[nodes] - self.start[nodes] == 1)
             if lone.any():  # single vectors are leaves: their score is at hand
-                rows = self.start[a + wanted[lone]]
-                goal.offer(rows, dots[wanted[lone]].astype(np.int64) if exact else self.scores(rows, q))
+                rows = self.start[nodes[lone]]
+                goal.offer(rows, dots[lone].astype(np.int64) if exact else self.scores(rows, q))
                 scored += len(rows)
-            for i in wanted[~lone]:
-                heapq.heappush(heap, (-highs[i], int(a + i), lows[i]))
+                wanted &= ~lone
+            low, up = np.concatenate((low_w[rest], low[wanted])), np.concatenate((high[rest], up[wanted]))
+            waiting = np.concatenate((waiting[rest], nodes[wanted]))
+            on = goal.wants(low, up)
+            waiting, low_w, high = waiting[on], low[on], up[on]
         return scored
 
 
@@ -180,14 +191,13 @@ class Goal:
         self.need = self.ends[:, 0].copy()
         self.best = [(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in windows]
 
-    def least(self) -> float:
-        return self.need.min(initial=np.inf)
-
     def wants(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         return ((high[:, None] >= self.need) & (low[:, None] <= self.ends[:, 1])).any(axis=1)
 
     def offer(self, rows: np.ndarray, scores: np.ndarray) -> None:
-        ok = self.fits[rows]
+        ok = self.fits[rows] & (scores >= self.need.min()) & (scores <= self.ends[:, 1].max())
+        if not ok.any():
+            return
         ids, scores = self.tile.ids[rows[ok]], scores[ok]
         for j, (low, high) in enumerate(self.windows):
             held_ids, held = self.best[j]
@@ -205,7 +215,7 @@ class Goal:
 _TREE = "dim int, ids binary, labels binary, vectors binary, nodes binary"
 
 
-def _plant(scale: int, tile: int):
+def _plant(scale: int, tile_rows: int | None):
     def built(parts: list[tuple]) -> pa.RecordBatch:
         ids, labels, v = (np.concatenate(x) for x in zip(*parts, strict=True))
         order, nodes = cover_tree(v)
@@ -223,13 +233,17 @@ def _plant(scale: int, tile: int):
                 v = np.floor(scale * own.column("x").flatten().to_numpy().reshape(own.num_rows, dim))
                 v = np.nan_to_num(v)  # a product beyond the doubles is the largest of them
                 ids, labels = own.column("vec_id").to_numpy(), own.column("label").to_numpy()
-                for a in range(0, len(ids), tile):
-                    held.setdefault(dim, []).append((ids[a:a + tile], labels[a:a + tile], v[a:a + tile]))
-                    count[dim] = count.get(dim, 0) + len(ids[a:a + tile])
-                    if count[dim] + len(ids[a + tile:a + 2 * tile]) > tile:
+                tile = tile_rows or max(1, TILE_BYTES // (8 * max(1, dim)))
+                a = 0
+                while a < len(ids):
+                    b = min(len(ids), a + tile - count.get(dim, 0))
+                    held.setdefault(dim, []).append((ids[a:b], labels[a:b], v[a:b]))
+                    count[dim] = count.get(dim, 0) + b - a
+                    if count[dim] == tile:
                         yield built(held.pop(dim))
                         del count[dim]
-            if sum(count.values()) > 4 * tile:  # vectors of many lengths
+                    a = b
+            if sum(c * max(1, d) for d, c in count.items()) * 8 > 4 * TILE_BYTES:  # vectors of many lengths
                 yield from (built(held.pop(d)) for d in list(held))
                 count.clear()
         yield from (built(p) for p in held.values())
@@ -237,9 +251,16 @@ def _plant(scale: int, tile: int):
     return run
 
 
-def plant(vectors: DataFrame, scale: int = SCALE, tile: int = TILE) -> DataFrame:
-    """The cover trees of all tiles of ``usable`` vectors, one row each, kept in the shared folder."""
-    return keep(vectors.mapInArrow(_plant(scale, tile), _TREE), "negatives-trees")
+def plant(vectors: DataFrame, scale: int = SCALE, tile_rows: int | None = None) -> DataFrame:
+    """The cover trees of all tiles of ``usable`` vectors, one row each, kept in the shared folder.
+
+    The vectors are dealt evenly, so that the tiles are full however small the files are: a tile for each
+    task, or for more than the shuffle's tasks about eight.
+    """
+    size = (vectors.agg(F.sum(F.size("x"))).first()[0] or 0) * 8
+    tiles, tasks = -(-size // TILE_BYTES), int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, tiles if tiles <= tasks else max(tasks, -(-tiles // 8)))
+    return keep(vectors.repartition(parts).mapInArrow(_plant(scale, tile_rows), _TREE), "negatives-trees")
 
 
 def _pack(scale: int, per_window: tuple[int, int] | None):
@@ -306,7 +327,7 @@ def _best(trees: DataFrame, slots: int, anchors: DataFrame, n_blocks: int, same:
 
 
 def hard_negatives(vectors: DataFrame, is_anchor: Column, positives: int = POSITIVES, negatives: int = NEGATIVES, low: int = LOW,
-                   high: int = HIGH, scale: int = SCALE, tile: int = TILE, block: int = BLOCK) -> DataFrame:
+                   high: int = HIGH, scale: int = SCALE, tile_rows: int | None = None, block: int = BLOCK) -> DataFrame:
     """For each anchor and each of its best vectors of the same label: the best vectors of other labels whose
     score lies between ``low`` and ``high`` per cent of that vector's.
 
@@ -314,7 +335,7 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, positives: int = POSIT
     positive_id, rank, negative_id, positive_score, negative_score.
     """
     spark = configure(vectors.sparkSession)
-    trees = plant(usable(vectors), scale, tile)
+    trees = plant(usable(vectors), scale, tile_rows)
     asked = usable(vectors.where(is_anchor)).groupBy("vec_id").agg(F.min(F.struct("label", "x")).alias("row"))
     asked = keep(asked.select("vec_id", "row.*", F.size("row.x").alias("dim")), "negatives-anchors")
     slots, n = trees.count(), asked.count()

@@ -4,24 +4,29 @@
 2. Targets: each dimension's share of the tokens, either given or the observed share tempered by an
    exponent below 1, which raises rare values. Given targets need not name every value: those not
    named keep their observed shares of the rest.
-3. Raking: the cells' weights are scaled to the targets of source, language and topic in turn,
-   ``rounds`` times. The cell table is aggregated before it is joined with anything, and each
-   round's sums are pre-aggregated by task, so a source with a third of the documents is one
-   number in each task. A dimension's factors are broadcast while it has at most
-   ``BROADCAST_ROWS`` values; beyond that Spark plans the join.
-4. A cell's ratio of raked to observed tokens, divided by the largest ratio, is the probability of
-   each of its documents; times ``share`` if fewer are wanted. In expectation the sample has the
-   raked marginals. A document is drawn if a hash of its id and text lies below the probability,
-   so the draw does not depend on the number of tasks.
-
-Null source or language is a value of its own (``''``), null texts are empty with 0 tokens. Cells
-without tokens have ratio 1 before scaling. Repeated rows share one draw. An empty table gives an
+3. A budget: ``share`` of all tokens is to be kept, so no cell's weight may exceed its own tokens.
+4. Raking: the cells' weights are scaled to the targets of source, language and topic in turn, and a cell
+   that reaches its bound is held there while the others take up the rest, until a round moves no weight by
+   more than ``TOLERANCE`` of itself (or the movement shrinks no more, which means that the targets
+   ask for more than some value has). The cell table is aggregated before it is joined with anything,
+   and each round's sums are pre-aggregated by task, so a source with a third of the documents is one
+   number in each task. A dimension's factors are broadcast while it has at most ``BROADCAST_ROWS``
+   values; beyond that Spark plans the join.
+5. A cell's raked over its observed tokens is the probability of each of its documents. A tiny cell is kept
+   whole at most; it does not lower the others. In expectation the sample has the raked marginals and
+   the budget's size, or less where a target cannot be met. A document is drawn if a hash of its id and
+   text lies below the probability, so the draw does not depend on the number of tasks.
+
+Null source or language is a value of its own (``''``), null texts are empty with 0 tokens. Documents of cells
+without tokens have the probability ``share``. Repeated rows share one draw. An empty table gives an
 empty result. Further columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import math
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillbook.llm.common import keep, table
@@ -29,8 +34,10 @@ from tillbook.session import configure
 
 DIMENSIONS = ("source", "lang", "topic")
 EXPONENTS = {"source": 0.7, "lang": 0.7, "topic": 0.8}
-ROUNDS = 8
-DIGITS = 6
+SHARE = 0.3  # of the tokens are kept
+TOLERANCE = 1e-10
+PATIENCE = 5  # rounds in which the movement has to shrink
+DIGITS = 6  # of the probabilities that the query shows
 BROADCAST_ROWS = 100_000
 # Topic rules, first match wins; no match is prose. Fixed values of this operator.
 TOPICS = (("table", " | "), ("licence", "icense"), ("web", "://"), ("contact", "@"))
@@ -69,34 +76,42 @@ def _targets(cells: DataFrame, dim: str, exponent: float, given: dict[str, float
     return raised.select(dim, F.coalesce(F.try_divide("raised", raised.agg(F.sum("raised")).scalar()), F.lit(0.0)).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """``cells`` (dimensions, tokens) with the raked ``weight``; the weights sum to 1."""
-    total = cells.agg(F.sum("tokens").cast("double")).scalar()
+def rake(cells: DataFrame, targets: dict[str, DataFrame], share: float = SHARE, rounds: int | None = None) -> DataFrame:
+    """``cells`` (dimensions, tokens) with the raked ``weight`` and its ``bound``, tokens / (share * all tokens); the weights
+    sum to 1 if the targets can be met. ``rounds`` ends it sooner."""
+    total = cells.agg(F.sum("tokens").cast("double")).first()[0] or 0.0
     small = {dim: target.count() <= BROADCAST_ROWS for dim, target in targets.items()}
-    now = keep(cells.withColumn("weight", F.coalesce(F.try_divide(F.col("tokens").cast("double"), total), F.lit(0.0))), "mix-cells")
-    for _ in range(rounds):
+    own = F.col("tokens").cast("double") / F.lit(total) if total else F.lit(0.0)
+    now = keep(cells.withColumn("weight", own).withColumn("bound", own / F.lit(share)), "mix-cells")
+    moved: list[float] = []
+    while rounds is None or len(moved) < rounds:
+        now = now.withColumn("before", F.col("weight"))
         for dim, target in targets.items():
             held = now.groupBy(dim).agg(F.sum("weight").alias("held"))
             factor = held.join(F.broadcast(target) if small[dim] else target, dim).select(
                 dim, F.when(F.col("held") > 0, F.col("target") / F.col("held")).otherwise(1.0).alias("factor"))
             now = now.join(F.broadcast(factor) if small[dim] else factor, dim)
-            now = now.withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
-        now = keep(now, "mix-round")
+            now = now.withColumn("weight", F.least(F.col("weight") * F.col("factor"), F.col("bound"))).drop("factor")
+        seen = Observation()
+        step = F.when(F.col("before") > 0, F.abs(F.col("weight") / F.col("before") - 1)).otherwise(0.0)
+        now = keep(now.observe(seen, F.max(step).alias("step")).drop("before"), "mix-round")
+        moved.append(seen.get["step"] or 0.0)
+        if moved[-1] <= TOLERANCE or (len(moved) > PATIENCE and moved[-1] >= moved[-1 - PATIENCE]) or math.isnan(moved[-1]):
+            break
     return now
 
 
 def calibrated(rows: DataFrame, exponents: dict[str, float] | None = None, given: dict[str, dict[str, float]] | None = None,
-               rounds: int = ROUNDS, share: float = 1.0) -> DataFrame:
+               rounds: int | None = None, share: float = SHARE) -> DataFrame:
     """(source, lang, topic, probability) from the dimensions and n_tokens of documents."""
     cells = keep(rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")), "mix-counts")
     use = {**EXPONENTS, **(exponents or {})}
     targets = {d: keep(_targets(cells, d, use[d], (given or {}).get(d)), "mix-targets") for d in DIMENSIONS}
-    raked = rake(cells, targets, rounds)
+    raked = rake(cells, targets, share, rounds)
     total = cells.agg(F.sum("tokens").cast("double")).scalar()
-    ratio = raked.withColumn("ratio", F.when(F.col("tokens") > 0, F.col("weight") * total / F.col("tokens")).otherwise(1.0))
-    ratio = keep(ratio.select(*DIMENSIONS, "ratio"), "mix-ratios")
-    odds = F.round(F.col("ratio") / ratio.agg(F.max("ratio")).scalar() * share, DIGITS)
-    return keep(ratio.select(*DIMENSIONS, odds.alias("probability")), "mix-odds")
+    odds = F.when(F.col("tokens") == 0, share).when(F.col("weight") >= F.col("bound"), 1.0).otherwise(
+        F.col("weight") * share * total / F.col("tokens"))
+    return keep(raked.select(*DIMENSIONS, odds.alias("probability")), "mix-odds")
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -117,12 +132,13 @@ def sample(docs: DataFrame, **options) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op3: the whole documents table, tempered targets."""
-    return mix(table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang"))
+    """op3: the whole documents table, tempered targets; the probabilities are rounded for display only."""
+    mixed = mix(table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang"))
+    return mixed.withColumn("probability", F.round("probability", DIGITS))
 
 
-def oracle() -> str:
-    """The same in DuckDB: one materialised CTE for each scaling."""
+def oracle(rounds: int = 30) -> str:
+    """The same in DuckDB: one materialised CTE for each scaling, a fixed number of rounds."""
     marker = " ".join(f"WHEN contains(body, '{m}') THEN '{n}'" for n, m in TOPICS)
     dims = ", ".join(DIMENSIONS)
     parts = [
@@ -132,19 +148,19 @@ def oracle() -> str:
             CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(body)), 1, 12)) AS BIGINT)
             / {float(1 << 48)} AS draw FROM texts)""",
         f"cells AS MATERIALIZED (SELECT {dims}, CAST(sum(n_tokens) AS DOUBLE) AS tokens FROM docs GROUP BY ALL)",
-        "r0 AS MATERIALIZED (SELECT *, tokens / (SELECT sum(tokens) FROM cells) AS weight FROM cells)",
+        f"r0 AS MATERIALIZED (SELECT *, weight / {SHARE} AS bound FROM (SELECT *, tokens / (SELECT sum(tokens) FROM cells) AS weight FROM cells))",
     ]
     for d in DIMENSIONS:
         parts.append(f"""t_{d} AS MATERIALIZED (SELECT {d}, p / sum(p) OVER () AS target
             FROM (SELECT {d}, pow(sum(tokens), {EXPONENTS[d]}) AS p FROM cells GROUP BY {d}))""")
     k = 0
-    for _ in range(ROUNDS):
+    for _ in range(rounds):
         for d in DIMENSIONS:
-            parts.append(f"""r{k + 1} AS MATERIALIZED (SELECT {dims}, tokens,
-                weight * CASE WHEN held > 0 THEN target / held ELSE 1.0 END AS weight
+            parts.append(f"""r{k + 1} AS MATERIALIZED (SELECT {dims}, tokens, bound,
+                least(bound, weight * CASE WHEN held > 0 THEN target / held ELSE 1.0 END) AS weight
                 FROM (SELECT *, sum(weight) OVER (PARTITION BY {d}) AS held FROM r{k}) JOIN t_{d} USING ({d}))""")
             k += 1
-    parts.append(f"""odds AS MATERIALIZED (SELECT {dims}, round(ratio / max(ratio) OVER (), {DIGITS}) AS probability FROM
-        (SELECT *, CASE WHEN tokens > 0 THEN weight * (SELECT sum(tokens) FROM cells) / tokens ELSE 1.0 END AS ratio FROM r{k}))""")
-    return (f"WITH {', '.join(parts)} SELECT doc_id, {dims}, n_tokens, probability, draw < probability AS sampled "
+    parts.append(f"""odds AS MATERIALIZED (SELECT {dims},
+        CASE WHEN tokens = 0 THEN {SHARE} WHEN weight >= bound THEN 1.0 ELSE weight * {SHARE} * (SELECT sum(tokens) FROM cells) / tokens END AS p FROM r{k})""")
+    return (f"WITH {', '.join(parts)} SELECT doc_id, {dims}, n_tokens, round(p, {DIGITS}) AS probability, draw < p AS sampled "
             f"FROM docs JOIN odds USING ({dims})")

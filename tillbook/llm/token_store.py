@@ -14,8 +14,8 @@ datasets, so that Spark's commit protocol covers lost tasks and any file system
 A shard is one range of doc_id. A chunk ends with the first document that takes it to
 ``chunk`` ids, so a document never straddles chunks and readers need no shuffle.
 
-Null texts are empty; a null doc_id sorts first; rows that repeat a doc_id are ordered by text
-and stay separate documents; an empty table gives an empty store. The literal of the tokenizer's special
+Null texts are empty; a null doc_id sorts first; rows that repeat a doc_id are ordered by a 64-bit hash of
+the text, then the text, and stay separate documents; an empty table gives an empty store. The literal of the tokenizer's special
 token in a text gives that token's id, as the library does by default. Further columns are ignored.
 """
 
@@ -39,7 +39,7 @@ TOKENIZER = "byte_bpe_50k.json"
 END = 2
 BLOCK = 1 << 14
 CHUNK = 1 << 18
-CACHE_WORDS = 500_000
+CACHE_BYTES = 24 << 20  # of words and their ids, of each kind
 SLICE_BYTES = 4 << 20  # fewer repeats of common words than the default
 
 _CHUNKS = ("shard int, chunk int, start_in_shard long, n_ids long, doc_ids array<long>, doc_sizes array<long>, "
@@ -63,6 +63,37 @@ def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return flat[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
 
 
+class Words:
+    """The ids of distinct words that follow ``lead``: the words as one Arrow array, their ids as one flat array."""
+
+    def __init__(self, tok, lead: str):
+        self.tok, self.lead = tok, lead
+        self.clear()
+
+    def clear(self) -> None:
+        self.words = pa.array([], pa.large_string())
+        self.flat, self.start, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def nbytes(self) -> int:
+        return self.words.nbytes + self.flat.nbytes + self.start.nbytes + self.size.nbytes
+
+    def entries(self, words: pa.Array) -> np.ndarray:
+        """The places of ``words`` (distinct), which are encoded if they are new."""
+        at = pc.index_in(words, value_set=self.words)
+        if at.null_count:
+            unknown = pc.is_null(at)
+            new = words.filter(unknown)
+            lists = [e.ids for e in self.tok.encode_batch_fast([self.lead + w for w in new.to_pylist()], add_special_tokens=False)]
+            size = np.fromiter(map(len, lists), np.int64, len(lists))
+            places = np.arange(len(self.size), len(self.size) + len(size))
+            self.words = pa.concat_arrays([self.words, new])
+            self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(size) - size))
+            self.size = np.concatenate((self.size, size))
+            self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(lists), np.uint32, size.sum())))
+            at = pc.replace_with_mask(at, unknown, pa.array(places, pa.int32()))
+        return at.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 class Encoder:
     """Ids of many texts at once: each distinct space-led word of the texts is encoded once."""
 
@@ -71,49 +102,47 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.clear()
+        self.first, self.led = Words(self.tok, ""), Words(self.tok, " ")  # words that begin a text, and others
 
     def clear(self) -> None:
-        self.first: dict[str, int] = {}  # of words that begin a text
-        self.led: dict[str, int] = {}  # of words that follow a space
-        self.flat, self.size = np.empty(0, np.uint32), np.empty(0, np.int64)
-
-    def _entries(self, words: list[str], at: dict[str, int], lead: str) -> np.ndarray:
-        new = [w for w in dict.fromkeys(words) if w not in at]
-        if new:
-            lists = [e.ids for e in self.tok.encode_batch_fast([lead + w for w in new], add_special_tokens=False)]
-            size = np.fromiter(map(len, lists), np.int64, len(lists))
-            at.update(zip(new, range(len(self.size), len(self.size) + len(new)), strict=True))
-            self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(lists), np.uint32, size.sum())))
-            self.size = np.concatenate((self.size, size))
-        return np.fromiter(map(at.__getitem__, words), np.int64, len(words))
-
-    def encode(self, texts: pa.Array, end: int) -> list[np.ndarray]:
-        """The ids of each text, with the end id."""
-        if len(self.led) > CACHE_WORDS:
-            self.clear()
+        self.first.clear()
+        self.led.clear()
+
+    def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each followed by the end id, and the number of ids of each text with it."""
+        for words in (self.first, self.led):
+            if words.nbytes() > CACHE_BYTES:
+                words.clear()
         texts = pc.fill_null(texts, "").cast(pa.large_string())
         whole = pc.match_substring_regex(texts, _UNSAFE).to_numpy(zero_copy_only=False)
         lists = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
-        sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-        firsts = np.concatenate(([0], np.cumsum(sizes)))[:-1]
-        parts = lists.flatten()
-        led = np.ones(len(parts), bool)
+        n_words = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        firsts = np.cumsum(n_words) - n_words
+        led = np.ones(int(n_words.sum()), bool)
         led[firsts] = False
-        words = parts.filter(pa.array(led)).dictionary_encode()
-        entry = np.empty(len(parts), np.int64)
-        entry[firsts] = self._entries(parts.take(pa.array(firsts)).to_pylist(), self.first, "")
-        if led.any():
-            lut = self._entries(words.dictionary.to_pylist(), self.led, " ")
-            entry[led] = lut[words.indices.to_numpy(zero_copy_only=False)]
-        upto = np.concatenate(([0], np.cumsum(self.size[entry])))
-        flat = gather(self.flat, (np.cumsum(self.size) - self.size)[entry], self.size[entry])
-        bounds = np.append(upto[firsts], upto[-1])
-        out = [np.append(flat[a:b], np.uint32(end)) for a, b in zip(bounds, bounds[1:], strict=False)]
+        parts = lists.flatten()
+        start, size = np.empty(len(parts), np.int64), np.empty(len(parts), np.int64)
+        flat, shift = [], 0
+        for words, mine in ((self.first, ~led), (self.led, led)):
+            if mine.any():
+                own = parts.filter(pa.array(mine)).dictionary_encode()
+                at = words.entries(own.dictionary)[own.indices.to_numpy(zero_copy_only=False)]
+                start[mine], size[mine] = words.start[at] + shift, words.size[at]
+                flat.append(words.flat)
+                shift += len(words.flat)
+        # the texts that may not be cut are encoded whole, and stand in for their one empty word
         for k in np.flatnonzero(whole):
-            ids = self.tok.encode(texts[int(k)].as_py(), add_special_tokens=False).ids
-            out[k] = np.array([*ids, end], np.uint32)
-        return out
+            ids = np.array(self.tok.encode(texts[int(k)].as_py(), add_special_tokens=False).ids, np.uint32)
+            start[firsts[k]], size[firsts[k]] = shift, len(ids)
+            flat.append(ids)
+            shift += len(ids)
+        # and the end id stands behind the last word of every text
+        lasts = np.cumsum(n_words)
+        start, size = np.insert(start, lasts, shift), np.insert(size, lasts, 1)
+        flat.append(np.array([end], np.uint32))
+        upto = np.concatenate(([0], np.cumsum(size)))
+        bounds = np.concatenate(([0], lasts + np.arange(1, len(lasts) + 1)))
+        return gather(np.concatenate(flat), start, size), np.diff(upto[bounds])
 
 
 @functools.lru_cache(maxsize=2)
@@ -144,34 +173,48 @@ def from_planes(planes: list[bytes], n: int) -> np.ndarray:
     return np.ascontiguousarray(cells.T).view("<u4").ravel()
 
 
+def _one_list(values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
 def _writer(path: str, end: int, block: int, chunk: int, bits: bool):
     def run(batches):
         from pyspark import TaskContext
 
         shard, number, start = TaskContext.get().partitionId(), 0, 0
         encoder = _encoder(path)
-        held, ids, count = [], [], 0
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # doc_ids, sizes and ids of the open chunk
+        count = 0
 
         def flush():
-            flat = np.concatenate(ids)
+            docs, sizes, flat = (np.concatenate(x) for x in zip(*held, strict=True))
             planes = [p for a in range(0, len(flat), block) for p in to_planes(flat[a:a + block], bits)]
-            return pa.RecordBatch.from_pylist([{
-                "shard": shard, "chunk": number, "start_in_shard": start, "n_ids": len(flat), "doc_ids": held,
-                "doc_sizes": [len(x) for x in ids], "plane_sizes": [len(p) for p in planes],
-                "payload": b"".join(planes)}], schema=_CHUNK_ARROW)
+            return pa.RecordBatch.from_arrays([
+                pa.array([shard], pa.int32()), pa.array([number], pa.int32()), pa.array([start], pa.int64()), pa.array([len(flat)], pa.int64()),
+                _one_list(pa.array(docs, pa.int64(), from_pandas=True)), _one_list(pa.array(sizes, pa.int64())),
+                _one_list(pa.array([len(p) for p in planes], pa.int32())), pa.array([b"".join(planes)], pa.binary())], schema=_CHUNK_ARROW)
 
         for batch in sliced(batches, "text", SLICE_BYTES):
-            for doc, x in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"), end), strict=True):
-                held.append(doc)
-                ids.append(x)
-                count += len(x)
+            # doc_ids with null as a masked object, as numpy has no null long
+            doc_ids = batch.column("doc_id").to_numpy(zero_copy_only=False) if not batch.column("doc_id").null_count else np.array(
+                batch.column("doc_id").to_pylist(), object)
+            flat, sizes = encoder.encode(batch.column("text"), end)
+            ends = np.cumsum(sizes)
+            a = 0
+            while a < len(sizes):
+                # the first document that takes the chunk to its size ends it
+                done = ends[a - 1] if a else 0
+                b = min(int(np.searchsorted(ends, done + chunk - count)) + 1, len(sizes))
+                held.append((doc_ids[a:b], sizes[a:b], flat[done:ends[b - 1]]))
+                count += int(ends[b - 1] - done)
                 if count >= chunk:
                     yield flush()
                     number, start = number + 1, start + count
-                    held, ids, count = [], [], 0
-        if ids:
+                    held, count = [], 0
+                a = b
+        if held:
             yield flush()
-        held, ids = [], []
+        held = []
         encoder.clear()
         release()
     return run
