@@ -417,3 +417,121 @@ def test_cluster_needs_a_shared_checkpoint_folder():
 
     with pytest.raises(RuntimeError):
         session.checkpoint_dir(Session())
+
+
+def test_closure_of_a_long_queue_takes_few_rounds(spark, monkeypatch):
+    """A queue of 5,000 sessions behind one root: the rounds grow with its logarithm."""
+    from tillbook.operators import joins
+
+    rounds = []
+    path = joins.scratch_path
+    monkeypatch.setattr(joins, "scratch_path", lambda s, n: rounds.append(n) or path(s, n))
+    edges = spark.range(1, 5001).select(F.lit(0).alias("sample"), F.col("id").alias("pid"), (F.col("id") - 1).alias("blocker_pid"))
+    got = transitive_closure(edges, ["sample"], "pid", "blocker_pid")
+    assert got.count() == 5000 and got.filter("root_pid = 0").count() == 5000
+    assert len(rounds) <= 15
+
+
+def test_admission_on_a_hot_key(spark, monkeypatch):
+    """10,000 requests for one scarce key and others: as the fold decides, in tens of rounds."""
+    from tillbook.operators import admission
+
+    rounds = []
+    path = admission.scratch_path
+    monkeypatch.setattr(admission, "scratch_path", lambda s, n: rounds.append(n) or path(s, n))
+    rng = random.Random(11)
+    rows, caps = [], {0: 900, **{k: 40 for k in range(1, 300)}}
+    for r in range(10_000):
+        rows.append((r, r, 0, rng.randint(1, 9)))
+        if r % 3 == 0:
+            rows.append((r, r, rng.randint(1, 299), rng.randint(1, 9)))
+    lines = spark.createDataFrame(rows, "req long, seq long, key int, amount int")
+    cap_df = spark.createDataFrame(list(caps.items()), "key int, cap int")
+    got = {r["req"]: r["accepted"] for r in admit(lines, cap_df, "req", "seq", ["key"], "amount", bucket_rows=1000).collect()}
+    assert got == sequential_admit(rows, caps)
+    assert len(rounds) <= 40
+
+
+def test_admission_without_contention_takes_no_round(spark):
+    lines = spark.createDataFrame([(1, 1, 5, 2), (2, 2, 5, 2), (3, 3, 6, 1)], "req long, seq long, key int, amount int")
+    caps = spark.createDataFrame([(5, 4), (6, 1)], "key int, cap int")
+    assert {tuple(r) for r in admit(lines, caps, "req", "seq", ["key"], "amount").collect()} == {(1, True, 0), (2, True, 0), (3, True, 0)}
+
+
+def test_exact_percentile(spark):
+    """Against numpy: ties, skew, wide ranges, few cells (so that several rounds run), nulls and single values."""
+    import numpy as np
+
+    from tillbook.operators.quantiles import exact_percentile
+
+    rng = random.Random(4)
+    groups = {"even": [float(i) for i in range(101)], "ties": [1.0] * 50 + [2.0] * 3, "one": [7.5], "wide": [10.0 ** rng.uniform(-8, 12) for _ in range(400)],
+              "hot": [round(rng.gauss(0, 1), 6) for _ in range(3000)], "two": [1.0, 2.0], "far": [0.0] * 40 + [1e15] + [float(i) / 7 for i in range(300)]}
+    rows = [(g, v) for g, vs in groups.items() for v in vs] + [("even", None), ("even", float("nan")), ("none", None), (None, 3.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    for q, cells in ((0.95, 1024), (0.5, 4), (0.0, 8), (1.0, 8), (0.333, 16)):
+        got = {r.g: r.percentile for r in exact_percentile(df, ["g"], "v", q, cells).collect()}
+        want = {g: float(np.percentile(vs, q * 100)) for g, vs in groups.items()} | {None: 3.0}
+        assert got.keys() == want.keys()
+        assert all(abs(got[g] - want[g]) <= 1e-9 * max(1, abs(want[g])) for g in want), (q, got, want)
+
+
+def test_percentile_reports_hold_no_group(spark):
+    from tillbook.plans.shop import delivery_times
+    from tillbook.sources.adapters import Tables
+    from conftest import SF_SMALL
+
+    plan = delivery_times(Tables(spark, SF_SMALL).shipments_v)._jdf.queryExecution().executedPlan().toString()
+    assert "percentile(" not in plan
+
+
+def test_large_month_is_written_by_several_tasks(spark, tmp_path):
+    from tillbook.sources.files import write_monthly
+
+    rows = spark.range(30_000).select("id", F.expr("timestamp_ntz'2024-01-03' + make_dt_interval(0, 0, 0, id % 900000)").alias("ts"))
+    rows = rows.unionByName(spark.range(10).select("id", F.expr("timestamp_ntz'2024-02-03'").alias("ts")))
+    write_monthly(rows, str(tmp_path / "m"), "ts", rows_per_file=5_000)
+    read = spark.read.parquet(str(tmp_path / "m"))
+    files = read.filter("month = '2024-01'").groupBy(F.input_file_name()).count().collect()
+    assert len(files) >= 6 and max(f["count"] for f in files) <= 5_000 and read.count() == 30_010
+
+
+def test_top_up_reaches_the_target(spark):
+    from tillbook.plans.book_build import top_up_fixtures
+
+    matches = spark.createDataFrame([(1, "scheduled"), (2, "live"), (9, "settled")], "id long, status string")
+    new = top_up_fixtures(matches, 1001)
+    assert new.count() == 1000 and new.agg(F.min("id"), F.max("id")).first() == (10, 1009) and new.rdd.getNumPartitions() > 1
+    assert new.filter("home_team_id = away_team_id").count() == 0 and top_up_fixtures(matches, 1).count() == 0
+
+
+def test_checkout_of_odd_requests(spark):
+    """Lists that are empty, do not parse, or ask for what is not there; an order of nothing is an order."""
+    from tillbook.plans.checkout import checkout
+
+    req = spark.createDataFrame([
+        (1, 7, 1, '[{"product_id": 5, "quantity": 2}, {"product_id": 5, "quantity": 1}]', "card", "r1"), (2, 7, 1, "[]", "card", "r2"),
+        (3, 8, 1, "not json", "card", "r3"), (4, 8, 1, '[{"product_id": 5, "quantity": 3}]', "card", "r4"),
+        (5, 9, 1, '[{"product_id": 77, "quantity": 1}]', "card", "r5"), (6, 9, 1, None, "card", "r6")],
+        "request_id long, customer_id long, warehouse_id int, items string, method string, provider_ref string")
+    products = spark.createDataFrame([(5, "1.50")], "id long, p string").select("id", F.col("p").cast("decimal(10,2)").alias("price"))
+    stock = spark.createDataFrame([(1, 5, 5)], "warehouse_id int, product_id long, cap int")
+    addresses = spark.createDataFrame([(31, 7, "billing"), (33, 7, "shipping"), (32, 7, "shipping")], "id long, customer_id long, kind string")
+    carts = spark.createDataFrame([(1, 7, "open"), (2, 7, "abandoned"), (3, 8, "open"), (4, None, "open")], "id long, customer_id long, status string")
+    out = checkout(req, products, stock, addresses, carts, "2024-01-01 00:00:00")
+    assert {r.request_id: r.result for r in out["outcomes"].collect()} == {1: "ok", 2: "ok", 3: "invalid_items", 4: "out_of_stock", 5: "out_of_stock", 6: "invalid_items"}
+    assert {(r.order_id, str(r.total_amount), r.shipping_address_id) for r in out["orders"].collect()} == {(1, "4.50", 32), (2, "0.00", 32)}
+    assert {(r.order_id, r.line, r.quantity) for r in out["items"].collect()} == {(1, 1, 2), (1, 2, 1)}
+    assert {r.id: r.status for r in out["carts"].collect()} == {1: "converted", 2: "abandoned", 3: "open", 4: "open"}
+    assert {r.entity_id: r.details for r in out["audit"].collect()} == {1: '{"items":2,"total":"4.50"}', 2: '{"items":0,"total":"0.00"}'}
+
+
+def test_log_lines_are_parsed_or_rejected(spark):
+    from tillbook.sources.files import parse_server_log, rejected_lines
+
+    lines = spark.createDataFrame([(x,) for x in (
+        "2024-01-01 10:00:00.123 UTC [12] u@d app=x y client=10.0.0.1 LOG:  statement: SELECT 1", "\tFROM t", "",
+        "2024-01-01 10:00:00.123 UTC [12] LOG:  checkpoint", "2024-01-01 nonsense")], "value string")
+    parsed = parse_server_log(lines).collect()
+    assert [(r.pid, r.user, r.app, r.level, r.message) for r in parsed] == [(12, "u", "x y", "LOG", "statement: SELECT 1"), (12, None, None, "LOG", "checkpoint")]
+    assert [(r.kind, r.line) for r in rejected_lines(lines).collect()] == [("continuation", "\tFROM t"), ("foreign", ""), ("foreign", "2024-01-01 nonsense")]

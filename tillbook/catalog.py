@@ -15,11 +15,16 @@ _MODULES = (
     "tillbook.plans.metrics",
     "tillbook.plans.shop_jobs",
     "tillbook.plans.book_jobs",
+    "tillbook.plans.checkout",
+    "tillbook.plans.settlement",
     "tillbook.streaming.queries",
+    "tillbook.streaming.live",
     "tillbook.plans.io",
     "tillbook.plans.builds",
     "tillbook.plans.shop_build",
     "tillbook.plans.book_build",
+    "tillbook.plans.engagement",
+    "tillbook.plans.money_build",
 )
 
 

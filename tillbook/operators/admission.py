@@ -3,7 +3,11 @@ exactly as if they were applied one by one in request order, without a per-row l
 
 A request consumes ``amount`` on each of its keys (e.g. every (warehouse, product) of an
 order, or a player's day); it is accepted only if *all* its keys still have room, and a
-refused request consumes nothing. Each round computes, per key and in request order:
+refused request consumes nothing.
+
+Before the rounds, keys whose whole demand fits their capacity are set aside: they can refuse nobody.
+Requests on such keys only are accepted at once (round 0), and only the lines of contested keys go on.
+Each round then computes, per key and in request order:
 
 * ``hi`` - consumption of earlier requests that are accepted *or undecided*,
 * ``lo`` - consumption of earlier requests that are accepted.
@@ -11,10 +15,13 @@ refused request consumes nothing. Each round computes, per key and in request or
 An undecided request with ``hi + own <= cap`` on every key is accepted whatever the
 undecided ones do; one with ``lo + own > cap`` on some key is refused. The earliest
 undecided request has ``lo == hi``, so every round decides at least one request and the
-loop ends; in practice a handful of rounds decide everything. Running sums use the
-segmented scan (a hot key is split by request-number buckets), decisions are written with
-``checkpoint()`` to the shared folder each round (lineage stays short; a lost executor
-recomputes one round).
+loop ends; in practice a handful of rounds decide everything.
+
+What is decided leaves the state by *capacity folding*: refused lines go, keys without undecided requests go,
+and the accepted lines before a key's first undecided request are subtracted from its capacity. Only accepted
+lines behind an undecided one stay. Running sums use the segmented scan (a hot key is split by
+request-number buckets). A round is one job that writes the lines with their verdicts to the shared
+folder: lineage stays one round long, and a lost executor costs tasks of one round.
 """
 
 from __future__ import annotations
@@ -26,7 +33,18 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillbook.operators.windows import sequence_scan
-from tillbook.session import checkpoint_dir
+from tillbook.session import scratch_path
+
+
+def _folded(lines: DataFrame, keys: list[str], seq: str) -> DataFrame:
+    """The live lines of keys with an undecided request, with the accepted ones before it taken off ``cap``."""
+    live = lines.filter(F.col("accepted").isNull() | F.col("accepted"))
+    first = live.groupBy(*keys).agg(F.min(F.when(F.col("accepted").isNull(), F.col(seq))).alias("_first")).filter("_first IS NOT NULL")
+    live = live.join(first, keys)
+    settled = F.col("accepted").isNotNull() & (F.col(seq) < F.col("_first"))
+    taken = live.groupBy(*keys).agg(F.sum(F.when(settled, F.col("_amt")).otherwise(0)).alias("_taken"))
+    return (live.filter(~settled).join(taken, keys)
+            .withColumn("cap", (F.col("cap") - F.col("_taken")).cast(dict(lines.dtypes)["cap"])).drop("_first", "_taken"))
 
 
 def admit(lines: DataFrame, capacity: DataFrame, req: str, seq: str, keys: Sequence[str], amount: str,
@@ -35,55 +53,49 @@ def admit(lines: DataFrame, capacity: DataFrame, req: str, seq: str, keys: Seque
 
     ``lines``: one row per (request, key) with its ``seq`` (total order of requests) and
     ``amount``. ``capacity``: one row per key with ``cap``; keys without a row have no room.
-
-    Each round works on the *active* lines only: the lines of keys that still hold an
-    undecided request, with the verdicts found so far. A key whose requests are all decided
-    cannot change anybody's running sums any more, so it leaves the state, and late rounds
-    touch only the contended keys.
     """
     keys = list(keys)
-    checkpoint_dir(lines.sparkSession)
-    state = (lines.groupBy(req, seq, *keys).agg(F.sum(amount).alias("_amt"))
-             .join(capacity.select(*keys, F.col("cap")), keys, "left")
-             .withColumn("cap", F.coalesce(F.col("cap"), F.lit(0)))
-             .withColumn("_bucket", F.floor(F.col(seq) / F.lit(bucket_rows)).cast("long"))
-             .withColumn("accepted", F.lit(None).cast("boolean"))
-             .checkpoint())
-    schema = f"{req} {dict(state.dtypes)[req]}, accepted boolean, round int"
-    decided = lines.sparkSession.createDataFrame([], schema)
-    for rnd in itertools.count(1):
-        cur = (state.withColumn("_live", F.coalesce(F.col("accepted"), F.lit(True)))   # accepted or undecided
-               .withColumn("_hi_amt", F.when(F.col("_live"), F.col("_amt")).otherwise(0))
-               .withColumn("_lo_amt", F.when(F.col("accepted"), F.col("_amt")).otherwise(0)))
-        # one segmented scan gives both running sums
-        cur = sequence_scan(cur, keys, [seq, req], F.col("_bucket"), sum_cols=["_hi_amt", "_lo_amt"], prefix_sum="_run")
-        cur = cur.withColumnRenamed("_run_hi_amt", "_hi").withColumnRenamed("_run_lo_amt", "_lo")
-        und = cur.filter(F.col("accepted").isNull())
-        # running sums are inclusive: subtract the request's own share to get "earlier only".
-        hi_before = F.col("_hi") - F.col("_hi_amt")
-        lo_before = F.col("_lo") - F.col("_lo_amt")
-        # both counts are observed metrics of the round's checkpoint job: no extra jobs
-        left, got = Observation(), Observation()
-        verdict = (und.groupBy(req)
-                   .agg(F.bool_and(hi_before + F.col("_amt") <= F.col("cap")).alias("_sure_ok"),
-                        F.bool_or(lo_before + F.col("_amt") > F.col("cap")).alias("_sure_bad"))
-                   .observe(left, F.count(F.lit(1)).alias("n")))
-        new = (verdict.filter(F.col("_sure_ok") | F.col("_sure_bad"))
-               .select(req, F.col("_sure_ok").alias("accepted"), F.lit(rnd).alias("round")))
-        new = new.observe(got, F.count(F.lit(1)).alias("n")).checkpoint()
-        n_new, undecided = got.get["n"], left.get["n"]
-        if undecided == 0:
-            break
-        if n_new == 0:  # cannot happen (the earliest undecided request is always decided)
-            raise RuntimeError("admission made no progress")
-        decided = decided.unionByName(new)
-        if n_new == undecided:
-            break
-        upd = (state.join(new.select(req, F.col("accepted").alias("_new")), req, "left")
-               .withColumn("accepted", F.coalesce(F.col("accepted"), F.col("_new"))).drop("_new"))
-        active = upd.filter(F.col("accepted").isNull()).select(*keys).distinct()
-        state = upd.join(active, keys, "left_semi").checkpoint()
-    return decided
+    spark = lines.sparkSession
+
+    def written(df: DataFrame, **counts) -> tuple[DataFrame, Observation]:
+        seen, path = Observation(), scratch_path(spark, "admission")
+        df.observe(seen, *[c.alias(n) for n, c in counts.items()]).write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path), seen
+
+    asked = lines.groupBy(req, seq, *keys).agg(F.sum(amount).alias("_amt"))
+    demand = asked.groupBy(*keys).agg(F.sum("_amt").alias("_demand"))
+    room = demand.join(capacity.select(*keys, F.col("cap")), keys, "left").withColumn("cap", F.coalesce(F.col("cap"), F.lit(0)))
+    start, seen = written(asked.join(room, keys).withColumn("_contested", F.col("_demand") > F.col("cap")).drop("_demand"),
+                          contested=F.count_if("_contested"))
+    by_request = start.groupBy(req).agg(F.bool_or("_contested").alias("_waits"))
+    decided = [by_request.filter(~F.col("_waits")).select(req, F.lit(True).alias("accepted"), F.lit(0).alias("round"))]
+    if seen.get["contested"]:
+        state = start.filter("_contested").drop("_contested").withColumn("accepted", F.lit(None).cast("boolean"))
+        for rnd in itertools.count(1):
+            cur = (state.withColumn("_hi_amt", F.col("_amt"))                      # accepted or undecided
+                   .withColumn("_lo_amt", F.when(F.col("accepted"), F.col("_amt")).otherwise(0)))
+            bucket = F.floor(F.col(seq) / F.lit(bucket_rows)).cast("long")
+            # one segmented scan gives both running sums
+            cur = sequence_scan(cur, keys, [seq, req], bucket, sum_cols=["_hi_amt", "_lo_amt"], prefix_sum="_run")
+            # the sums are inclusive, so the request's own share is in "hi" and is added to "lo"
+            undecided = cur.filter(F.col("accepted").isNull())
+            verdict = undecided.groupBy(req).agg(
+                F.bool_and(F.col("_run_hi_amt") <= F.col("cap")).alias("_ok"),
+                F.bool_or(F.col("_run_lo_amt") + F.col("_amt") > F.col("cap")).alias("_bad"))
+            verdict = verdict.filter("_ok OR _bad").select(req, F.col("_ok").alias("_verdict"))
+            nxt = (state.join(verdict, req, "left").withColumn("accepted", F.coalesce("accepted", "_verdict"))
+                   .withColumn("_new", F.col("_verdict").isNotNull()).drop("_verdict"))
+            now, seen = written(nxt, left=F.count_if(F.col("accepted").isNull()), new=F.count_if("_new"))
+            decided.append(now.filter("_new").select(req, "accepted", F.lit(rnd).alias("round")).distinct())
+            if not seen.get["left"]:
+                break
+            if not seen.get["new"]:  # cannot happen (the earliest undecided request is always decided)
+                raise RuntimeError("admission made no progress")
+            state = _folded(now.drop("_new"), keys, seq)
+    result = decided[0]
+    for more in decided[1:]:
+        result = result.unionByName(more)
+    return result
 
 
 def sequential_admit(rows: list[tuple], caps: dict) -> dict:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tillbook.operators.windows import segment_bucket
-from tillbook.session import checkpoint_dir
+from tillbook.session import scratch_path
 
 _UNB = Window.unboundedPreceding
 
@@ -124,36 +124,38 @@ def transitive_closure(edges: DataFrame, part: Sequence[str], src: str, dst: str
     """Root -> waiter pairs of a waits-for graph, per partition ``part`` (e.g. per sample).
 
     ``edges`` has one row per (waiter ``src``, blocker ``dst``). Roots are blockers that wait
-    for nothing. Each round extends the chain by one edge, drops pairs already found (UNION
-    semantics, so cycles terminate, X14) and stops when no new pair appears. Rounds are
-    bounded by the longest queue, not by the data size; each round's new pairs are written with
-    ``checkpoint()`` to the shared checkpoint folder, so lineage never grows and a lost executor
-    recomputes at most one round.
+    for nothing. The chain is found by *pointer doubling*: round k holds the jumps of exactly 2^k
+    edges and the pairs (waiter, root) within 2^k edges, and one join of the jumps with both gives
+    those of the next round. So a queue of n sessions takes log2(n) rounds, not n.
+
+    It ends when no jump is left, or when a round finds no new pair. That is exact also
+    with cycles (X14): were a root further than 2^(k+1) edges away from some waiter, a session on the
+    shortest way to it would be at a distance between 2^k and 2^(k+1), and its pair would be new.
+    Sessions of a cycle that leads to no root are in no pair.
+
+    Each round is one job that writes its table, hash-partitioned by the last distinct, to the shared
+    checkpoint folder: lineage stays one round long, and a lost executor costs tasks of one round.
+    Both sides of the join are plain exchanges of that table, so AQE can split a hot blocker.
     """
     part = list(part)
     spark = edges.sparkSession
-    checkpoint_dir(spark)
-    # The edge list is read once per round: materialise it once in the shared checkpoint folder,
-    # hash-partitioned on the round's join key so no round shuffles it again.
-    e = (edges.select(*part, F.col(src).alias("_w"), F.col(dst).alias("_b")).distinct()
-         .repartition(*part, "_b").checkpoint())
-    waiting = e.select(*part, F.col("_w").alias("_b")).distinct()
-    chain = (e.join(waiting, part + ["_b"], "left_anti")
-             .select(*part, F.col("_b").alias("root_pid"), F.col("_w").alias("waiting_pid")).distinct())
-    chain = chain.checkpoint()
-    frontier = chain
-    while True:  # ends: every round adds pairs, and there are finitely many
-        f, ed = frontier.alias("f"), e.alias("e")
-        cond = [F.col(f"f.{p}") == F.col(f"e.{p}") for p in part] + [F.col("f.waiting_pid") == F.col("e._b")]
-        nxt = (f.join(ed, cond)
-               .select(*[F.col(f"f.{p}") for p in part], F.col("f.root_pid"), F.col("e._w").alias("waiting_pid"))
-               .distinct()
-               .join(chain, part + ["root_pid", "waiting_pid"], "left_anti"))
-        # the new pairs are counted by an observed metric of the checkpoint job itself: no second job
-        seen = Observation()
-        nxt = nxt.observe(seen, F.count(F.lit(1)).alias("n")).checkpoint()
-        if seen.get["n"] == 0:
+
+    def written(df: DataFrame) -> tuple[DataFrame, int, int]:
+        """The table, its pairs and its jumps, counted by an observed metric of the writing job."""
+        seen, path = Observation(), scratch_path(spark, "closure")
+        df.observe(seen, F.count_if("root").alias("pairs"), F.count_if(~F.col("root")).alias("jumps")).write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path), seen.get["pairs"], seen.get["jumps"]
+
+    e = edges.select(*part, F.col(src).alias("_w"), F.col(dst).alias("_to")).distinct()
+    waiting = e.select(*part, F.col("_w").alias("_to"), F.lit(True).alias("_waits")).distinct()
+    now, pairs, jumps = written(e.join(waiting, part + ["_to"], "left")
+                                .select(*part, "_w", "_to", F.col("_waits").isNull().alias("root")))
+    while jumps:
+        onward = now.select(*part, F.col("_w").alias("_via"), F.col("_to").alias("_end"), F.col("root").alias("_root"))
+        further = (now.filter(~F.col("root")).withColumnRenamed("_to", "_via").join(onward, part + ["_via"])
+                   .select(*part, "_w", F.col("_end").alias("_to"), F.col("_root").alias("root")))
+        before = pairs
+        now, pairs, jumps = written(now.filter("root").unionByName(further).distinct())
+        if pairs == before:
             break
-        chain = chain.unionByName(nxt)
-        frontier = nxt
-    return chain
+    return now.filter("root").select(*part, F.col("_to").alias("root_pid"), F.col("_w").alias("waiting_pid"))

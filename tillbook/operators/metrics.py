@@ -141,6 +141,11 @@ def agg_by(samples: DataFrame, fn: str, by: Sequence[str], default: float | None
     return g.select(F.coalesce(F.col("value"), F.lit(default)).alias("value"))
 
 
+def sort_desc(groups: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Q06: ``sort_desc``: groups with their place by falling value (one row a group; ties by the labels)."""
+    return groups.withColumn("place", F.row_number().over(Window.orderBy(F.col("value").desc(), *by)).cast("bigint"))
+
+
 def outages(checks: DataFrame, target: str = "target", ts: str = "ts", tie: str = "event_id", ok: str = "ok",
             error: str = "error") -> DataFrame:
     """Outage intervals from probe checks (islands of consecutive failed checks).

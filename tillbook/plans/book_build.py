@@ -60,24 +60,23 @@ def q_bets_build(spark, d):
     return legs
 
 
-def top_up_fixtures(matches: DataFrame, share: float = 0.15) -> DataFrame:
-    """Add scheduled matches until at least ``share`` of all matches are scheduled: ids
-    after the largest, competition and teams from id arithmetic (never the same team twice),
-    kick-offs 10 minutes apart, opening odds (G04). Set-based: the shortfall is a one-row
-    aggregate exploded into new ids, no driver round trip."""
-    need = matches.agg(F.max("id").alias("max_id"), F.count(F.lit(1)).alias("n"),
-                       F.count_if(F.col("status") == "scheduled").alias("scheduled"))
-    missing = (F.floor(F.col("n") * F.lit(share)) - F.col("scheduled")).cast("int")
-    new = (need.filter(missing > 0).select("max_id", F.explode(F.sequence(F.lit(1), missing)).alias("i"))
-           .select((F.col("max_id") + F.col("i")).alias("id"), "i"))
+def top_up_fixtures(matches: DataFrame, target: int) -> DataFrame:
+    """Add scheduled matches until ``target`` are scheduled: ids after the largest, competition and
+    teams from id arithmetic (never the same team twice), kick-offs 10 minutes apart, opening odds (G04).
+
+    Only the largest id and the shortfall, two numbers, reach the driver. The new ids are a range that
+    Spark deals out over its tasks, each of which knows its own part of it.
+    """
+    now = matches.agg(F.max("id").alias("last"), F.count_if(F.col("status") == "scheduled").alias("scheduled")).first()
+    last = now["last"] or 0
     n = F.col("id")
     comp = 1 + n % 12
     home_ix = (n * 7) % 20
-    return new.select(
+    return matches.sparkSession.range(last + 1, last + 1 + max(0, target - now["scheduled"])).select(
         "id", comp.cast("int").alias("competition_id"),
         ((comp - 1) * 20 + 1 + home_ix).cast("int").alias("home_team_id"),
         ((comp - 1) * 20 + 1 + (home_ix + 1 + n % 19) % 20).cast("int").alias("away_team_id"),
-        (F.col("i") * 10).cast("int").alias("starts_in_minutes"), F.lit("scheduled").alias("status"),
+        ((n - F.lit(last)) * 10).cast("int").alias("starts_in_minutes"), F.lit("scheduled").alias("status"),
         F.lit(0).alias("home_score"), F.lit(0).alias("away_score"))
 
 
@@ -103,7 +102,8 @@ FROM new JOIN (
        range(1, 8) r(k)) s ON s.event_id = new.id""")
 def q_fixture_top_up(spark, d):
     """The new fixtures with their seven opening odds each."""
-    new = top_up_fixtures(Tables(spark, d).matches_v)
+    matches = Tables(spark, d).matches_v
+    new = top_up_fixtures(matches, matches.count() * 15 // 100)
     sel = build_selections(new)
     return sel.join(new.select(F.col("id").alias("event_id"), "competition_id", "starts_in_minutes"), "event_id") \
         .select("event_id", "selection_id", "market", "name", "odds", "competition_id", "starts_in_minutes")

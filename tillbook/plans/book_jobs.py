@@ -16,9 +16,10 @@ from tillbook.operators.joins import anti_join, semi_join
 from tillbook.operators.windows import last_n, running_sum, segment_bucket, segment_seconds
 from tillbook.plans.registry import register
 from tillbook.plans.sportsbook import MONEY, _bets_final, leg_results, mission_qualifiers, odds_product
+from tillbook.session import EVENTS_AS_OF
 from tillbook.sources.adapters import Tables
 
-BOOK_AS_OF = "2024-01-15 12:00:00"
+BOOK_AS_OF = EVENTS_AS_OF   # the clock of the jobs: the end of the events
 
 
 # ---- B20 / M07: selections with opening odds and results ---------------------------------------
@@ -159,16 +160,19 @@ def q_negative_balances(spark, d):
 # ---- M06 settlement -------------------------------------------------------------------------------
 
 def settle(matches: DataFrame, bets: DataFrame, legs: DataFrame, n: int | None = 20, chosen: DataFrame | None = None):
-    """Settle the first ``n`` finished matches (all if None; of those in ``chosen`` (id) if given). ``matches`` is the whole table: their open bets become lost (any lost leg, X9),
+    """Settle the first ``n`` finished matches (all if None; of those in ``chosen`` (id) if given), by finish where ``matches``
+    has finished_at, then id. ``matches`` is the whole table: their open bets become lost (any lost leg, X9),
     won (every leg decided) or keep waiting; winners get a ledger credit; matches -> settled.
 
     Returns (bet outcomes, ledger rows, settled match ids).
     """
-    batch = matches.filter(F.col("status") == "finished").select(F.col("id").alias("m_id"))
+    by = ["finished_at"] if "finished_at" in matches.columns else []
+    batch = matches.filter(F.col("status") == "finished").select(F.col("id").alias("m_id"), *by)
     if chosen is not None:
         batch = batch.join(chosen.select(F.col("id").alias("m_id")).distinct(), "m_id", "left_semi")
     if n is not None:
-        batch = batch.orderBy("m_id").limit(n)
+        batch = batch.orderBy(*by, "m_id").limit(n)
+    batch = batch.select("m_id")
     settling = batch if n is None else F.broadcast(batch)  # at most n rows: bounded by the batch size
     lr = leg_results(legs, matches).join(settling, F.col("m_id") == F.col("event_id"), "left")
     decided = (F.col("_mstatus") == "settled") | F.col("m_id").isNotNull()
@@ -357,16 +361,17 @@ def validate_bets(requests: DataFrame, players: DataFrame, matches: DataFrame) -
 
 def _bet_requests(t: Tables):
     e = t.events.filter(F.col("event_type") == "purchase")
-    base_odds = F.element_at(implied_odds(F.col("event_id") % 200), (1 + F.col("event_id") % 3).cast("int"))
+    match = F.col("event_id") % t.part.agg(F.max("p_partkey")).scalar()   # over all matches, however many
+    base_odds = F.element_at(implied_odds(match), (1 + F.col("event_id") % 3).cast("int"))
     seen = (base_odds * (F.lit(97) + F.col("event_id") % 7).cast("decimal(5,0)") * F.lit(0.01).cast("decimal(3,2)")) \
         .cast("decimal(7,3)")
     return e.select(F.col("event_id").alias("request_id"), F.col("user_id").alias("player_id"),
-                    (F.col("event_id") % 200).alias("event_id"), (1 + F.col("event_id") % 3).cast("int").alias("outcome"),
+                    match.alias("event_id"), (1 + F.col("event_id") % 3).cast("int").alias("outcome"),
                     F.col("value").cast("decimal(12,2)").alias("stake"), seen.alias("seen_odds"), "ts")
 
 
 @register("bet_validation", adapters=("players_v", "matches_v"), oracle=_SEL_SQL.replace("FROM matches_v m", "FROM matches_v m") + """,
-req AS (SELECT event_id AS request_id, user_id AS player_id, event_id % 200 AS match_id, CAST(1 + event_id % 3 AS INT) AS outcome,
+req AS (SELECT event_id AS request_id, user_id AS player_id, event_id % (SELECT max(p_partkey) FROM part) AS match_id, CAST(1 + event_id % 3 AS INT) AS outcome,
                CAST(value AS DECIMAL(12,2)) AS stake, event_id FROM events WHERE event_type = 'purchase'),
 r2 AS (SELECT r.*, s.odds AS current_odds,
               CAST(s.odds * CAST(97 + r.event_id % 7 AS DECIMAL(5,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(7,3)) AS seen_odds
@@ -450,7 +455,7 @@ _TAKE = "CASE WHEN w.result = 'ok' THEN w.stake ELSE 0 END"
 
 @register("bet_decisions", adapters=("players_v", "matches_v", "money_events_v"), oracle="WITH RECURSIVE "
           + _SEL_SQL.removeprefix("WITH ") + f""",
-req AS (SELECT event_id AS request_id, user_id AS player_id, event_id % 200 AS match_id, CAST(1 + event_id % 3 AS INT) AS outcome,
+req AS (SELECT event_id AS request_id, user_id AS player_id, event_id % (SELECT max(p_partkey) FROM part) AS match_id, CAST(1 + event_id % 3 AS INT) AS outcome,
                CAST(value AS DECIMAL(12,2)) AS stake, event_id, ts FROM events WHERE event_type = 'purchase'),
 r2 AS (SELECT r.*, s.odds AS current_odds,
               CAST(s.odds * CAST(97 + r.event_id % 7 AS DECIMAL(5,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(7,3)) AS seen_odds

@@ -28,8 +28,11 @@ def server_log_lines(requests: DataFrame) -> DataFrame:
            .when(F.col("result") == "deadlock", "deadlock detected").otherwise("out of stock"))
     prefix = F.format_string("%s UTC [%d] %s@shop app=%s client=10.0.0.%d ", ts, F.col("user_id") + 1000, user,
                              F.col("tx"), F.col("user_id") % 250)
+    # every ninth statement has a second line, every fiftieth a line of another program follows
+    more = F.when(F.col("event_id") % 9 == 0, F.format_string("\n\tFOR UPDATE OF t%d", F.col("event_id") % 4)).otherwise("")
+    foreign = F.when(F.col("event_id") % 50 == 7, F.lit("\n[warn] clock moved")).otherwise("")
     lines = requests.select(F.concat(prefix, F.when(F.col("result") == "ok", "LOG").otherwise("ERROR"),
-                                     F.lit(":  "), msg).alias("value"))
+                                     F.lit(":  "), msg, more, foreign).alias("value"))
     cls = F.when(F.col("event_id") % 2 == 0, "DDL").otherwise("ROLE")
     cmd = F.when(F.col("event_id") % 2 == 0, "ALTER TABLE").otherwise("GRANT")
     obj = F.concat(F.lit("shop.t"), (F.col("event_id") % 10).cast("string"))
@@ -40,11 +43,14 @@ def server_log_lines(requests: DataFrame) -> DataFrame:
     return lines.unionByName(audit)
 
 
-def _parsed_log(t: Tables):
-    spark = t.spark
-    path = scratch_path(spark, "server-log")
+def _log_lines(t: Tables):
+    path = scratch_path(t.spark, "server-log")
     server_log_lines(t.requests_v).write.mode("overwrite").text(path)
-    return S.parse_server_log(spark.read.text(path))
+    return t.spark.read.text(path)
+
+
+def _parsed_log(t: Tables):
+    return S.parse_server_log(_log_lines(t))
 
 
 _LOG_SQL = """WITH r AS (SELECT * FROM requests_v),
@@ -76,6 +82,21 @@ def q_server_log_parsed(spark, d):
     return _parsed_log(Tables(spark, d))
 
 
+@register("server_log_lines", adapters=("requests_v",), oracle="""
+WITH l AS (
+  SELECT 'parsed' AS kind, '' AS line, count(*) + count(*) FILTER (WHERE tx = 'error') AS n FROM requests_v
+  UNION ALL SELECT 'continuation', chr(9) || 'FOR UPDATE OF t' || CAST(event_id % 4 AS VARCHAR), count(*) FROM requests_v
+  WHERE event_id % 9 = 0 GROUP BY 2
+  UNION ALL SELECT 'foreign', '[warn] clock moved', count(*) FROM requests_v WHERE event_id % 50 = 7)
+SELECT kind, line, n AS lines FROM l WHERE n > 0""")
+def q_server_log_lines(spark, d):
+    """Every line of the log is either parsed or rejected, and counted."""
+    lines = _log_lines(Tables(spark, d))
+    parsed = S.parse_server_log(lines).agg(F.lit("parsed").alias("kind"), F.lit("").alias("line"), F.count(F.lit(1)).alias("lines"))
+    rest = S.rejected_lines(lines).groupBy("kind", "line").agg(F.count(F.lit(1)).alias("lines"))
+    return parsed.unionByName(rest).filter("lines > 0")
+
+
 @register("audit_parsed", adapters=("requests_v",), oracle=_LOG_SQL + """
 SELECT ts, "user", db, CAST(split_part(message, ',', 2) AS INT) AS statement_id, split_part(message, ',', 4) AS class,
        split_part(message, ',', 5) AS command, split_part(message, ',', 6) AS object_type,
@@ -200,79 +221,103 @@ def q_orders_evolved(spark, d):
     return S.evolve(both, {"channel": F.lit("web")}).select("id", "status", "channel")
 
 
+# ---- S09 snapshots ----------------------------------------------------------------------------------
+
 _SNAPSHOT_STEPS = {"ggr": "ggr_daily", "turnover": "competition_turnover", "self_excluded": "self_excluded_bets",
                    "deposits": "large_deposits", "liability": "open_liability"}
+_BI_STEPS = {"orders_by_month": "monthly_status", "top_products": "top_products", "delivery": "delivery_times",
+             "movements": "movement_summary", "shipment_events": "event_daily"}
 
 
-def _snapshot_oracle() -> str:
-    """Rows per step, each step being the oracle of its single run (the snapshot must not change them)."""
-    from tillbook.plans import sportsbook  # noqa: F401  (registers the single runs and their oracles)
+def _step_oracles(steps: dict[str, str]) -> dict[str, str]:
+    """Each step must give the rows of its single run (the snapshot must not change them)."""
+    from tillbook.plans import shop, sportsbook  # noqa: F401  (register the single runs and their oracles)
     from tillbook.plans.registry import ORACLES
 
-    return "\nUNION ALL\n".join(f"SELECT '{step}' AS step, count(*) AS rows FROM (\n{ORACLES[name]}\n) q_{step}"
-                                 for step, name in _SNAPSHOT_STEPS.items())
+    return {step: ORACLES[name] for step, name in steps.items()}
 
 
-@register("regulatory_snapshot", oracle=_snapshot_oracle())
-def q_regulatory_snapshot(spark, d):
-    """The regulatory report's steps over one snapshot (each input materialised once and
-    shared by every step): rows per step, equal to the single runs of the same reports."""
+def _count_oracle(steps: dict[str, str]) -> str:
+    return "\nUNION ALL\n".join(f"SELECT '{step}' AS step, count(*) AS rows FROM (\n{sql}\n) q_{step}"
+                                 for step, sql in _step_oracles(steps).items())
+
+
+class SnapshotTables(Tables):
+    """The driver tables as they are at the start of a report."""
+
+    def __init__(self, spark, sf_dir: str, names: tuple[str, ...]):
+        super().__init__(spark, sf_dir)
+        live = Tables(spark, sf_dir)
+        self.snapshot = S.Snapshot({n: live.raw(n) for n in names})
+
+    def raw(self, name: str) -> DataFrame:
+        return self.snapshot[name]
+
+
+def regulatory_steps(t: SnapshotTables) -> dict:
+    """The regulatory report's steps; the finalised bets, which four of them read, are computed once."""
     from tillbook.plans import sportsbook as B
     from tillbook.session import ORDERS_AS_OF
 
-    t = Tables(spark, d)
-    snap_inputs = {"bets": B.finalise_bets(t.bets_v, t.legs_v, t.matches_v), "players": t.players_v,
-                   "legs": t.legs_v, "matches": t.matches_v, "ledger": t.money_events_v}
-    steps = {
-        "ggr": lambda s: B.ggr_daily(s["bets"], s["players"], ORDERS_AS_OF),
-        "turnover": lambda s: B.competition_turnover(s["legs"], s["bets"], s["matches"], ORDERS_AS_OF, days=90),
-        "self_excluded": lambda s: B.self_excluded_bets(s["players"], s["bets"], ORDERS_AS_OF, days=365),
-        "deposits": lambda s: B.large_deposits(s["ledger"], EVENTS_AS_OF, limit=200, days=10),
-        "liability": lambda s: B.open_liability(s["bets"], s["legs"]),
+    def bets() -> DataFrame:
+        return t.snapshot.derived("bets", lambda: B.finalise_bets(t.bets_v, t.legs_v, t.matches_v))
+
+    return {
+        "ggr": lambda: B.ggr_daily(bets(), t.players_v, ORDERS_AS_OF),
+        "turnover": lambda: B.competition_turnover(t.legs_v, bets(), B.match_starts(t.matches_v), ORDERS_AS_OF),
+        "self_excluded": lambda: B.self_excluded_bets(t.players_v, bets(), ORDERS_AS_OF, days=365),
+        "deposits": lambda: B.large_deposits(t.money_events_v, EVENTS_AS_OF, limit=200, days=10),
+        "liability": lambda: B.open_liability(bets(), t.legs_v),
     }
-    out = S.with_snapshot(snap_inputs, steps)
-    parts = [df.agg(F.lit(name).alias("step"), F.count(F.lit(1)).alias("rows")) for name, df in out.items()]
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    return res
 
 
-_BI_STEPS = {"orders_by_month": "monthly_status", "top_products": "top_products", "delivery": "delivery_times",
-             "movements": "movement_summary", "shipment_events": "event_daily"}
+def bi_steps(t: SnapshotTables) -> dict:
+    """The shop's BI extract."""
+    from tillbook.plans import shop as P
 
+    return {
+        "orders_by_month": lambda: P.monthly_status(t.orders_v),
+        "top_products": lambda: P.top_products(t.order_items_v),
+        "delivery": lambda: P.delivery_times(t.shipments_v),
+        "movements": lambda: P.movement_summary(t.stock_movements_v),
+        "shipment_events": lambda: P.event_daily(t.events, EVENTS_AS_OF),
+    }
 
-def _bi_extract_oracle() -> str:
-    from tillbook.plans import shop  # noqa: F401  (registers the single runs and their oracles)
-    from tillbook.plans.registry import ORACLES
 
-    return "\nUNION ALL\n".join(f"SELECT '{step}' AS step, count(*) AS rows FROM (\n{ORACLES[name]}\n) q_{step}"
-                                for step, name in _BI_STEPS.items())
+_REPORTS = {"regulatory": (regulatory_steps, _SNAPSHOT_STEPS, ("customer", "nation", "part", "orders", "lineitem", "events")),
+            "bi": (bi_steps, _BI_STEPS, ("part", "orders", "lineitem", "events"))}
 
 
-@register("bi_extract", oracle=_bi_extract_oracle())
+def _step_counts(spark, d, report: str) -> DataFrame:
+    make, _, names = _REPORTS[report]
+    steps = make(SnapshotTables(spark, d, names))
+    counts = [step().agg(F.lit(name).alias("step"), F.count(F.lit(1)).alias("rows")) for name, step in steps.items()]
+    res = counts[0]
+    for c in counts[1:]:
+        res = res.unionByName(c)
+    return res
+
+
+@register("regulatory_snapshot", oracle=_count_oracle(_SNAPSHOT_STEPS))
+def q_regulatory_snapshot(spark, d):
+    """The regulatory report's steps over one snapshot: rows per step, equal to the single runs."""
+    return _step_counts(spark, d, "regulatory")
+
+
+@register("bi_extract", oracle=_count_oracle(_BI_STEPS))
 def q_bi_extract(spark, d):
-    """S09 for the shop: the BI extract's five steps over one snapshot of the shop tables
-    (each input materialised once and shared); rows per step, equal to the single runs."""
-    from tillbook.plans import shop as P
+    """S09 for the shop: the BI extract's five steps over one snapshot; rows per step."""
+    return _step_counts(spark, d, "bi")
 
-    t = Tables(spark, d)
-    # only the columns the steps read are materialised: the snapshot copy stays as small as the report
-    snap_inputs = {"orders": t.orders_v.select("created_at", "status", "total_amount"),
-                   "lines": t.order_items_v.select("product_id", "quantity", "unit_price"),
-                   "shipments": t.shipments_v.select("carrier_id", "shipped_at", "delivered_at"),
-                   "movements": t.stock_movements_v.select("warehouse_id", "reason", "quantity"),
-                   "events": t.events.select("ts", "event_type")}
-    steps = {
-        "orders_by_month": lambda s: P.monthly_status(s["orders"]),
-        "top_products": lambda s: P.top_products(s["lines"]),
-        "delivery": lambda s: P.delivery_times(s["shipments"]),
-        "movements": lambda s: P.movement_summary(s["movements"]),
-        "shipment_events": lambda s: P.event_daily(s["events"], EVENTS_AS_OF),
-    }
-    out = S.with_snapshot(snap_inputs, steps)
-    parts = [df.agg(F.lit(name).alias("step"), F.count(F.lit(1)).alias("rows")) for name, df in out.items()]
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    return res
+
+def _register_steps() -> None:
+    """The rows of every step of both snapshots, each against its single run's oracle."""
+    for report, (make, steps, names) in _REPORTS.items():
+        for step, sql in _step_oracles(steps).items():
+            def run(spark, d, make=make, step=step, names=names):
+                return make(SnapshotTables(spark, d, names))[step]()
+
+            register(f"snapshot_{report}_{step}", oracle=sql)(run)
+
+
+_register_steps()

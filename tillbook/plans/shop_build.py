@@ -12,7 +12,7 @@ from tillbook.functions import classify_error, outcome_class, pick, skewed_key,
 from tillbook.operators.windows import latest_per_key
 from tillbook.plans.build import cross_list, fan_out
 from tillbook.plans.registry import register
-from tillbook.plans.shop_jobs import CART_AS_OF, carts_from_events
+from tillbook.plans.shop_jobs import CART_AS_OF, carts_from_events, n_products
 from tillbook.session import scratch_path
 from tillbook.sources.adapters import Tables
 
@@ -181,19 +181,18 @@ def insert_ignore(existing: DataFrame, new: DataFrame, keys: list[str], order: l
 
 
 @register("wishlist_insert_ignore", oracle="""
-WITH new AS (SELECT user_id AS customer_id, event_id % 200 AS product_id, min(ts) AS added_at FROM events
+WITH new AS (SELECT user_id AS customer_id, (user_id * 13 + event_id % 3) % (SELECT max(p_partkey) FROM part) AS product_id, min(ts) AS added_at FROM events
              WHERE event_type = 'view' GROUP BY 1, 2),
-existing AS (SELECT DISTINCT user_id AS customer_id, event_id % 200 AS product_id FROM events WHERE event_type = 'click')
+existing AS (SELECT DISTINCT user_id AS customer_id, (user_id * 13 + event_id % 3) % (SELECT max(p_partkey) FROM part) AS product_id FROM events WHERE event_type = 'click')
 SELECT n.* FROM new n WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.customer_id = n.customer_id
                                                                    AND e.product_id = n.product_id)""")
 def q_wishlist_insert_ignore(spark, d):
     """B07 on wishlists: products viewed become wishlist rows unless the pair exists already."""
-    e = Tables(spark, d).events
-    new = e.filter(F.col("event_type") == "view").select(F.col("user_id").alias("customer_id"),
-                                                         (F.col("event_id") % 200).alias("product_id"),
-                                                         F.col("ts").alias("added_at"))
-    existing = e.filter(F.col("event_type") == "click").select(F.col("user_id").alias("customer_id"),
-                                                               (F.col("event_id") % 200).alias("product_id"))
+    t = Tables(spark, d)
+    product = ((F.col("user_id") * 13 + F.col("event_id") % 3) % n_products(t)).alias("product_id")
+    e = t.events.select("event_type", F.col("user_id").alias("customer_id"), product, F.col("ts").alias("added_at"))
+    new = e.filter(F.col("event_type") == "view").drop("event_type")
+    existing = e.filter(F.col("event_type") == "click").select("customer_id", "product_id")
     return insert_ignore(existing, new, ["customer_id", "product_id"], ["added_at"])
 
 
@@ -259,7 +258,8 @@ SELECT user_id AS customer_id, arg_max(id, (updated_at, id)) AS id, max(updated_
 WHERE buys = 0 AND errs = 0 AND user_id % 5 <> 0 GROUP BY 1""")
 def q_latest_open_cart(spark, d):
     """Each customer's latest open cart as a max_by aggregate."""
-    carts, _ = carts_from_events(Tables(spark, d).events, CART_AS_OF)
+    t = Tables(spark, d)
+    carts, _ = carts_from_events(t.events, n_products(t), CART_AS_OF)
     return latest_per_key(carts.filter((F.col("status") == "open") & F.col("customer_id").isNotNull()),
                           ["customer_id"], ["updated_at", "id"], ["id", "updated_at"])
 

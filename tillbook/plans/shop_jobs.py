@@ -3,7 +3,7 @@ nothing is updated in place (Parquet has no row updates; a caller writes the new
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.functions import changed, trunc_ts, ts_lit
@@ -11,9 +11,11 @@ from tillbook.operators.admission import admit
 from tillbook.operators.joins import anti_join
 from tillbook.operators.windows import latest_per_key
 from tillbook.plans.registry import register
+from tillbook.session import EVENTS_AS_OF
 from tillbook.sources.adapters import Tables
 
-CART_AS_OF = "2024-01-15 12:00:00"
+CART_AS_OF = EVENTS_AS_OF              # the clean-up runs at the end of the events
+UPSERT_AS_OF = "2024-01-30 12:00:00"   # carts before this time, requests after it
 SHOP_AS_OF = "2001-08-02 00:00:00"
 
 
@@ -23,8 +25,9 @@ def _minutes(n: int):
 
 # ---- fixtures derived from the events table ---------------------------------------------------
 
-def carts_from_events(events: DataFrame, as_of: str):
-    """Carts (one per user and day, guests = user_id % 5 == 0) and their items, as of ``as_of``."""
+def carts_from_events(events: DataFrame, products: Column, as_of: str):
+    """Carts (one per user and day, guests = user_id % 5 == 0) and their items, as of ``as_of``; ``products`` is the
+    number of products, over all of which the items are spread."""
     e = events.filter(F.col("ts") <= ts_lit(as_of))
     carts = (e.groupBy("user_id", trunc_ts("day", "ts").alias("day"))
              .agg(F.min("event_id").alias("id"), F.min("ts").alias("created_at"), F.max("ts").alias("updated_at"),
@@ -36,12 +39,17 @@ def carts_from_events(events: DataFrame, as_of: str):
         F.when(F.col("_buys") > 0, "converted").when(F.col("_errors") > 0, "abandoned").otherwise("open").alias("status"),
         "created_at", "updated_at")
     items = (e.filter(F.col("event_type").isin("view", "click"))
-             .select("user_id", trunc_ts("day", "ts").alias("day"), (F.col("event_id") % 200).alias("product_id"))
+             .select("user_id", trunc_ts("day", "ts").alias("day"), (F.col("event_id") % products).alias("product_id"))
              .join(carts.select(F.col("id").alias("cart_id"), "user_id", "day"), ["user_id", "day"])
              .groupBy("cart_id", "product_id").agg(F.count(F.lit(1)).cast("int").alias("quantity")))
     return carts.drop("user_id", "day"), items
 
 
+def n_products(t: Tables) -> Column:
+    """The number of products: a scalar subquery."""
+    return t.part.agg(F.max("p_partkey")).scalar()
+
+
 _CARTS_SQL = f"""WITH e AS (SELECT * FROM events WHERE ts <= TIMESTAMP '{CART_AS_OF}'),
 g AS (SELECT user_id, date_trunc('day', ts) AS day, min(event_id) AS id, min(ts) AS created_at, max(ts) AS updated_at,
              count(*) FILTER (WHERE event_type = 'purchase') AS buys, count(*) FILTER (WHERE event_type = 'error') AS errs
@@ -49,7 +57,7 @@ g AS (SELECT user_id, date_trunc('day', ts) AS day, min(event_id) AS id, min(ts)
 carts AS (SELECT id, user_id, day, CASE WHEN user_id % 5 = 0 THEN NULL ELSE user_id END AS customer_id,
                  CASE WHEN buys > 0 THEN 'converted' WHEN errs > 0 THEN 'abandoned' ELSE 'open' END AS status,
                  created_at, updated_at FROM g),
-items AS (SELECT c.id AS cart_id, e.event_id % 200 AS product_id, CAST(count(*) AS INT) AS quantity
+items AS (SELECT c.id AS cart_id, e.event_id % (SELECT max(p_partkey) FROM part) AS product_id, CAST(count(*) AS INT) AS quantity
           FROM e JOIN carts c ON c.user_id = e.user_id AND c.day = date_trunc('day', e.ts)
           WHERE e.event_type IN ('view', 'click') GROUP BY 1, 2),
 swept AS (
@@ -88,7 +96,8 @@ def cleanup_carts(carts: DataFrame, items: DataFrame, as_of: str):
 @register("cart_cleanup", oracle=_CARTS_SQL + """
 SELECT id, customer_id, status, updated_at FROM swept WHERE id NOT IN (SELECT id FROM gone)""")
 def q_cart_cleanup(spark, d):
-    carts, items = carts_from_events(Tables(spark, d).events, CART_AS_OF)
+    t = Tables(spark, d)
+    carts, items = carts_from_events(t.events, n_products(t), CART_AS_OF)
     new_carts, _, _ = cleanup_carts(carts, items, CART_AS_OF)
     return new_carts.select("id", "customer_id", "status", "updated_at")
 
@@ -98,7 +107,8 @@ SELECT (SELECT count(*) FROM swept WHERE just_abandoned) AS abandoned, (SELECT c
        (SELECT count(*) FROM items WHERE cart_id IN (SELECT id FROM gone)) AS items_deleted,
        (SELECT count(*) FROM items WHERE cart_id NOT IN (SELECT id FROM gone)) AS items_kept""")
 def q_cart_cleanup_counts(spark, d):
-    carts, items = carts_from_events(Tables(spark, d).events, CART_AS_OF)
+    t = Tables(spark, d)
+    carts, items = carts_from_events(t.events, n_products(t), CART_AS_OF)
     _, new_items, counts = cleanup_carts(carts, items, CART_AS_OF)
     kept = new_items.agg(F.count(F.lit(1))).scalar()   # one-row aggregates as scalar subqueries
     total = items.agg(F.count(F.lit(1))).scalar()
@@ -352,10 +362,10 @@ def upsert_cart(requests: DataFrame, carts: DataFrame, items: DataFrame) -> Data
     return old.unionByName(add).groupBy("cart_id", "product_id").agg(F.sum("quantity").cast("int").alias("quantity"))
 
 
-@register("cart_upsert", oracle=_CARTS_SQL + f""",
+@register("cart_upsert", oracle=_CARTS_SQL.replace(CART_AS_OF, UPSERT_AS_OF) + f""",
 req AS (SELECT event_id AS request_id, CASE WHEN user_id % 5 = 0 THEN NULL ELSE user_id END AS customer_id,
-               event_id % 200 AS product_id, CAST(1 + event_id % 3 AS INT) AS quantity FROM events
-        WHERE event_type = 'click' AND ts > TIMESTAMP '{CART_AS_OF}' AND ts <= TIMESTAMP '{CART_AS_OF}' + INTERVAL 12 HOUR),
+               event_id % (SELECT max(p_partkey) FROM part) AS product_id, CAST(1 + event_id % 3 AS INT) AS quantity FROM events
+        WHERE event_type = 'click' AND ts > TIMESTAMP '{UPSERT_AS_OF}'),
 lat AS (SELECT customer_id, arg_max(id, (updated_at, id)) AS open_cart FROM carts
         WHERE status = 'open' AND customer_id IS NOT NULL GROUP BY 1),
 r AS (SELECT coalesce(l.open_cart, -q.request_id) AS cart_id, q.product_id, q.quantity FROM req q
@@ -364,11 +374,11 @@ allrows AS (SELECT cart_id, product_id, quantity FROM items WHERE cart_id IN (SE
             UNION ALL SELECT * FROM r)
 SELECT cart_id, product_id, CAST(sum(quantity) AS INT) AS quantity FROM allrows GROUP BY 1, 2""")
 def q_cart_upsert(spark, d):
-    ev = Tables(spark, d).events
-    carts, items = carts_from_events(ev, CART_AS_OF)
-    req = ev.filter((F.col("event_type") == "click") & (F.col("ts") > ts_lit(CART_AS_OF))
-                    & (F.col("ts") <= ts_lit(CART_AS_OF) + F.make_dt_interval(hours=F.lit(12)))).select(
+    t = Tables(spark, d)
+    ev = t.events
+    carts, items = carts_from_events(ev, n_products(t), UPSERT_AS_OF)
+    req = ev.filter((F.col("event_type") == "click") & (F.col("ts") > ts_lit(UPSERT_AS_OF))).select(
         F.col("event_id").alias("request_id"),
         F.when(F.col("user_id") % 5 == 0, F.lit(None).cast("bigint")).otherwise(F.col("user_id")).alias("customer_id"),
-        (F.col("event_id") % 200).alias("product_id"), (1 + F.col("event_id") % 3).cast("int").alias("quantity"))
+        (F.col("event_id") % n_products(t)).alias("product_id"), (1 + F.col("event_id") % 3).cast("int").alias("quantity"))
     return upsert_cart(req, carts, items)

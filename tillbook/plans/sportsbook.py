@@ -85,12 +85,19 @@ def ggr_daily(bets: DataFrame, players: DataFrame, as_of: str, days: int = 30) -
             .withColumn("ggr", (F.col("turnover") - F.col("payouts")).cast(MONEY)))
 
 
+def match_starts(matches: DataFrame) -> DataFrame:
+    """The fixture's start of every match: over the 60 days before the report and the two after it."""
+    return matches.withColumn("starts_at", ts_lit(ORDERS_AS_OF) + F.make_dt_interval(
+        days=(2 - F.col("id") * 13 % 62).cast("int"), hours=(F.col("id") % 24).cast("int")))
+
+
 def competition_turnover(legs: DataFrame, bets: DataFrame, matches: DataFrame, as_of: str,
                          days: int = 30) -> DataFrame:
-    """Turnover and legs per competition; the stake is counted once per leg, as in the reference."""
-    b = bets.filter(F.col("placed_at") >= _since(as_of, days)).select(F.col("id").alias("b_id"), "stake")
-    m = matches.select(F.col("id").alias("m_id"), "competition_id")
-    return (legs.join(b, F.col("b_id") == F.col("bet_id")).join(m, F.col("m_id") == F.col("event_id"))
+    """Turnover and legs per competition, of the matches that start from ``days`` before ``as_of`` on; the stake
+    counts once per leg. The matches choose the legs before the bets are joined."""
+    m = matches.filter(F.col("starts_at") >= _since(as_of, days)).select(F.col("id").alias("m_id"), "competition_id")
+    b = bets.select(F.col("id").alias("b_id"), "stake")
+    return (legs.join(m, F.col("m_id") == F.col("event_id")).join(b, F.col("b_id") == F.col("bet_id"))
             .groupBy("competition_id")
             .agg(F.count(F.lit(1)).alias("legs"), F.sum("stake").cast(MONEY).alias("turnover")))
 
@@ -248,32 +255,34 @@ def q_odds_product_fp(spark, d):
     return legs.groupBy("bet_id").agg(F.round(odds_product_fp("odds"), 8).alias("total_odds_fp"))
 
 
-@register("ggr_daily", adapters=_BETS + ("players_v",), oracle=f"""WITH {_LEG_RESULTS_SQL}
-SELECT CAST(b.placed_at AS DATE) AS day, p.country_code, count(*) AS bets, CAST(sum(b.stake) AS DECIMAL(38,2)) AS turnover,
-       CAST(sum(coalesce(b.payout, 0)) AS DECIMAL(38,2)) AS payouts,
-       CAST(sum(b.stake) - sum(coalesce(b.payout, 0)) AS DECIMAL(38,2)) AS ggr
-FROM bets_final b JOIN players_v p ON p.id = b.player_id
-WHERE b.placed_at >= TIMESTAMP '2001-08-02 00:00:00' - INTERVAL 30 DAY
-GROUP BY 1, 2""")
+@register("ggr_daily", adapters=_BETS + ("players_v",), oracle=f"""WITH {_LEG_RESULTS_SQL},
+d AS (SELECT player_id, CAST(placed_at AS DATE) AS day, count(*) AS n, sum(stake) AS staked, sum(payout) AS paid
+      FROM bets_final WHERE placed_at + INTERVAL 30 DAY >= TIMESTAMP '2001-08-02 00:00:00' GROUP BY ALL),
+c AS (SELECT day, country_code, sum(n) AS n, sum(staked) AS staked, sum(ifnull(paid, 0)) AS paid
+      FROM d JOIN players_v ON players_v.id = player_id GROUP BY ALL)
+SELECT day, country_code, CAST(n AS BIGINT) AS bets, CAST(staked AS DECIMAL(38,2)) AS turnover, CAST(paid AS DECIMAL(38,2)) AS payouts,
+       CAST(staked - paid AS DECIMAL(38,2)) AS ggr
+FROM c""")
 def q_ggr_daily(spark, d):
     t = Tables(spark, d)
     return ggr_daily(_bets_final(t), t.players_v, ORDERS_AS_OF)
 
 
 @register("competition_turnover", adapters=("legs_v", "bets_v", "matches_v"), oracle="""
-SELECT m.competition_id, count(*) AS legs, CAST(sum(b.stake) AS DECIMAL(38,2)) AS turnover
-FROM legs_v l JOIN bets_v b ON b.id = l.bet_id JOIN matches_v m ON m.id = l.event_id
-WHERE b.placed_at >= TIMESTAMP '2001-08-02 00:00:00' - INTERVAL 90 DAY
-GROUP BY 1""")
+WITH m AS (SELECT id, competition_id, TIMESTAMP '2001-08-02 00:00:00' + to_days(CAST(2 - id * 13 % 62 AS INT)) + to_hours(CAST(id % 24 AS INT)) AS starts
+           FROM matches_v),
+per_match AS (SELECT event_id, count(*) AS n, sum(stake) AS staked FROM legs_v JOIN bets_v ON bets_v.id = bet_id GROUP BY 1)
+SELECT competition_id, CAST(sum(n) AS BIGINT) AS legs, CAST(sum(staked) AS DECIMAL(38,2)) AS turnover
+FROM m JOIN per_match ON event_id = m.id WHERE starts + INTERVAL 30 DAY >= TIMESTAMP '2001-08-02 00:00:00' GROUP BY 1""")
 def q_competition_turnover(spark, d):
     t = Tables(spark, d)
-    return competition_turnover(t.legs_v, t.bets_v, t.matches_v, ORDERS_AS_OF, days=90)
+    return competition_turnover(t.legs_v, t.bets_v, match_starts(t.matches_v), ORDERS_AS_OF)
 
 
 @register("self_excluded_bets", adapters=("players_v", "bets_v"), oracle="""
-SELECT p.id, p.username, count(b.id) AS bets
-FROM players_v p JOIN bets_v b ON b.player_id = p.id AND b.placed_at >= TIMESTAMP '2001-08-02 00:00:00' - INTERVAL 365 DAY
-WHERE p.status = 'self_excluded' GROUP BY p.id, p.username""")
+WITH n AS (SELECT player_id, count(*) AS bets FROM bets_v
+           WHERE placed_at + INTERVAL 365 DAY >= TIMESTAMP '2001-08-02 00:00:00' GROUP BY ALL)
+SELECT id, username, bets FROM n JOIN players_v ON id = player_id AND status = 'self_excluded'""")
 def q_self_excluded_bets(spark, d):
     t = Tables(spark, d)
     return self_excluded_bets(t.players_v, t.bets_v, ORDERS_AS_OF, days=365)
@@ -287,10 +296,11 @@ def q_large_deposits(spark, d):
     return large_deposits(Tables(spark, d).money_events_v, EVENTS_AS_OF, limit=200, days=10)
 
 
-@register("open_liability", adapters=_BETS, oracle=f"""WITH {_LEG_RESULTS_SQL}
-SELECT l.event_id, count(*) AS open_bets, CAST(sum(b.potential_payout) AS DECIMAL(38,2)) AS liability
-FROM bets_final b JOIN legs_v l ON l.bet_id = b.id WHERE b.status = 'open'
-GROUP BY l.event_id ORDER BY liability DESC, l.event_id LIMIT 100""")
+@register("open_liability", adapters=_BETS, oracle=f"""WITH {_LEG_RESULTS_SQL},
+v AS (SELECT event_id, potential_payout FROM legs_v SEMI JOIN (SELECT id FROM bets_final WHERE lost = 0 AND pending > 0) o ON o.id = bet_id
+      JOIN bets_final f ON f.id = bet_id)
+SELECT event_id, count(*) AS open_bets, CAST(sum(potential_payout) AS DECIMAL(38,2)) AS liability
+FROM v GROUP BY event_id QUALIFY row_number() OVER (ORDER BY liability DESC, event_id) <= 100""")
 def q_open_liability(spark, d):
     t = Tables(spark, d)
     return open_liability(_bets_final(t), t.legs_v)

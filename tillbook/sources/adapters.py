@@ -117,9 +117,13 @@ def matches_v(part: DataFrame) -> DataFrame:
     )
 
 
+def _bet_id(line: Column) -> Column:
+    """An order's lines are legs of bets of at most four: lines 1-4, 5-8 and so on."""
+    return F.col("l_orderkey") * 4 + F.floor((line - 1) / 4)
+
+
 def legs_v(lineitem: DataFrame) -> DataFrame:
-    g = (lineitem.filter(F.col("l_linenumber") <= 4)
-         .groupBy(F.col("l_orderkey").alias("bet_id"), F.col("l_linenumber"))
+    g = (lineitem.groupBy(_bet_id(F.col("l_linenumber")).alias("bet_id"), F.col("l_linenumber"))
          .agg(F.min("l_partkey").alias("event_id"))
          .select("bet_id", "event_id", (1 + F.col("l_linenumber") % 7).cast("int").alias("outcome")))
     odds = _dec(F.lit(1.01).cast("decimal(3,2)") + _dec(F.col("event_id") % 400, 7, 3) / 100, 7, 3)
@@ -127,12 +131,17 @@ def legs_v(lineitem: DataFrame) -> DataFrame:
                     (F.col("event_id") * 7 + F.col("outcome")).alias("selection_id"), odds.alias("odds"))
 
 
-def bets_v(orders: DataFrame) -> DataFrame:
+def bets_v(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """A bet per order, and a further one for every four lines beyond the fourth."""
     m = (F.col("o_orderkey") % 10).cast("int")
     stake = (F.when(m == 0, 2).when(m.isin(1, 2), 5).when(m == 6, 20).when(m == 7, 25).when(m == 8, 50)
              .when(m == 9, 100).otherwise(10))
-    return orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("player_id"),
-                         _dec(stake, 12, 2).alias("stake"), F.col("o_orderdate").alias("placed_at"))
+    further = (lineitem.filter(F.col("l_linenumber") > 4)
+               .select("l_orderkey", _bet_id(F.col("l_linenumber")).alias("id")).distinct())
+    first = orders.withColumn("id", F.col("o_orderkey") * 4)
+    bets = first.unionByName(orders.join(further, F.col("l_orderkey") == F.col("o_orderkey")).drop("l_orderkey"))
+    return bets.select("id", F.col("o_custkey").alias("player_id"), _dec(stake, 12, 2).alias("stake"),
+                       F.col("o_orderdate").alias("placed_at"))
 
 
 def requests_v(events: DataFrame) -> DataFrame:
@@ -208,7 +217,7 @@ class Tables:
     @cached_property
     def legs_v(self): return legs_v(self.lineitem)
     @cached_property
-    def bets_v(self): return bets_v(self.orders)
+    def bets_v(self): return bets_v(self.orders, self.lineitem)
     @cached_property
     def requests_v(self): return requests_v(self.events)
     @cached_property
@@ -268,13 +277,14 @@ FROM customer JOIN nation ON n_nationkey = c_nationkey""",
 FROM part""",
     "legs_v": """SELECT bet_id, event_id, outcome, event_id * 7 + outcome AS selection_id,
        CAST(1.01 + CAST(event_id % 400 AS DECIMAL(7,3)) / 100 AS DECIMAL(7,3)) AS odds
-FROM (SELECT l_orderkey AS bet_id, min(l_partkey) AS event_id, CAST(1 + l_linenumber % 7 AS INT) AS outcome
-      FROM lineitem WHERE l_linenumber <= 4 GROUP BY l_orderkey, l_linenumber) g""",
-    "bets_v": """SELECT o_orderkey AS id, o_custkey AS player_id,
+FROM (SELECT l_orderkey * 4 + (l_linenumber - 1) // 4 AS bet_id, min(l_partkey) AS event_id, CAST(1 + l_linenumber % 7 AS INT) AS outcome
+      FROM lineitem GROUP BY l_orderkey, l_linenumber) g""",
+    "bets_v": """SELECT o_orderkey * 4 + part_no AS id, o_custkey AS player_id,
        CAST(CASE CAST(o_orderkey % 10 AS INT) WHEN 0 THEN 2 WHEN 1 THEN 5 WHEN 2 THEN 5 WHEN 6 THEN 20 WHEN 7 THEN 25
                  WHEN 8 THEN 50 WHEN 9 THEN 100 ELSE 10 END AS DECIMAL(12,2)) AS stake,
        o_orderdate AS placed_at
-FROM orders""",
+FROM (SELECT o_orderkey AS k, 0 AS part_no FROM orders
+      UNION SELECT l_orderkey, (l_linenumber - 1) // 4 FROM lineitem WHERE l_linenumber > 4) JOIN orders ON o_orderkey = k""",
     "requests_v": """SELECT event_id, ts, event_type AS tx, user_id,
        CASE WHEN event_id % 20 = 0 THEN 'lock_timeout' WHEN event_id % 33 = 0 THEN 'out_of_stock'
             WHEN event_id % 50 = 0 THEN 'deadlock' ELSE 'ok' END AS result,

@@ -6,12 +6,16 @@ table path; nothing is collected to the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillbook.operators.quantiles import exact_percentile
+from tillbook.session import scratch_path
+from tillbook.sources.versions import pinned
+
 # ---- S02 / S03 outage log (JSON lines) ------------------------------------------------------------
 
 OUTAGE_RECORD = T.StructType([
@@ -51,18 +55,31 @@ LOG_LINE = (r"^(\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\.\d{3}) (\S+) \[(\d+)\] (?:(\S*)@
             r"([A-Z]+):  (.*)$")
 
 
+def _log_parts(col: str) -> Column:
+    """The fields of a line from one match of its pattern; one field if it does not match."""
+    mark = "\u0001"
+    fields = mark.join(f"${i}" for i in (1, 3, 4, 5, 6, 7, 8, 9))
+    return F.split(F.regexp_replace(F.col(col), LOG_LINE, fields), mark, 8)
+
+
 def parse_server_log(lines: DataFrame, col: str = "value") -> DataFrame:
-    """Split each line into time, zone, pid, user, database, application, client, level, message."""
-    v = F.col(col)
+    """Split each line into time, zone, pid, user, database, application, client, level, message.
+
+    Lines without the prefix (the further lines of a statement of several) are given by
+    ``rejected_lines``; the two together are all lines.
+    """
+    p = [F.get("_p", F.lit(i)) for i in range(8)]
+    return lines.select(_log_parts(col).alias("_p")).filter(F.size("_p") == 8).select(
+        F.to_timestamp(p[0], "yyyy-MM-dd HH:mm:ss.SSS").cast("timestamp_ntz").alias("ts"),
+        p[1].cast("bigint").alias("pid"), F.nullif(p[2], F.lit("")).alias("user"),
+        F.nullif(p[3], F.lit("")).alias("db"), F.nullif(p[4], F.lit("")).alias("app"),
+        F.nullif(p[5], F.lit("")).alias("client"), p[6].alias("level"), p[7].alias("message"))
 
-    def g(i: int) -> Column:
-        return F.regexp_extract(v, LOG_LINE, i)
 
-    return lines.filter(v.rlike(LOG_LINE)).select(
-        F.to_timestamp(g(1), "yyyy-MM-dd HH:mm:ss.SSS").cast("timestamp_ntz").alias("ts"),
-        g(3).cast("bigint").alias("pid"), F.nullif(g(4), F.lit("")).alias("user"),
-        F.nullif(g(5), F.lit("")).alias("db"), F.nullif(g(6), F.lit("")).alias("app"),
-        F.nullif(g(7), F.lit("")).alias("client"), g(8).alias("level"), g(9).alias("message"))
+def rejected_lines(lines: DataFrame, col: str = "value") -> DataFrame:
+    """The lines that ``parse_server_log`` leaves out: continuation lines (they begin with a tab) and foreign ones."""
+    kind = F.when(F.col(col).startswith("\t"), "continuation").otherwise("foreign")
+    return lines.filter(F.size(_log_parts(col)) < 8).select(kind.alias("kind"), F.col(col).alias("line"))
 
 
 AUDIT = r"AUDIT: SESSION,(\d+),(\d+),([^,]*),([^,]*),([^,]*),([^,]*),(.*),([^,]*)$"
@@ -86,9 +103,10 @@ def statement_report(log: DataFrame) -> DataFrame:
     stmt = F.regexp_extract(m, r"statement: (.*)$", 1)
     norm = F.regexp_replace(F.regexp_replace(stmt, r"'[^']*'", "?"), r"\b\d+(\.\d+)?\b", "?")
     s = log.filter(m.startswith("duration: ")).select(norm.alias("statement"), dur.cast("double").alias("ms"))
-    return s.groupBy("statement").agg(
-        F.count(F.lit(1)).alias("calls"), F.round(F.sum("ms"), 3).alias("total_ms"),
-        F.round(F.max("ms"), 3).alias("max_ms"), F.round(F.percentile("ms", F.lit(0.95)), 3).alias("p95_ms"))
+    totals = s.groupBy("statement").agg(
+        F.count(F.lit(1)).alias("calls"), F.round(F.sum("ms"), 3).alias("total_ms"), F.round(F.max("ms"), 3).alias("max_ms"))
+    p95 = exact_percentile(s, ["statement"], "ms", 0.95).select("statement", F.round("percentile", 3).alias("p95_ms"))
+    return totals.join(p95, "statement")
 
 
 def error_ranking(log: DataFrame) -> DataFrame:
@@ -98,11 +116,13 @@ def error_ranking(log: DataFrame) -> DataFrame:
 
 # ---- S06 / S07 monthly partitions -------------------------------------------------------------------------
 
-def write_monthly(df: DataFrame, path: str, ts: str) -> None:
+def write_monthly(df: DataFrame, path: str, ts: str, rows_per_file: int = 1_000_000) -> None:
     """A log partitioned by month (``month=YYYY-MM``); readers filter on ``month`` and Spark
-    prunes folders. Rows are clustered by month first so each task writes few files."""
-    (df.withColumn("month", F.date_format(ts, "yyyy-MM")).repartition("month").sortWithinPartitions(ts)
-     .write.mode("overwrite").partitionBy("month").parquet(path))
+    prunes folders. Rows are dealt by ranges of (month, time), about ``rows_per_file`` each, so a large
+    month is written by as many tasks as it needs, a task writes few files, and no file grows beyond that."""
+    tasks = max(1, -(-df.count() // rows_per_file))
+    (df.withColumn("month", F.date_format(ts, "yyyy-MM")).repartitionByRange(tasks, "month", ts).sortWithinPartitions("month", ts)
+     .write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy("month").parquet(path))
 
 
 def month_filter(start: str, end: str) -> Column:
@@ -134,12 +154,28 @@ def export_chunked(df: DataFrame, path: str, order: Sequence[str], rows: int = 5
      .write.mode("overwrite").option("maxRecordsPerFile", rows).parquet(path))
 
 
-def with_snapshot(tables: dict[str, DataFrame], steps: dict) -> dict[str, DataFrame]:
-    """Run several report steps on one consistent snapshot: every input is materialised
-    once (``checkpoint()`` in the shared folder) and the same DataFrames feed all steps.
-    Callers pass only the columns the steps read, so the copy is no wider than the report."""
-    snap = {name: df.checkpoint() for name, df in tables.items()}
-    return {name: step(snap) for name, step in steps.items()}
+class Snapshot:
+    """Several report steps over one consistent state of their tables.
+
+    The files of every table are fixed at the start (``versions.pinned``), without a copy: each step still
+    reads only the columns and row groups it needs. What several steps share beyond that is computed
+    once from those tables, as Parquet in the shared folder (``derived``).
+    """
+
+    def __init__(self, tables: dict[str, DataFrame]):
+        self.tables = {name: pinned(df) for name, df in tables.items()}
+        self._derived: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.tables[name]
+
+    def derived(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._derived:
+            df = make()
+            path = scratch_path(df.sparkSession, f"snapshot/{name}")
+            df.write.parquet(path)
+            self._derived[name] = df.sparkSession.read.schema(df.schema).parquet(path)
+        return self._derived[name]
 
 
 def evolve(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:

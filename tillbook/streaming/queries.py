@@ -4,8 +4,9 @@ Each registered query drains a stream over the driver table with ``availableNow`
 returns the sink as a batch table, so the driver can compare it with the batch oracle
 (stream equals batch). Keyed Python state (``applyInPandasWithState``) appears only where
 the semantics are a sequential fold: the match state machine (ST02), the outage detector
-(ST06), the status-change capture (ST10) and the running wallet (ST14); the state per key
-is a few scalars and each group handed to Python is one micro-batch of that key.
+(ST06), the session expiry (ST07), the status-change capture (ST10) and the running wallet (ST14).
+Those folds run on a reorder buffer (``ordered.in_order``) over feeds of several files that arrive
+out of order (``feeds``), as do the streams in ``live``.
 """
 
 from __future__ import annotations
@@ -19,12 +20,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tillbook.functions import ts_lit
-from tillbook.operators.joins import asof_join
 from tillbook.operators.windows import last_n
 from tillbook.plans.registry import register
 from tillbook.session import scratch_path
 from tillbook.sources.adapters import money_events_v, odds_feed_v, requests_v
+from tillbook.functions import LATENCY_BUCKETS
+from tillbook.operators.metrics import histogram, histogram_quantile
+from tillbook.streaming.feeds import feed
+from tillbook.streaming.ordered import in_order
 from tillbook.streaming.runner import (drain_append, drain_batches, drain_upsert, event_time, ntz, stream_table)
 from tillbook.sources.adapters import Tables
 
@@ -49,6 +52,28 @@ def q_stream_current_odds(spark, d):
     return drain_upsert(current_odds(feed), "current_odds", ["selection_id"])
 
 
+def odds_moves(feed_: DataFrame, decided: DataFrame) -> DataFrame:
+    """ST01: the moves to be appended to the odds history: those of selections that are not decided. ``decided``
+    (selection_id, decided_at) is a table; a move at or after the decision is ignored."""
+    d = decided.select(F.col("selection_id").alias("_selection"), "decided_at")
+    j = feed_.join(d, F.col("selection_id") == F.col("_selection"), "left")
+    return j.filter(F.col("decided_at").isNull() | (F.col("changed_at") < F.col("decided_at"))).drop("_selection", "decided_at")
+
+
+@register("stream_odds_history", adapters=("odds_feed_v",), oracle="""
+SELECT id, changed_at, selection_id, odds FROM odds_feed_v
+WHERE selection_id % 4 <> 0 OR changed_at < TIMESTAMP '2024-01-05 00:00:00' + to_days(CAST(selection_id % 20 AS INT))""")
+def q_stream_odds_history(spark, d):
+    """ST01: the history of a feed of several files, in which a quarter of the selections are decided on some day."""
+    t = Tables(spark, d)
+    user = F.col("user_id")
+    decided = t.events.select(user).distinct().filter(user % 4 == 0).select(
+        user.alias("selection_id"), (F.lit("2024-01-05 00:00:00").cast("timestamp_ntz")
+                                     + F.make_dt_interval(days=(user % 20).cast("int"))).alias("decided_at"))
+    moves = odds_moves(feed(t.odds_feed_v, "odds", "changed_at", "id").drop("_et"), decided)
+    return drain_append(moves, "odds-history")
+
+
 # ---- ST03 / ST04 / ST05 request windows ---------------------------------------------------------------
 
 def request_counts(requests: DataFrame, width: str = "1 minute", slide: str | None = None,
@@ -82,41 +107,22 @@ def q_stream_request_rate(spark, d):
     return drain_upsert(agg, "request_rate", ["window_start", "tx"])
 
 
-# ---- ST07 sessions ------------------------------------------------------------------------------------------
-
-def session_activity(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
-    """Gap-based player sessions (``session_window``): start, end (= last event + gap), events."""
-    return (events.withColumn("_et", event_time("ts")).withWatermark("_et", "1 hour")
-            .groupBy(F.session_window("_et", gap).alias("s"), "user_id")
-            .agg(F.count(F.lit(1)).alias("events"))
-            .select("user_id", ntz(F.col("s.start")).alias("session_start"), ntz(F.col("s.end")).alias("session_end"),
-                    "events"))
-
-
-@register("stream_sessions", oracle="""
-WITH l AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events),
-s AS (SELECT *, sum(CASE WHEN prev IS NULL OR ts >= prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
-                OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM l)
-SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS events
-FROM s GROUP BY user_id, sid""")
-def q_stream_sessions(spark, d):
-    ev = stream_table(spark, d, "events")
-    return drain_upsert(session_activity(ev), "sessions", ["user_id", "session_start"], mode="complete")
-
-
 # ---- ST08 / ST09 / ST15 money windows -------------------------------------------------------------------
 
 @register("stream_missions", adapters=("money_events_v",), oracle="""
 SELECT date_trunc('hour', created_at) AS period, player_id, CAST(-sum(amount) AS DECIMAL(38,2)) AS staked
 FROM money_events_v WHERE type = 'stake' GROUP BY 1, 2 HAVING -sum(amount) >= 100""")
 def q_stream_missions(spark, d):
-    """ST08: hourly mission, one award per (player, hour) once stakes reach the minimum."""
-    m = money_events_v(stream_table(spark, d, "events")).filter(F.col("type") == "stake")
-    agg = (m.withColumn("_et", event_time("created_at")).withWatermark("_et", "2 hours")
-           .groupBy(F.window("_et", "1 hour").alias("w"), "player_id")
-           .agg((-F.sum("amount")).cast("decimal(38,2)").alias("staked"))
+    """ST08: hourly mission, one award per (player, hour) once its stakes reach the minimum.
+
+    Over a feed out of order; in append mode an hour is given out once, when the watermark has closed it, and only
+    hours that qualify reach the sink.
+    """
+    stakes = Tables(spark, d).money_events_v.filter(F.col("type") == "stake")
+    agg = (feed(stakes, "stakes", "created_at", "id").groupBy(F.window("_et", "1 hour").alias("w"), "player_id")
+           .agg((-F.sum("amount")).cast("decimal(38,2)").alias("staked")).filter(F.col("staked") >= 100)
            .select(ntz(F.col("w.start")).alias("period"), "player_id", "staked"))
-    return drain_upsert(agg, "missions", ["period", "player_id"]).filter(F.col("staked") >= 100)
+    return drain_append(agg, "missions")
 
 
 @register("stream_deposit_alerts", adapters=("money_events_v",), oracle="""
@@ -140,10 +146,14 @@ WITH p AS (SELECT CAST(date_trunc('week', created_at) AS DATE) AS week, player_i
 SELECT week, player_id, points, rn AS position FROM (
   SELECT *, row_number() OVER (PARTITION BY week ORDER BY points DESC, player_id) AS rn FROM p) WHERE rn <= 100""")
 def q_stream_leaderboard(spark, d):
-    """ST15: weekly points per player in update mode; the top 100 per week is cut on read."""
+    """ST15: weekly points per player in update mode; a week leaves the state with the watermark, and the
+    top 100 per week is cut on read (W05)."""
     m = money_events_v(stream_table(spark, d, "events")).filter(F.col("type") == "stake")
-    week = F.date_sub(F.to_date("created_at"), F.weekday("created_at"))
-    agg = m.groupBy(week.alias("week"), "player_id").agg(F.round(-F.sum("amount")).cast("bigint").alias("points"))
+    # the epoch was a Thursday, so windows of a week are moved by four days to begin on Mondays
+    agg = (m.withColumn("_et", event_time("created_at")).withWatermark("_et", "1 day")
+           .groupBy(F.window("_et", "7 days", "7 days", "4 days").alias("w"), "player_id")
+           .agg(F.round(-F.sum("amount")).cast("bigint").alias("points"))
+           .select(F.to_date(ntz(F.col("w.start"))).alias("week"), "player_id", "points"))
     table = drain_upsert(agg, "leaderboard", ["week", "player_id"])
     return last_n(table, ["week"], [F.col("points").desc(), F.col("player_id")], 100, rn="position") \
         .withColumn("position", F.col("position").cast("bigint"))
@@ -175,28 +185,6 @@ def q_stream_expired_requests(spark, d):
     return drain_append(r.filter(late).select("event_id", "tx", "ts", "processed_at"), "expired_requests")
 
 
-# ---- ST13 price check (stream-static as-of join per micro-batch) ---------------------------------------
-
-@register("stream_price_check", adapters=("odds_feed_v",), oracle="""
-WITH bets AS (SELECT event_id AS bet_id, user_id AS selection_id, ts AS placed_at FROM events WHERE event_type = 'purchase')
-SELECT b.bet_id, b.selection_id, b.placed_at,
-       (SELECT f.odds FROM odds_feed_v f WHERE f.selection_id = b.selection_id AND f.changed_at <= b.placed_at
-        ORDER BY f.changed_at DESC, f.id DESC LIMIT 1) AS odds
-FROM bets b""")
-def q_stream_price_check(spark, d):
-    """ST13: the price in force when each bet arrived, by an as-of join of every micro-batch
-    against the odds history (J13)."""
-    feed = odds_feed_v(Tables(spark, d).events)
-    bets = stream_table(spark, d, "events").filter(F.col("event_type") == "purchase").select(
-        F.col("event_id").alias("bet_id"), F.col("user_id").alias("selection_id"), F.col("ts").alias("placed_at"))
-    schema = T.StructType([T.StructField("bet_id", T.LongType()), T.StructField("selection_id", T.LongType()),
-                           T.StructField("placed_at", T.TimestampNTZType()),
-                           T.StructField("odds", T.DecimalType(7, 3))])
-    return drain_batches(bets, "price_check",
-                         lambda b, _: asof_join(b, feed, ["selection_id"], "placed_at", "changed_at", ["odds"],
-                                                right_order=["id"]), schema)
-
-
 # ---- ST06 outage detector (keyed state) -------------------------------------------------------------------
 
 _OUTAGE_OUT = T.StructType([
@@ -207,44 +195,41 @@ _OUTAGE_OUT = T.StructType([
 _OUTAGE_STATE = T.StructType([
     T.StructField("islands", T.LongType()), T.StructField("open_start", T.LongType()),
     T.StructField("open_failed", T.LongType()), T.StructField("open_error", T.StringType()),
-    T.StructField("last_ok", T.LongType()), T.StructField("last_was_ok", T.BooleanType())])
-
-
-def _outage_fold(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Fold one target's checks (this micro-batch, time order) into its open-outage state."""
-    target = key[0]
-    batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts_us", "event_id"], kind="mergesort")
-    if state.exists:
-        islands, open_start, open_failed, open_error, last_ok, last_was_ok = state.get
-    else:
-        islands, open_start, open_failed, open_error, last_ok, last_was_ok = 0, None, 0, None, None, True
+    T.StructField("last_ok", T.LongType())])
+
+
+def _outage_fold(target, rows: pd.DataFrame, state: tuple | None, _upto: int):
+    """Fold one target's checks, in time order, into its open-outage state: runs of failed checks are
+    found by array operations, and only the outages themselves are walked."""
+    islands, open_start, open_failed, open_error, last_ok = state or (0, None, 0, None, None)
+    n = len(rows)
+    if not n:
+        return [], state, None
+    ts, ok, err = rows["ts_us"].to_numpy(), rows["ok"].to_numpy().astype(bool), rows["error"].to_numpy()
+    before = np.concatenate(([open_start is None], ok[:-1]))
+    failed = np.cumsum(~ok)
+    ends = np.flatnonzero(ok & ~before).tolist()
     out = []
-    ts, ok, err = batch["ts_us"].to_numpy(), batch["ok"].to_numpy(), batch["error"].to_numpy()
-    for i in range(len(batch)):
-        if not ok[i]:
-            if open_start is None:
-                islands, open_start, open_failed, open_error = islands + 1, int(ts[i]), 0, err[i]
-            open_failed += 1
-        else:
-            if open_start is not None:
-                out.append((target, islands, open_start, int(ts[i]), last_ok, open_failed, open_error))
-                open_start, open_failed, open_error = None, 0, None
-            last_ok = int(ts[i])
-    state.update((islands, open_start, open_failed, open_error, last_ok, bool(ok[-1]) if len(ok) else last_was_ok))
-    yield pd.DataFrame(out, columns=[f.name for f in _OUTAGE_OUT.fields]) if out else \
-        pd.DataFrame({f.name: pd.Series(dtype="object") for f in _OUTAGE_OUT.fields})
+    for s in [None] * (open_start is not None) + np.flatnonzero(~ok & before).tolist():
+        if s is not None:
+            islands, open_start, open_error = islands + 1, int(ts[s]), err[s]
+            open_failed, last_ok = 1 - int(failed[s]), int(ts[s - 1]) if s else last_ok
+        if not ends:
+            open_failed += int(failed[-1])
+            break
+        e = ends.pop(0)
+        out.append((target, islands, open_start, int(ts[e]), last_ok, open_failed + int(failed[e]), open_error))
+        open_start, open_failed, open_error = None, 0, None
+    if ok.any():
+        last = int(ts[np.flatnonzero(ok)[-1]])
+        last_ok = last if last_ok is None else max(last_ok, last)
+    return out, (islands, open_start, open_failed, open_error, last_ok), None
 
 
 def detect_outages(checks: DataFrame) -> DataFrame:
-    """ST06: closed outages per target from a stream of checks; the open one stays in state.
-
-    The per-target group handed to Python is one micro-batch of that target (bounded by the
-    source's files/bytes per trigger); the state is six scalars per target.
-    """
-    c = checks.select("target", "event_id", "ok", "error",
-                      F.unix_micros(event_time("ts")).alias("ts_us"))
-    out = c.groupBy("target").applyInPandasWithState(_outage_fold, _OUTAGE_OUT, _OUTAGE_STATE, "append",
-                                                     GroupStateTimeout.NoTimeout)
+    """ST06: closed outages per target from a stream of checks (with event time ``_et``); the open one stays in state."""
+    c = checks.select("target", "event_id", "ok", "error", "_et", F.unix_micros("_et").alias("ts_us"))
+    out = in_order(c, "target", ["event_id"], _OUTAGE_OUT, _OUTAGE_STATE, _outage_fold)
     to_ts = lambda col: ntz(F.timestamp_micros(col))
     return out.select("target", "outage", to_ts("start_us").alias("start"), to_ts("end_us").alias("end"),
                       F.round((F.col("end_us") - F.col("start_us")) / 1e6, 3).alias("duration_s"),
@@ -266,8 +251,8 @@ SELECT f.target, CAST(f.island AS BIGINT) AS outage, f.start, o.first_ok AS "end
 FROM failed f JOIN oks o ON o.target = f.target AND o.island = f.island
 LEFT JOIN oks p ON p.target = f.target AND p.island + 1 = f.island""")
 def q_stream_outages(spark, d):
-    ev = stream_table(spark, d, "events")
-    checks = ev.select(F.concat(F.lit("db"), (F.col("user_id") % 4).cast("string")).alias("target"), "ts",
+    ev = feed(Tables(spark, d).events, "checks", "ts", "event_id")
+    checks = ev.select(F.concat(F.lit("db"), (F.col("user_id") % 4).cast("string")).alias("target"), "_et",
                        "event_id", (F.col("event_type") != "error").alias("ok"), F.col("props").alias("error"))
     return drain_append(detect_outages(checks), "outages")
 
@@ -280,27 +265,21 @@ _CDC_OUT = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("
 _CDC_STATE = T.StructType([T.StructField("last_status", T.StringType())])
 
 
-def _cdc_fold(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts_us", "event_id"], kind="mergesort")
-    prev = state.get[0] if state.exists else None
-    status = batch["event_type"].to_numpy()
-    before = np.empty(len(status), dtype=object)
-    if len(status):
-        before[0] = prev
-        before[1:] = status[:-1]
-    keep = np.array([a != b for a, b in zip(before, status)], dtype=bool)
-    if len(status):
-        state.update((str(status[-1]),))
-    yield pd.DataFrame({"user_id": batch["user_id"].to_numpy()[keep], "event_id": batch["event_id"].to_numpy()[keep],
-                        "ts_us": batch["ts_us"].to_numpy()[keep], "from_status": before[keep],
-                        "to_status": status[keep]})
+def _cdc_fold(user_id, rows: pd.DataFrame, state: tuple | None, _upto: int):
+    status = rows["event_type"].to_numpy()
+    if not len(status):
+        return [], state, None
+    before = np.concatenate((np.array([state[0] if state else None], dtype=object), status[:-1]))
+    moved = rows[before != status]
+    out = zip([user_id] * len(moved), moved["event_id"].tolist(), moved["ts_us"].tolist(),
+              before[before != status].tolist(), moved["event_type"].tolist(), strict=True)
+    return list(out), (str(status[-1]),), None
 
 
 def status_changes(changes: DataFrame) -> DataFrame:
-    """ST10: status history from a change stream: keyed state holds the last status."""
-    c = changes.select("user_id", "event_id", "event_type", F.unix_micros(event_time("ts")).alias("ts_us"))
-    out = c.groupBy("user_id").applyInPandasWithState(_cdc_fold, _CDC_OUT, _CDC_STATE, "append",
-                                                      GroupStateTimeout.NoTimeout)
+    """ST10: status history from a change stream (event time ``_et``): keyed state holds the last status."""
+    c = changes.select("user_id", "event_id", "event_type", "_et", F.unix_micros("_et").alias("ts_us"))
+    out = in_order(c, "user_id", ["event_id"], _CDC_OUT, _CDC_STATE, _cdc_fold)
     return out.select("user_id", "event_id", ntz(F.timestamp_micros("ts_us")).alias("ts"), "from_status",
                       "to_status")
 
@@ -310,33 +289,56 @@ SELECT user_id, event_id, ts, from_status, event_type AS to_status FROM (
   SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS from_status FROM events)
 WHERE from_status IS DISTINCT FROM event_type""")
 def q_stream_status_changes(spark, d):
-    return drain_append(status_changes(stream_table(spark, d, "events")), "status_changes")
+    changes = Tables(spark, d).events.select("user_id", "event_id", "event_type", "ts")
+    return drain_append(status_changes(feed(changes, "changes", "ts", "event_id")), "status_changes")
 
 
 # ---- ST05 streaming latency quantiles ------------------------------------------------------------------
 
-@register("stream_latency_p95", adapters=("requests_v",), oracle="""WITH h AS (
+def latency_histograms(requests: DataFrame, delay: str = "2 hours") -> DataFrame:
+    """ST05: hourly cumulative latency histograms per tx of a stream; an hour leaves the state with the watermark, which
+    is ``delay`` behind unless the stream has one on ``_et``."""
+    r = requests if "_et" in requests.columns else requests.withColumn("_et", event_time("ts")).withWatermark("_et", delay)
+    h = histogram(r.withColumn("w", F.window("_et", "1 hour")), F.col("latency_ms").cast("double") / 1000, ["w", "tx"], LATENCY_BUCKETS)
+    return h.withColumn("hour", ntz(F.col("w.start"))).drop("w")
+
+
+def latency_quantiles(table: DataFrame, quantiles: tuple[float, ...] = (0.5, 0.95, 0.99)) -> DataFrame:
+    """p50, p95 and p99 of every hour and tx, read off the histograms (Q05)."""
+    out = histogram_quantile(table, quantiles[0], ["hour", "tx"])
+    for q in quantiles[1:]:
+        out = out.unionByName(histogram_quantile(table, q, ["hour", "tx"]))
+    return out
+
+
+def _latency_oracle(quantiles: tuple[float, ...]) -> str:
+    bounds = ", ".join(f"({i}, {b})" for i, b in enumerate((*LATENCY_BUCKETS, "NULL")))
+    asked = ", ".join(f"({q})" for q in quantiles)
+    return f"""WITH h AS (
   SELECT date_trunc('hour', r.ts) AS hour, r.tx, b.bucket, CAST(b.upper AS DOUBLE) AS upper,
          count(*) FILTER (WHERE b.upper IS NULL OR CAST(r.latency_ms AS DOUBLE) / 1000 <= b.upper) AS cumulative
-  FROM requests_v r, (VALUES (0, 0.005), (1, 0.01), (2, 0.025), (3, 0.05), (4, 0.1), (5, 0.25), (6, 0.5), (7, 1.0), (8, 2.5), (9, 5.0), (10, 10.0), (11, 30.0), (12, NULL)) b(bucket, upper) GROUP BY 1, 2, 3, 4),
+  FROM requests_v r, (VALUES {bounds}) b(bucket, upper) GROUP BY 1, 2, 3, 4),
 b AS (SELECT *, coalesce(lag(cumulative) OVER (PARTITION BY hour, tx ORDER BY bucket), 0) AS prev_cum,
              coalesce(lag(upper) OVER (PARTITION BY hour, tx ORDER BY bucket), 0.0) AS lower,
              max(cumulative) OVER (PARTITION BY hour, tx) AS total FROM h),
-hit AS (SELECT *, 0.95 * total AS rnk, row_number() OVER (PARTITION BY hour, tx ORDER BY bucket) AS k
-        FROM b WHERE total > 0 AND cumulative >= 0.95 * total)
-SELECT g.hour, g.tx, round(CASE WHEN hit.upper IS NULL THEN hit.lower
-                  ELSE hit.lower + (hit.upper - hit.lower) * (hit.rnk - hit.prev_cum) / (hit.cumulative - hit.prev_cum) END, 6)
-       AS quantile, CAST(0.95 AS DOUBLE) AS q
-FROM (SELECT DISTINCT hour, tx FROM h) g LEFT JOIN hit ON hit.hour = g.hour AND hit.tx = g.tx AND hit.k = 1""")
+hit AS (SELECT b.*, CAST(q AS DOUBLE) AS q, CAST(q AS DOUBLE) * total AS rnk, row_number() OVER (PARTITION BY hour, tx, q ORDER BY bucket) AS k
+        FROM b, (VALUES {asked}) a(q) WHERE total > 0 AND cumulative >= CAST(q AS DOUBLE) * total)
+SELECT hour, tx, q, round(CASE WHEN upper IS NULL THEN lower ELSE lower + (upper - lower) * (rnk - prev_cum) / (cumulative - prev_cum) END, 6) AS quantile
+FROM hit WHERE k = 1"""
+
+
+@register("stream_latency_p95", adapters=("requests_v",), oracle=_latency_oracle((0.95,)))
 def q_stream_latency_p95(spark, d):
-    """ST05: hourly latency histograms per tx in a stream, p95 by histogram_quantile on read."""
-    from tillbook.functions import LATENCY_BUCKETS
-    from tillbook.operators.metrics import histogram, histogram_quantile
+    table = drain_upsert(latency_histograms(requests_v(stream_table(spark, d, "events"))), "latency_hist", ["hour", "tx", "bucket"])
+    return latency_quantiles(table, (0.95,))
+
 
-    r = requests_v(stream_table(spark, d, "events")).withColumn("hour", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
-    h = histogram(r, F.col("latency_ms").cast("double") / 1000, ["hour", "tx"], LATENCY_BUCKETS)
-    table = drain_upsert(h, "latency_hist", ["hour", "tx", "bucket"])
-    return histogram_quantile(table, 0.95, ["hour", "tx"])
+@register("stream_latency_quantiles", adapters=("requests_v",), oracle=_latency_oracle((0.5, 0.95, 0.99)))
+def q_stream_latency_quantiles(spark, d):
+    """ST05 over a feed of several files out of order."""
+    requests = feed(Tables(spark, d).requests_v, "latencies", "ts", "event_id")
+    table = drain_upsert(latency_histograms(requests), "latency-quantiles", ["hour", "tx", "bucket"])
+    return latency_quantiles(table)
 
 
 # ---- ST02 match state machine (keyed state, event-time timers) ---------------------------------------
@@ -371,7 +373,6 @@ def _match_fold(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterato
         batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts_us", "event_id"], kind="mergesort")
         for t, action in zip(batch["ts_us"].to_numpy(), batch["action"].to_numpy()):
             t = int(t)
-            version = max(version, t)
             if status == "live" and t >= kicked + MATCH_SECONDS * 1_000_000:
                 status, finished = "finished", kicked + MATCH_SECONDS * 1_000_000
             if action == "kickoff" and status == "scheduled":
@@ -379,6 +380,7 @@ def _match_fold(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterato
             elif action in ("goal_home", "goal_away") and status == "live":
                 home, away = (home + 1, away) if action == "goal_home" else (home, away + 1)
                 susp = t + SUSPEND_SECONDS * 1_000_000
+    version += 1  # one snapshot a call, so no two have the same version
     state.update((status, home, away, kicked, finished, susp, version))
     if status == "live":
         state.setTimeoutTimestamp((kicked + MATCH_SECONDS * 1_000_000) // 1000)
@@ -442,54 +444,92 @@ def q_stream_match_states(spark, d):
 
 _WALLET_OUT = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("player_id", T.LongType()), T.StructField("type", T.StringType()),
-    T.StructField("amount", T.DecimalType(14, 2)), T.StructField("result", T.StringType()),
-    T.StructField("balance_after", T.DecimalType(14, 2))])
-_WALLET_STATE = T.StructType([T.StructField("balance", T.DecimalType(14, 2))])
-
-
-def _wallet_fold(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """A player's cash ledger requests in order: credits always apply; a debit that would take the
-    balance below zero is refused (insufficient_funds) and changes nothing."""
-    from decimal import Decimal
-
-    batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts_us", "id"], kind="mergesort")
-    balance = state.get[0] if state.exists else Decimal("0.00")
+    T.StructField("cents", T.LongType()), T.StructField("result", T.StringType()),
+    T.StructField("balance_cents", T.LongType()), T.StructField("staked_cents", T.LongType())])
+_WALLET_STATE = T.StructType([T.StructField("balance", T.LongType()), T.StructField("day", T.LongType()),
+                              T.StructField("staked", T.LongType())])
+_DAY_US = 86_400_000_000
+
+
+def _wallet_fold(player_id, rows: pd.DataFrame, state: tuple | None, _upto: int):
+    """A player's cash requests in order, in cents: credits always apply; a debit that would take the
+    balance below zero is refused (insufficient_funds), then a stake that would take the day's accepted
+    stakes beyond the daily limit (limit_reached). A refused request changes nothing."""
+    balance, day, staked = state or (0, 0, 0)
     out = []
-    for rid, typ, amt in zip(batch["id"].to_numpy(), batch["type"].to_numpy(), batch["amount"].to_numpy()):
-        amt = Decimal(amt)
-        if amt < 0 and balance + amt < 0:
-            out.append((int(rid), key[0], typ, amt, "insufficient_funds", balance))
+    limits = [None if pd.isna(x) else int(x) for x in rows["limit_cents"]]
+    for rid, typ, cents, at, limit in zip(rows["id"].tolist(), rows["type"].tolist(), rows["cents"].tolist(), rows["ts_us"].tolist(),
+                                          limits, strict=True):
+        if at // _DAY_US != day:
+            day, staked = at // _DAY_US, 0
+        result = "ok"
+        if cents < 0 and balance + cents < 0:
+            result = "insufficient_funds"
+        elif typ == "stake" and limit is not None and staked - cents > limit:
+            result = "limit_reached"
         else:
-            balance = balance + amt
-            out.append((int(rid), key[0], typ, amt, "ok", balance))
-    state.update((balance,))
-    yield pd.DataFrame(out, columns=[f.name for f in _WALLET_OUT.fields])
+            balance += cents
+            staked -= cents if typ == "stake" else 0
+        out.append((rid, player_id, typ, cents, result, balance, staked))
+    return out, (balance, day, staked), None
 
 
 def wallet_stream(ledger: DataFrame) -> DataFrame:
-    """ST14: running wallet with admission, keyed by player (state = the balance)."""
+    """ST14: running wallet with admission, keyed by player; the state is the balance, the day and
+    what the player has staked on it. ``ledger`` has event time ``_et`` and daily_loss_limit (null: none)."""
+    cents = lambda c: (F.col(c) * 100).cast("bigint")
     c = ledger.filter(F.col("account") == "cash").select(
-        "id", "player_id", "type", "amount", F.unix_micros(event_time("created_at")).alias("ts_us"))
-    return c.groupBy("player_id").applyInPandasWithState(_wallet_fold, _WALLET_OUT, _WALLET_STATE, "append",
-                                                         GroupStateTimeout.NoTimeout)
-
-
-@register("stream_wallets", adapters=("money_events_v",), oracle="""WITH RECURSIVE j AS (
-  SELECT id, player_id, type, amount, row_number() OVER (PARTITION BY player_id ORDER BY created_at, id) AS rn
-  FROM money_events_v WHERE account = 'cash'),
+        "id", "player_id", "type", cents("amount").alias("cents"), cents("daily_loss_limit").alias("limit_cents"), "_et",
+        F.unix_micros("_et").alias("ts_us"))
+    out = in_order(c, "player_id", ["id"], _WALLET_OUT, _WALLET_STATE, _wallet_fold)
+    money = lambda c: (F.col(c).cast("decimal(16,2)") / 100).cast("decimal(14,2)")
+    return out.select("id", "player_id", "type", money("cents").alias("amount"), "result", money("balance_cents").alias("balance_after"),
+                      money("staked_cents").alias("staked_today"))
+
+
+def _wallet_oracle(limit: str) -> str:
+    """A recursive walk over each player's requests; ``limit`` is an SQL expression."""
+    refused = "j.amount < 0 AND w.balance_after + j.amount < 0"
+    today = "CASE WHEN CAST(j.created_at AS DATE) = w.day THEN w.staked_today ELSE CAST(0 AS DECIMAL(14,2)) END"
+    over = f"j.type = 'stake' AND j.lim IS NOT NULL AND {today} - j.amount > j.lim"
+    return f"""WITH RECURSIVE j AS (
+  SELECT id, player_id, type, amount, created_at, {limit} AS lim,
+         row_number() OVER (PARTITION BY player_id ORDER BY created_at, id) AS rn
+  FROM money_events_v m LEFT JOIN (SELECT id AS pid, daily_loss_limit FROM players_v) p ON p.pid = m.player_id WHERE account = 'cash'),
 walk AS (
-  SELECT id, player_id, rn, type, amount, CASE WHEN amount < 0 THEN 'insufficient_funds' ELSE 'ok' END AS result,
-         CAST(CASE WHEN amount < 0 THEN 0 ELSE amount END AS DECIMAL(14,2)) AS balance_after
-  FROM j WHERE rn = 1
+  SELECT player_id, CAST(0 AS BIGINT) AS rn, CAST(0 AS BIGINT) AS id, '' AS type, CAST(0 AS DECIMAL(14,2)) AS amount, '' AS result,
+         CAST(0 AS DECIMAL(14,2)) AS balance_after, DATE '1970-01-01' AS day, CAST(0 AS DECIMAL(14,2)) AS staked_today
+  FROM (SELECT DISTINCT player_id FROM j)
   UNION ALL
-  SELECT j.id, j.player_id, j.rn, j.type, j.amount,
-         CASE WHEN j.amount < 0 AND w.balance_after + j.amount < 0 THEN 'insufficient_funds' ELSE 'ok' END,
-         CAST(CASE WHEN j.amount < 0 AND w.balance_after + j.amount < 0 THEN w.balance_after
-                   ELSE w.balance_after + j.amount END AS DECIMAL(14,2))
+  SELECT j.player_id, j.rn, j.id, j.type, j.amount,
+         CASE WHEN {refused} THEN 'insufficient_funds' WHEN {over} THEN 'limit_reached' ELSE 'ok' END,
+         CAST(CASE WHEN ({refused}) OR ({over}) THEN w.balance_after ELSE w.balance_after + j.amount END AS DECIMAL(14,2)),
+         CAST(j.created_at AS DATE),
+         CAST({today} - CASE WHEN j.type = 'stake' AND NOT ({refused}) AND NOT ({over}) THEN j.amount ELSE 0 END AS DECIMAL(14,2))
   FROM walk w JOIN j ON j.player_id = w.player_id AND j.rn = w.rn + 1)
-SELECT id, player_id, type, amount, result, balance_after FROM walk""")
+"""
+
+
+def _wallets(spark, d, limited: bool) -> DataFrame:
+    t = Tables(spark, d)
+    ledger = feed(t.money_events_v, "ledger", "created_at", "id")
+    if not limited:
+        return drain_append(wallet_stream(ledger.withColumn("daily_loss_limit", F.lit(None).cast("decimal(12,2)"))), "wallets")
+    limits = t.players_v.select(F.col("id").alias("player_id"), "daily_loss_limit")
+    return drain_append(wallet_stream(ledger.join(limits, "player_id", "left")), "wallet-days")
+
+
+@register("stream_wallets", adapters=("money_events_v", "players_v"), oracle=_wallet_oracle("CAST(NULL AS DECIMAL(12,2))") + """
+SELECT id, player_id, type, amount, result, balance_after FROM walk WHERE rn > 0""")
 def q_stream_wallets(spark, d):
-    return drain_append(wallet_stream(money_events_v(stream_table(spark, d, "events"))), "wallets")
+    return _wallets(spark, d, False).drop("staked_today")
+
+
+@register("stream_wallet_days", adapters=("money_events_v", "players_v"), oracle=_wallet_oracle("daily_loss_limit") + """
+SELECT id, player_id, type, amount, result, balance_after, staked_today FROM walk WHERE rn > 0""")
+def q_stream_wallet_days(spark, d):
+    """ST14 with the player's daily limit on stakes."""
+    return _wallets(spark, d, True)
 
 
 # ---- ST16 settlement trigger ------------------------------------------------------------------------------

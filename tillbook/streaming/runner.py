@@ -1,10 +1,8 @@
 """Stream sources and sinks (S11, S12) and a drain helper for availableNow runs.
 
 * ``stream_table``: a Structured Streaming file source with the declared schema.
-* ``upsert_sink``: ``foreachBatch`` that writes each micro-batch into its own ``batch=<id>``
-  folder (overwrite, so a replayed batch after a failure rewrites the same folder:
-  idempotent), and a reader that keeps the newest row per key ("merge on read"; Parquet
-  has no MERGE). Old batches can be compacted by rewriting the read result.
+* ``drain_upsert``: ``foreachBatch`` into a ``versions.UpsertTable``: a delta per micro-batch (a replay
+  replaces it), a compacted base, and the newest row per key on read (Parquet has no MERGE).
 * ``drain``: run a query with ``trigger(availableNow=True)`` to completion, checkpointing
   in the shared checkpoint folder (never a machine-local path on a cluster).
 """
@@ -20,6 +18,7 @@ from pyspark.sql import types as T
 
 from tillbook.session import configure, scratch_path
 from tillbook.sources.tables import SCHEMAS
+from tillbook.sources.versions import UpsertTable, VersionedTable
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 1) -> DataFrame:
@@ -51,37 +50,18 @@ def drain_append(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(os.path.join(base, "data"))
 
 
-def upsert_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch writer, one folder per micro-batch (idempotent on replay)."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(os.path.join(path, f"batch={batch_id}"))
-    return write
-
-
-def read_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
-    """The upsert table: newest micro-batch's row per key (an aggregate: combines map-side)."""
-    cols = [f.name for f in schema.fields if f.name not in keys]
-    full = T.StructType(list(schema.fields) + [T.StructField("batch", T.LongType())])
-    df = spark.read.schema(full).parquet(path)
-    return (df.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col("batch")).alias("_r"))
-            .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols]))
-
-
 def drain_upsert(stream: DataFrame, name: str, keys: Sequence[str], mode: str = "update") -> DataFrame:
-    """Run an update/complete-mode query through the upsert sink; return the keyed table."""
+    """Run an update- or complete-mode query through the upsert sink (S12); return the keyed table."""
     spark = stream.sparkSession
     base = scratch_path(spark, f"streams/{name}")
-    data = os.path.join(base, "data")
-    q = (stream.writeStream.outputMode(mode).foreachBatch(upsert_sink(data))
+    table = UpsertTable(spark, os.path.join(base, "table"), stream.schema, keys)
+    # in complete mode every batch holds the whole result: it replaces the table
+    write = table.write if mode == "update" else lambda batch, _: VersionedTable.replace(table, batch)
+    q = (stream.writeStream.outputMode(mode).foreachBatch(write)
          .option("checkpointLocation", os.path.join(base, "_checkpoint"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    if mode == "complete":  # every batch holds the whole result: the last one is the table
-        full = T.StructType(list(stream.schema.fields) + [T.StructField("batch", T.LongType())])
-        df = spark.read.schema(full).parquet(data)
-        last = df.agg(F.max("batch")).scalar()   # the newest batch id (scalar subquery)
-        return df.filter(F.col("batch") == last).drop("batch")
-    return read_upserts(spark, data, stream.schema, keys)
+    return table.read() if mode == "update" else VersionedTable.read(table)
 
 
 def drain_batches(stream: DataFrame, name: str, fn: Callable[[DataFrame, int], DataFrame],
