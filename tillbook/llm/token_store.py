@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import functools
 import os
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +39,8 @@ END = 2
 BLOCK = 1 << 14
 CHUNK = 1 << 18
 CACHE_BYTES = 24 << 20  # of words and their ids, of each kind
+RUN = 256  # words encoded as one text
+SPACE = "\u0120"  # how byte-level vocabularies write a space
 SLICE_BYTES = 4 << 20  # fewer repeats of common words than the default
 
 _CHUNKS = ("shard int, chunk int, start_in_shard long, n_ids long, doc_ids array<long>, doc_sizes array<long>, "
@@ -64,12 +65,28 @@ def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """The ids of distinct words that follow ``lead``: the words as one Arrow array, their ids as one flat array."""
+    """The ids of distinct words that follow ``lead``: the words as one Arrow array, their ids as one flat array.
 
-    def __init__(self, tok, lead: str):
-        self.tok, self.lead = tok, lead
+    ``opens`` tells the ids whose piece begins with a space. Space-led words are encoded ``RUN`` at a time as one text,
+    which costs less than a call each: a word's ids begin where a piece begins with a space, as the word has none.
+    """
+
+    def __init__(self, tok, lead: str, opens: np.ndarray | None = None):
+        self.tok, self.lead, self.opens = tok, lead, opens
         self.clear()
 
+    def _encode(self, words: list[str], run: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, one after the other, and the number of each."""
+        texts = [self.lead + self.lead.join(words[a:a + run]) for a in range(0, len(words), run)]
+        parts = [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.concatenate(parts)
+        if run == 1:
+            return flat, np.fromiter(map(len, parts), np.int64, len(parts))
+        starts = np.flatnonzero(self.opens[flat])
+        if len(starts) != len(words) or starts[0] != 0:  # a vocabulary that writes spaces otherwise
+            return self._encode(words, 1)
+        return flat, np.diff(np.append(starts, len(flat)))
+
     def clear(self) -> None:
         self.words = pa.array([], pa.large_string())
         self.flat, self.start, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
@@ -83,13 +100,12 @@ class Words:
         if at.null_count:
             unknown = pc.is_null(at)
             new = words.filter(unknown)
-            lists = [e.ids for e in self.tok.encode_batch_fast([self.lead + w for w in new.to_pylist()], add_special_tokens=False)]
-            size = np.fromiter(map(len, lists), np.int64, len(lists))
+            flat, size = self._encode(new.to_pylist(), 1 if self.opens is None else RUN)
             places = np.arange(len(self.size), len(self.size) + len(size))
             self.words = pa.concat_arrays([self.words, new])
             self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(size) - size))
             self.size = np.concatenate((self.size, size))
-            self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(lists), np.uint32, size.sum())))
+            self.flat = np.concatenate((self.flat, flat))
             at = pc.replace_with_mask(at, unknown, pa.array(places, pa.int32()))
         return at.to_numpy(zero_copy_only=False).astype(np.int64)
 
@@ -102,7 +118,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.first, self.led = Words(self.tok, ""), Words(self.tok, " ")  # words that begin a text, and others
+        opens = np.zeros(self.tok.get_vocab_size(), bool)
+        opens[[i for piece, i in self.tok.get_vocab().items() if piece.startswith(SPACE)]] = True
+        self.first, self.led = Words(self.tok, ""), Words(self.tok, " ", opens)  # words that begin a text, and others
 
     def clear(self) -> None:
         self.first.clear()
