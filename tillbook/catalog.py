@@ -25,6 +25,7 @@ _MODULES = (
     "tillbook.plans.book_build",
     "tillbook.plans.engagement",
     "tillbook.plans.money_build",
+    "tillbook.plans.accounts",
 )
 
 

@@ -19,8 +19,9 @@ loop ends; in practice a handful of rounds decide everything.
 
 What is decided leaves the state by *capacity folding*: refused lines go, keys without undecided requests go,
 and the accepted lines before a key's first undecided request are subtracted from its capacity. Only accepted
-lines behind an undecided one stay. Running sums use the segmented scan (a hot key is split by
-request-number buckets). A round is one job that writes the lines with their verdicts to the shared
+lines behind an undecided one stay. While every key has few lines, the folding and the running sums of a round
+are windows over one exchange by key; with a hot key the sums use the segmented scan, which splits
+it by request-number buckets. A round is one job that writes the lines with their verdicts to the shared
 folder: lineage stays one round long, and a lost executor costs tasks of one round.
 """
 
@@ -29,13 +30,16 @@ from __future__ import annotations
 import itertools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tillbook.operators.windows import sequence_scan
 from tillbook.session import scratch_path
 
 
+KEY_LINES = 200_000  # a key of more lines counts as hot
+
+
 def _folded(lines: DataFrame, keys: list[str], seq: str) -> DataFrame:
     """The live lines of keys with an undecided request, with the accepted ones before it taken off ``cap``."""
     live = lines.filter(F.col("accepted").isNull() | F.col("accepted"))
@@ -47,6 +51,28 @@ def _folded(lines: DataFrame, keys: list[str], seq: str) -> DataFrame:
             .withColumn("cap", (F.col("cap") - F.col("_taken")).cast(dict(lines.dtypes)["cap"])).drop("_first", "_taken"))
 
 
+def _hot_sums(lines: DataFrame, keys: list[str], seq: str, req: str, bucket_rows: int) -> DataFrame:
+    """The folded lines with ``_hi`` and ``_lo``, inclusive running sums, where a key may be too large for one task."""
+    cur = (_folded(lines, keys, seq).withColumn("_hi_amt", F.col("_amt"))          # accepted or undecided
+           .withColumn("_lo_amt", F.when(F.col("accepted"), F.col("_amt")).otherwise(0)))
+    bucket = F.floor(F.col(seq) / F.lit(bucket_rows)).cast("long")
+    cur = sequence_scan(cur, keys, [seq, req], bucket, sum_cols=["_hi_amt", "_lo_amt"], prefix_sum="_run")
+    return cur.drop("_hi_amt", "_lo_amt").withColumnsRenamed({"_run_hi_amt": "_hi", "_run_lo_amt": "_lo"})
+
+
+def _sums(lines: DataFrame, keys: list[str], seq: str, req: str) -> DataFrame:
+    """The same by windows over the whole key."""
+    key = Window.partitionBy(*keys)
+    live = lines.filter(F.col("accepted").isNull() | F.col("accepted"))
+    live = live.withColumn("_first", F.min(F.when(F.col("accepted").isNull(), F.col(seq))).over(key)).filter("_first IS NOT NULL")
+    settled = F.col("accepted").isNotNull() & (F.col(seq) < F.col("_first"))
+    live = live.withColumn("_taken", F.sum(F.when(settled, F.col("_amt")).otherwise(0)).over(key)).filter(~settled)
+    live = live.withColumn("cap", (F.col("cap") - F.col("_taken")).cast(dict(lines.dtypes)["cap"])).drop("_first", "_taken")
+    upto = key.orderBy(seq, req).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return live.withColumn("_hi", F.sum("_amt").over(upto)).withColumn(
+        "_lo", F.sum(F.when(F.col("accepted"), F.col("_amt")).otherwise(0)).over(upto))
+
+
 def admit(lines: DataFrame, capacity: DataFrame, req: str, seq: str, keys: Sequence[str], amount: str,
           bucket_rows: int = 1_000_000) -> DataFrame:
     """Return ``(req, accepted, round)`` for every request.
@@ -63,27 +89,24 @@ def admit(lines: DataFrame, capacity: DataFrame, req: str, seq: str, keys: Seque
         return spark.read.schema(df.schema).parquet(path), seen
 
     asked = lines.groupBy(req, seq, *keys).agg(F.sum(amount).alias("_amt"))
-    demand = asked.groupBy(*keys).agg(F.sum("_amt").alias("_demand"))
+    demand = asked.groupBy(*keys).agg(F.sum("_amt").alias("_demand"), F.count(F.lit(1)).alias("_lines"))
     room = demand.join(capacity.select(*keys, F.col("cap")), keys, "left").withColumn("cap", F.coalesce(F.col("cap"), F.lit(0)))
-    start, seen = written(asked.join(room, keys).withColumn("_contested", F.col("_demand") > F.col("cap")).drop("_demand"),
-                          contested=F.count_if("_contested"))
+    contested = F.col("_demand") > F.col("cap")
+    start, seen = written(asked.join(room, keys).withColumn("_contested", contested).drop("_demand"),
+                          contested=F.count_if("_contested"), most=F.max(F.when(F.col("_contested"), F.col("_lines"))))
     by_request = start.groupBy(req).agg(F.bool_or("_contested").alias("_waits"))
     decided = [by_request.filter(~F.col("_waits")).select(req, F.lit(True).alias("accepted"), F.lit(0).alias("round"))]
     if seen.get["contested"]:
-        state = start.filter("_contested").drop("_contested").withColumn("accepted", F.lit(None).cast("boolean"))
+        state = start.filter("_contested").drop("_contested", "_lines").withColumn("accepted", F.lit(None).cast("boolean"))
+        hot = seen.get["most"] > min(KEY_LINES, bucket_rows)
         for rnd in itertools.count(1):
-            cur = (state.withColumn("_hi_amt", F.col("_amt"))                      # accepted or undecided
-                   .withColumn("_lo_amt", F.when(F.col("accepted"), F.col("_amt")).otherwise(0)))
-            bucket = F.floor(F.col(seq) / F.lit(bucket_rows)).cast("long")
-            # one segmented scan gives both running sums
-            cur = sequence_scan(cur, keys, [seq, req], bucket, sum_cols=["_hi_amt", "_lo_amt"], prefix_sum="_run")
+            cur = _hot_sums(state, keys, seq, req, bucket_rows) if hot else _sums(state, keys, seq, req)
             # the sums are inclusive, so the request's own share is in "hi" and is added to "lo"
-            undecided = cur.filter(F.col("accepted").isNull())
-            verdict = undecided.groupBy(req).agg(
-                F.bool_and(F.col("_run_hi_amt") <= F.col("cap")).alias("_ok"),
-                F.bool_or(F.col("_run_lo_amt") + F.col("_amt") > F.col("cap")).alias("_bad"))
+            verdict = cur.filter(F.col("accepted").isNull()).groupBy(req).agg(
+                F.bool_and(F.col("_hi") <= F.col("cap")).alias("_ok"),
+                F.bool_or(F.col("_lo") + F.col("_amt") > F.col("cap")).alias("_bad"))
             verdict = verdict.filter("_ok OR _bad").select(req, F.col("_ok").alias("_verdict"))
-            nxt = (state.join(verdict, req, "left").withColumn("accepted", F.coalesce("accepted", "_verdict"))
+            nxt = (cur.drop("_hi", "_lo").join(verdict, req, "left").withColumn("accepted", F.coalesce("accepted", "_verdict"))
                    .withColumn("_new", F.col("_verdict").isNotNull()).drop("_verdict"))
             now, seen = written(nxt, left=F.count_if(F.col("accepted").isNull()), new=F.count_if("_new"))
             decided.append(now.filter("_new").select(req, "accepted", F.lit(rnd).alias("round")).distinct())
@@ -91,7 +114,7 @@ def admit(lines: DataFrame, capacity: DataFrame, req: str, seq: str, keys: Seque
                 break
             if not seen.get["new"]:  # cannot happen (the earliest undecided request is always decided)
                 raise RuntimeError("admission made no progress")
-            state = _folded(now.drop("_new"), keys, seq)
+            state = now.drop("_new")
     result = decided[0]
     for more in decided[1:]:
         result = result.unionByName(more)

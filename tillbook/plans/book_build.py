@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.functions import pick, skewed_key, uniform, uniform_sql
+from tillbook.functions import pick, skewed_key, skewed_key_sql, uniform, uniform_sql
 from tillbook.plans.book_jobs import _SEL_SQL, build_selections
 from tillbook.plans.build import fan_out
 from tillbook.plans.registry import register
@@ -60,6 +60,18 @@ def q_bets_build(spark, d):
     return legs
 
 
+@register("bet_rows_build", adapters=("players_v",), oracle=f"""
+WITH pb AS (SELECT min(id) AS lo, count(*) AS n FROM players_v)
+SELECT o_orderkey AS id, {skewed_key_sql(uniform_sql(42, 50, "o_orderkey"), "pb.lo", "pb.n", 2.2)} AS player_id,
+       CAST({list(STAKES)!r}[1 + CAST(floor({uniform_sql(42, 51, "o_orderkey")} * 10) AS INT)] AS DECIMAL(12,2)) AS stake,
+       {list(CHANNELS)!r}[1 + CAST(floor({uniform_sql(42, 52, "o_orderkey")} * 4) AS INT)] AS channel
+FROM orders, pb""")
+def q_bet_rows_build(spark, d):
+    """The bets themselves: skewed bettors, stakes and channels."""
+    t = Tables(spark, d)
+    return build_bets(t.orders.select(F.col("o_orderkey").alias("g")), t.players_v, t.matches_v)[0]
+
+
 def top_up_fixtures(matches: DataFrame, target: int) -> DataFrame:
     """Add scheduled matches until ``target`` are scheduled: ids after the largest, competition and
     teams from id arithmetic (never the same team twice), kick-offs 10 minutes apart, opening odds (G04).

@@ -247,6 +247,18 @@ def q_carts_build(spark, d):
     return items
 
 
+@register("cart_rows_build", adapters=("customers_v", "products_v"), oracle=f"""WITH {_carts_sql()},
+cb AS (SELECT min(id) AS lo, count(*) AS n FROM customers_v)
+SELECT id, CASE WHEN {uniform_sql(42, 41, "id")} < 0.8 THEN CAST(cb.lo + floor({uniform_sql(42, 42, "id")} * cb.n) AS BIGINT) END AS customer_id,
+       {_arr_sql(CART_STATUSES)}[1 + CAST(floor({uniform_sql(42, 43, "id")} * 6) AS INT)] AS status, created_at
+FROM carts, cb""")
+def q_cart_rows_build(spark, d):
+    """The carts themselves: guests, the status mix and their times."""
+    t = Tables(spark, d)
+    carts, _ = build_carts(t.orders.select(F.col("o_orderkey").alias("g")), t.customers_v, t.products_v, BUILD_CARTS_AS_OF)
+    return carts
+
+
 # ---- W04 latest open cart -----------------------------------------------------------------------------
 
 @register("latest_open_cart", oracle="""

@@ -9,8 +9,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,13 +40,28 @@ def ntz(c: F.Column) -> F.Column:
     return c.cast("timestamp_ntz")
 
 
+@contextlib.contextmanager
+def _state_partitions(spark: SparkSession) -> Iterator[None]:
+    """While a query starts: no more shuffle partitions, and so state stores, than twice the cores. A query keeps the
+    number that it starts with, and every one of its micro-batches opens and commits all its stores."""
+    key = "spark.sql.shuffle.partitions"
+    given, most = spark.conf.get(key), 2 * spark.sparkContext.defaultParallelism
+    if int(given) > most:
+        spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, given)
+
+
 def drain_append(stream: DataFrame, name: str) -> DataFrame:
     """Run an append-mode query to completion into Parquet; return the sink as a batch table."""
     spark = stream.sparkSession
     base = scratch_path(spark, f"streams/{name}")
-    q = (stream.writeStream.format("parquet").outputMode("append")
-         .option("path", os.path.join(base, "data")).option("checkpointLocation", os.path.join(base, "_checkpoint"))
-         .trigger(availableNow=True).start())
+    with _state_partitions(spark):
+        q = (stream.writeStream.format("parquet").outputMode("append")
+             .option("path", os.path.join(base, "data")).option("checkpointLocation", os.path.join(base, "_checkpoint"))
+             .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.schema(stream.schema).parquet(os.path.join(base, "data"))
 
@@ -57,9 +73,10 @@ def drain_upsert(stream: DataFrame, name: str, keys: Sequence[str], mode: str =
     table = UpsertTable(spark, os.path.join(base, "table"), stream.schema, keys)
     # in complete mode every batch holds the whole result: it replaces the table
     write = table.write if mode == "update" else lambda batch, _: VersionedTable.replace(table, batch)
-    q = (stream.writeStream.outputMode(mode).foreachBatch(write)
-         .option("checkpointLocation", os.path.join(base, "_checkpoint"))
-         .trigger(availableNow=True).start())
+    with _state_partitions(spark):
+        q = (stream.writeStream.outputMode(mode).foreachBatch(write)
+             .option("checkpointLocation", os.path.join(base, "_checkpoint"))
+             .trigger(availableNow=True).start())
     q.awaitTermination()
     return table.read() if mode == "update" else VersionedTable.read(table)
 
