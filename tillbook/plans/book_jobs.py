@@ -25,7 +25,11 @@ BOOK_AS_OF = EVENTS_AS_OF   # the clock of the jobs: the end of the events
 # ---- B20 / M07: selections with opening odds and results ---------------------------------------
 
 def build_selections(matches: DataFrame) -> DataFrame:
-    """Seven selections per match (id = match x 7 + outcome), 6%-margin odds, result once finished."""
+    """Seven selections per match (id = match x 7 + outcome), 6%-margin odds, result once finished.
+
+    Spark estimates an exploded table by its parents' rows and would broadcast millions of selections as a small table,
+    so the hint has them joined by sort-merge.
+    """
     names = F.array(*[F.struct(F.lit(m).alias("market"), F.lit(n).alias("name")) for m, n in SELECTION_NAMES])
     s = matches.select("id", "status", "home_score", "away_score", implied_odds("id").alias("_odds"),
                        F.posexplode(names).alias("_pos", "_sel"))
@@ -34,7 +38,7 @@ def build_selections(matches: DataFrame) -> DataFrame:
                     F.element_at("_odds", F.col("_pos") + 1).alias("odds"),
                     F.when(F.col("status").isin("finished", "settled"),
                            selection_result(F.col("_sel.name"), "home_score", "away_score"))
-                    .otherwise(F.lit("pending")).alias("result"))
+                    .otherwise(F.lit("pending")).alias("result")).hint("merge")
 
 
 _SEL_SQL = """WITH sel AS (
