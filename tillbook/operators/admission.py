@@ -23,6 +23,9 @@ lines behind an undecided one stay. While every key has few lines, the folding a
 are windows over one exchange by key; with a hot key the sums use the segmented scan, which splits
 it by request-number buckets. A round is one job that writes the lines with their verdicts to the shared
 folder: lineage stays one round long, and a lost executor costs tasks of one round.
+
+The lines are written once and counted by that job, as every step reads them; many lines are dealt into more
+partitions than the session's (``spread``), so that a task's share does not grow with the input.
 """
 
 from __future__ import annotations
@@ -38,6 +41,21 @@ from tillbook.session import scratch_path
 
 
 KEY_LINES = 200_000  # a key of more lines counts as hot
+TASK_ROWS = 1_000_000  # the rows that a task is given, on average, at most
+
+
+def stored(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` written to the shared folder and read back, and its number of rows."""
+    spark, seen, path = df.sparkSession, Observation(), scratch_path(df.sparkSession, "stored")
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get["rows"]
+
+
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` by ``keys`` in partitions of about ``TASK_ROWS``, if ``rows`` (of it, or of what it is joined with) are
+    too many for the session's number of partitions."""
+    parts = -(-rows // TASK_ROWS)
+    return df.repartition(parts, *keys) if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
 
 
 def _folded(lines: DataFrame, keys: list[str], seq: str) -> DataFrame:
@@ -74,42 +92,47 @@ def _sums(lines: DataFrame, keys: list[str], seq: str, req: str) -> DataFrame:
 
 
 def admit(lines: DataFrame, capacity: DataFrame, req: str, seq: str, keys: Sequence[str], amount: str,
-          bucket_rows: int = 1_000_000) -> DataFrame:
+          bucket_rows: int = 1_000_000, rows: int | None = None) -> DataFrame:
     """Return ``(req, accepted, round)`` for every request.
 
     ``lines``: one row per (request, key) with its ``seq`` (total order of requests) and
     ``amount``. ``capacity``: one row per key with ``cap``; keys without a row have no room.
+    ``rows``: the number of lines, if they are a stored table; else they are written here.
     """
     keys = list(keys)
     spark = lines.sparkSession
+    if rows is None:
+        lines, rows = stored(lines.select(req, seq, *keys, amount))
 
     def written(df: DataFrame, **counts) -> tuple[DataFrame, Observation]:
         seen, path = Observation(), scratch_path(spark, "admission")
         df.observe(seen, *[c.alias(n) for n, c in counts.items()]).write.parquet(path)
         return spark.read.schema(df.schema).parquet(path), seen
 
-    asked = lines.groupBy(req, seq, *keys).agg(F.sum(amount).alias("_amt"))
+    asked = spread(lines, rows, *keys).groupBy(req, seq, *keys).agg(F.sum(amount).alias("_amt"))
     demand = asked.groupBy(*keys).agg(F.sum("_amt").alias("_demand"), F.count(F.lit(1)).alias("_lines"))
-    room = demand.join(capacity.select(*keys, F.col("cap")), keys, "left").withColumn("cap", F.coalesce(F.col("cap"), F.lit(0)))
+    room = demand.join(spread(capacity.select(*keys, F.col("cap")), rows, *keys), keys, "left").withColumn("cap", F.coalesce(F.col("cap"), F.lit(0)))
     contested = F.col("_demand") > F.col("cap")
     start, seen = written(asked.join(room, keys).withColumn("_contested", contested).drop("_demand"),
                           contested=F.count_if("_contested"), most=F.max(F.when(F.col("_contested"), F.col("_lines"))))
-    by_request = start.groupBy(req).agg(F.bool_or("_contested").alias("_waits"))
+    by_request = spread(start.select(req, "_contested"), rows, req).groupBy(req).agg(F.bool_or("_contested").alias("_waits"))
     decided = [by_request.filter(~F.col("_waits")).select(req, F.lit(True).alias("accepted"), F.lit(0).alias("round"))]
     if seen.get["contested"]:
         state = start.filter("_contested").drop("_contested", "_lines").withColumn("accepted", F.lit(None).cast("boolean"))
         hot = seen.get["most"] > min(KEY_LINES, bucket_rows)
         for rnd in itertools.count(1):
-            cur = _hot_sums(state, keys, seq, req, bucket_rows) if hot else _sums(state, keys, seq, req)
+            dealt = spread(state, rows, *keys)
+            cur = _hot_sums(dealt, keys, seq, req, bucket_rows) if hot else _sums(dealt, keys, seq, req)
             # the sums are inclusive, so the request's own share is in "hi" and is added to "lo"
-            verdict = cur.filter(F.col("accepted").isNull()).groupBy(req).agg(
-                F.bool_and(F.col("_hi") <= F.col("cap")).alias("_ok"),
-                F.bool_or(F.col("_lo") + F.col("_amt") > F.col("cap")).alias("_bad"))
-            verdict = verdict.filter("_ok OR _bad").select(req, F.col("_ok").alias("_verdict"))
-            nxt = (cur.drop("_hi", "_lo").join(verdict, req, "left").withColumn("accepted", F.coalesce("accepted", "_verdict"))
-                   .withColumn("_new", F.col("_verdict").isNotNull()).drop("_verdict"))
+            lines_of, open_ = Window.partitionBy(req), F.col("accepted").isNull()
+            ok = F.bool_and(F.when(open_, F.col("_hi") <= F.col("cap"))).over(lines_of)
+            bad = F.bool_or(F.when(open_, F.col("_lo") + F.col("_amt") > F.col("cap"))).over(lines_of)
+            verdict = F.when(F.col(req).isNotNull() & (F.col("_ok") | F.col("_bad")), F.col("_ok"))
+            nxt = (spread(cur, rows, req).withColumns({"_ok": ok, "_bad": bad}).withColumn("_verdict", verdict)
+                   .withColumn("accepted", F.coalesce("accepted", "_verdict")).withColumn("_new", F.col("_verdict").isNotNull())
+                   .drop("_hi", "_lo", "_ok", "_bad", "_verdict"))
             now, seen = written(nxt, left=F.count_if(F.col("accepted").isNull()), new=F.count_if("_new"))
-            decided.append(now.filter("_new").select(req, "accepted", F.lit(rnd).alias("round")).distinct())
+            decided.append(spread(now.filter("_new").select(req, "accepted", F.lit(rnd).alias("round")), rows, req).distinct())
             if not seen.get["left"]:
                 break
             if not seen.get["new"]:  # cannot happen (the earliest undecided request is always decided)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.functions import ts_lit
+from tillbook.operators.admission import spread, stored
 from tillbook.operators.joins import first_per_key
 from tillbook.plans.build import PAYMENT_METHODS
 from tillbook.plans.registry import register
@@ -31,17 +32,19 @@ def checkout(requests: DataFrame, products: DataFrame, stock: DataFrame, address
     requests, orders, items, movements, payments, audit rows, and the new carts: a customer's open ones are converted.
     A request with an empty list gives an order of nothing. The order's id is its request's.
     """
-    lines = order_lines(requests)
-    decided, _, movements = place_orders(lines.withColumn("seq", F.col("request_id")), stock)
+    lines, rows = stored(order_lines(requests).withColumn("seq", F.col("request_id")))
+    decided, _, movements = place_orders(lines, stock, rows=rows)
     n_items = F.size(F.from_json("items", ITEMS))
-    judged = requests.withColumn("n_items", n_items).join(decided.select("request_id", F.col("result").alias("_stock")), "request_id", "left")
+    stock_result = spread(decided.select("request_id", F.col("result").alias("_stock")), rows, "request_id")
+    judged = spread(requests, rows, "request_id").withColumn("n_items", n_items).join(stock_result, "request_id", "left")
     result = F.when(F.col("n_items").isNull(), "invalid_items").otherwise(F.coalesce("_stock", F.lit("ok")))
     judged = judged.withColumn("result", result).drop("_stock")
     accepted = judged.filter(F.col("result") == "ok")
 
-    priced = (lines.join(accepted.select("request_id"), "request_id")
+    bought = spread(lines, rows, "request_id").join(accepted.select("request_id"), "request_id")
+    priced = (spread(bought, rows, "product_id")
               .join(products.select(F.col("id").alias("product_id"), F.col("price").alias("unit_price")), "product_id"))
-    totals = priced.groupBy("request_id").agg(F.sum(F.col("unit_price") * F.col("quantity")).alias("_total"))
+    totals = spread(priced.select("request_id", "unit_price", "quantity"), rows, "request_id").groupBy("request_id").agg(F.sum(F.col("unit_price") * F.col("quantity")).alias("_total"))
     to = first_per_key(addresses.filter(F.col("kind") == "shipping"), "customer_id", ["id"], ["id"]).withColumnRenamed("id", "shipping_address_id")
     orders = (accepted.join(totals, "request_id", "left").join(to, "customer_id", "left")
               .withColumn("total_amount", F.coalesce("_total", F.lit(0)).cast(MONEY)))
@@ -67,20 +70,21 @@ def _checkout(spark, d) -> dict[str, DataFrame]:
     """The fixture's orders as requests; customers' addresses and carts follow from their ids."""
     t = Tables(spark, d)
     key = F.col("o_orderkey")
-    listed = t.lineitem.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
+    n = t.lineitem.count()
+    listed = spread(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity"), n, "l_orderkey").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
         "l_linenumber", F.col("l_partkey").alias("product_id"), F.col("l_quantity").cast("int").alias("quantity")))).alias("l"))
     items = F.to_json(F.transform("l", lambda x: F.struct(x.product_id.alias("product_id"), x.quantity.alias("quantity"))))
-    requests = t.orders.join(listed, F.col("l_orderkey") == key).select(
+    requests = spread(t.orders, n, "o_orderkey").join(listed, F.col("l_orderkey") == key).select(
         key.alias("request_id"), F.col("o_custkey").alias("customer_id"), (1 + key % 5).cast("int").alias("warehouse_id"), items.alias("items"),
         F.element_at(F.array(*map(F.lit, PAYMENT_METHODS)), (1 + key % 6).cast("int")).alias("method"),
         F.concat(F.lit("PSP-"), F.left(F.md5(key.cast("string")), F.lit(16))).alias("provider_ref"))
+    requests, _ = stored(requests)
     c = F.col("c_custkey")
     addresses = t.customer.filter(c % 7 != 0).select(c.alias("customer_id"), F.explode(F.array(
         F.struct((c * 3).alias("id"), F.lit("billing").alias("kind")), F.struct((c * 3 + 2).alias("id"), F.lit("shipping").alias("kind")),
         F.struct((c * 3 + 1).alias("id"), F.lit("shipping").alias("kind")))).alias("a")).select("customer_id", "a.*")
     carts = t.customer.select(c.alias("id"), c.alias("customer_id"), F.when(c % 3 == 0, "open").otherwise("abandoned").alias("status"))
-    lines = order_lines(requests)
-    return checkout(requests, t.products_v, opening_stock(lines), addresses, carts, SHOP_AS_OF)
+    return checkout(requests, t.products_v, opening_stock(order_lines(requests), n), addresses, carts, SHOP_AS_OF)
 
 
 _ACCEPTED_SQL = _CHECKOUT_FIX_SQL + """,

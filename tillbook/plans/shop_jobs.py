@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.functions import changed, trunc_ts, ts_lit
-from tillbook.operators.admission import admit
+from tillbook.operators.admission import admit, spread, stored
 from tillbook.operators.joins import anti_join
 from tillbook.operators.windows import latest_per_key
 from tillbook.plans.registry import register
@@ -146,29 +146,32 @@ def q_restock(spark, d):
 
 def checkout_requests(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Order requests in id order: every line asks (warehouse, product) for its quantity."""
-    return (orders.select("o_orderkey").join(lineitem.select("l_orderkey", "l_partkey", "l_quantity"),
-                                             F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = lineitem.count()
+    lines = spread(lineitem.select("l_orderkey", "l_partkey", "l_quantity"), rows, "l_orderkey")
+    return (spread(orders.select("o_orderkey"), rows, "o_orderkey").join(lines, F.col("l_orderkey") == F.col("o_orderkey"))
             .select(F.col("o_orderkey").alias("request_id"), F.col("o_orderkey").alias("seq"),
                     (1 + F.col("o_orderkey") % 5).cast("int").alias("warehouse_id"),
                     F.col("l_partkey").alias("product_id"), F.col("l_quantity").cast("int").alias("quantity")))
 
 
-def opening_stock(requests: DataFrame) -> DataFrame:
-    """Finite stock per requested (warehouse, product): 20 to 59 units."""
-    return (requests.select("warehouse_id", "product_id").distinct()
+def opening_stock(requests: DataFrame, rows: int = 0) -> DataFrame:
+    """Finite stock per requested (warehouse, product): 20 to 59 units. ``rows``: how many lines are requested."""
+    return (spread(requests.select("warehouse_id", "product_id"), rows, "warehouse_id", "product_id").distinct()
             .withColumn("cap", (F.lit(20) + F.pmod(F.col("product_id"), F.lit(40))).cast("int")))
 
 
-def place_orders(requests: DataFrame, stock: DataFrame, bucket_rows: int = 1_000_000):
+def place_orders(requests: DataFrame, stock: DataFrame, bucket_rows: int = 1_000_000, rows: int | None = None):
     """All-or-nothing checkout in request order against finite stock (§ admission).
 
-    Returns (decisions, new stock, sale movements of the accepted lines).
+    ``rows``: the number of ``requests``, if they are a stored table; else they are written here. Returns (decisions, new stock, sale movements of the accepted lines).
     """
-    dec = admit(requests, stock, "request_id", "seq", ["warehouse_id", "product_id"], "quantity",
-                bucket_rows=bucket_rows)
-    accepted_lines = requests.join(dec.filter("accepted").select("request_id"), "request_id")
-    used = accepted_lines.groupBy("warehouse_id", "product_id").agg(F.sum("quantity").alias("used"))
-    new_stock = (stock.join(used, ["warehouse_id", "product_id"], "left")
+    if rows is None:
+        requests, rows = stored(requests)
+    key = ["warehouse_id", "product_id"]
+    dec = admit(requests, stock, "request_id", "seq", key, "quantity", bucket_rows=bucket_rows, rows=rows)
+    accepted_lines = spread(requests, rows, "request_id").join(spread(dec.filter("accepted").select("request_id"), rows, "request_id"), "request_id")
+    used = spread(accepted_lines.select(*key, "quantity"), rows, *key).groupBy(*key).agg(F.sum("quantity").alias("used"))
+    new_stock = (spread(stock, rows, *key).join(used, key, "left")
                  .select("warehouse_id", "product_id", (F.col("cap") - F.coalesce("used", F.lit(0))).alias("quantity")))
     moves = accepted_lines.select("warehouse_id", "product_id", (-F.col("quantity")).alias("quantity"),
                                   F.lit("sale").alias("reason"), F.col("request_id").alias("order_id"))
@@ -205,8 +208,8 @@ SELECT DISTINCT request_id, CASE WHEN acc THEN 'ok' ELSE 'out_of_stock' END AS r
 FROM fix WHERE it = (SELECT max(it) FROM fix)""")
 def q_place_orders(spark, d):
     t = Tables(spark, d)
-    req = checkout_requests(t.orders, t.lineitem)
-    outcome, _, _ = place_orders(req, opening_stock(req))
+    req, rows = stored(checkout_requests(t.orders, t.lineitem))
+    outcome, _, _ = place_orders(req, opening_stock(req, rows), rows=rows)
     return outcome.select("request_id", "result")
 
 
@@ -218,8 +221,8 @@ FROM last GROUP BY 1, 2""")
 def q_checkout_stock(spark, d):
     """Stock per (warehouse, product) after the batch: opening stock less the accepted lines."""
     t = Tables(spark, d)
-    req = checkout_requests(t.orders, t.lineitem)
-    _, new_stock, _ = place_orders(req, opening_stock(req))
+    req, rows = stored(checkout_requests(t.orders, t.lineitem))
+    _, new_stock, _ = place_orders(req, opening_stock(req, rows), rows=rows)
     return new_stock.withColumn("quantity", F.col("quantity").cast("int"))
 
 
