@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.functions import stable_uuid, ts_lit
+from tillbook.operators.admission import stored
 from tillbook.operators.windows import running_sum, segment_bucket
 from tillbook.plans import build as B
 from tillbook.plans.registry import register
@@ -42,8 +43,9 @@ def ledger_rows(players: DataFrame, bets: DataFrame, as_of: str) -> DataFrame:
 
     A player's first deposit, a day after sign-up (or before the first bet, if that is sooner), covers all stakes plus
     50 to 500; whoever has more than 300 left withdraws half an hour before ``as_of``. ``players`` has created_at;
-    ``bets`` has placed_at and settled_at.
+    ``bets`` has placed_at and settled_at; they are read four times, so they are written once.
     """
+    bets, _ = stored(bets)
     totals = B.build_ledger(players, bets)
     first = bets.groupBy("player_id").agg(F.min("placed_at").alias("_bet"))
     day, hour = F.make_dt_interval(days=F.lit(1)), F.make_dt_interval(hours=F.lit(1))
