@@ -25,7 +25,9 @@ it by request-number buckets. A round is one job that writes the lines with thei
 folder: lineage stays one round long, and a lost executor costs tasks of one round.
 
 The lines are written once and counted by that job, as every step reads them; many lines are dealt into more
-partitions than the session's (``spread``), so that a task's share does not grow with the input.
+partitions than the session's (``spread``), so that a task's share does not grow with the input. The verdicts of all
+rounds are written once too: over the union itself, whose rounds are dealt alike, Spark drops the exchange that a
+later ``spread`` asks for, and the union it runs after re-planning may have other partitions ("Can't zip RDDs").
 """
 
 from __future__ import annotations
@@ -141,7 +143,7 @@ def admit(lines: DataFrame, capacity: DataFrame, req: str, seq: str, keys: Seque
     result = decided[0]
     for more in decided[1:]:
         result = result.unionByName(more)
-    return result
+    return stored(result)[0]
 
 
 def sequential_admit(rows: list[tuple], caps: dict) -> dict:

@@ -25,14 +25,22 @@ def order_lines(requests: DataFrame) -> DataFrame:
         "request_id", "warehouse_id", (F.col("line") + 1).alias("line"), "i.product_id", "i.quantity")
 
 
-def checkout(requests: DataFrame, products: DataFrame, stock: DataFrame, addresses: DataFrame, carts: DataFrame, as_of: str) -> dict[str, DataFrame]:
+def stored_lines(requests: DataFrame) -> tuple[DataFrame, int]:
+    """The requests' lines with their place in the order of requests, written once, and their number."""
+    return stored(order_lines(requests).withColumn("seq", F.col("request_id")))
+
+
+def checkout(requests: DataFrame, products: DataFrame, stock: DataFrame, addresses: DataFrame, carts: DataFrame, as_of: str,
+             lines: tuple[DataFrame, int] | None = None, keep_orders: bool = False) -> dict[str, DataFrame]:
     """Apply ``requests`` (request_id, customer_id, warehouse_id, items, method, provider_ref) one by one in id order.
 
     Returns outcomes (ok, out_of_stock, or invalid_items if the list does not parse) and, of the accepted
     requests, orders, items, movements, payments, audit rows, and the new carts: a customer's open ones are converted.
-    A request with an empty list gives an order of nothing. The order's id is its request's.
+    A request with an empty list gives an order of nothing. The order's id is its request's. ``lines``: the requests'
+    lines, if they are a stored table, and their number. ``keep_orders``: the orders are written once, for a caller
+    that reads several of orders, payments and audit rows.
     """
-    lines, rows = stored(order_lines(requests).withColumn("seq", F.col("request_id")))
+    lines, rows = lines or stored_lines(requests)
     decided, _, movements = place_orders(lines, stock, rows=rows)
     n_items = F.size(F.from_json("items", ITEMS))
     stock_result = spread(decided.select("request_id", F.col("result").alias("_stock")), rows, "request_id")
@@ -48,6 +56,8 @@ def checkout(requests: DataFrame, products: DataFrame, stock: DataFrame, address
     to = first_per_key(addresses.filter(F.col("kind") == "shipping"), "customer_id", ["id"], ["id"]).withColumnRenamed("id", "shipping_address_id")
     orders = (accepted.join(totals, "request_id", "left").join(to, "customer_id", "left")
               .withColumn("total_amount", F.coalesce("_total", F.lit(0)).cast(MONEY)))
+    if keep_orders:
+        orders, _ = stored(orders.select("request_id", "customer_id", "shipping_address_id", "total_amount", "method", "provider_ref", "n_items"))
     details = F.to_json(F.struct(F.col("n_items").alias("items"), F.col("total_amount").cast("string").alias("total")))
     order_id = F.col("request_id").alias("order_id")
     buyers = accepted.select("customer_id").distinct().withColumn("_bought", F.lit(True))
@@ -66,7 +76,7 @@ def checkout(requests: DataFrame, products: DataFrame, stock: DataFrame, address
     }
 
 
-def _checkout(spark, d) -> dict[str, DataFrame]:
+def _checkout(spark, d, keep_orders: bool = False) -> dict[str, DataFrame]:
     """The fixture's orders as requests; customers' addresses and carts follow from their ids."""
     t = Tables(spark, d)
     key = F.col("o_orderkey")
@@ -79,12 +89,13 @@ def _checkout(spark, d) -> dict[str, DataFrame]:
         F.element_at(F.array(*map(F.lit, PAYMENT_METHODS)), (1 + key % 6).cast("int")).alias("method"),
         F.concat(F.lit("PSP-"), F.left(F.md5(key.cast("string")), F.lit(16))).alias("provider_ref"))
     requests, _ = stored(requests)
+    lines, rows = stored_lines(requests)
     c = F.col("c_custkey")
     addresses = t.customer.filter(c % 7 != 0).select(c.alias("customer_id"), F.explode(F.array(
         F.struct((c * 3).alias("id"), F.lit("billing").alias("kind")), F.struct((c * 3 + 2).alias("id"), F.lit("shipping").alias("kind")),
         F.struct((c * 3 + 1).alias("id"), F.lit("shipping").alias("kind")))).alias("a")).select("customer_id", "a.*")
     carts = t.customer.select(c.alias("id"), c.alias("customer_id"), F.when(c % 3 == 0, "open").otherwise("abandoned").alias("status"))
-    return checkout(requests, t.products_v, opening_stock(order_lines(requests), n), addresses, carts, SHOP_AS_OF)
+    return checkout(requests, t.products_v, opening_stock(lines, rows), addresses, carts, SHOP_AS_OF, (lines, rows), keep_orders)
 
 
 _ACCEPTED_SQL = _CHECKOUT_FIX_SQL + """,
@@ -104,7 +115,7 @@ SELECT k AS order_id, o_custkey AS customer_id, CASE WHEN o_custkey % 7 <> 0 THE
 FROM tot JOIN orders ON o_orderkey = k""")
 def q_checkout_orders(spark, d):
     """The orders of accepted requests with their pending payment and audit row."""
-    out = _checkout(spark, d)
+    out = _checkout(spark, d, keep_orders=True)
     payments = out["payments"].select("order_id", F.col("amount").alias("paid"), "method", F.col("status").alias("payment_status"), "provider_ref")
     audit = out["audit"].select(F.col("entity_id").alias("order_id"), "actor", "details")
     return out["orders"].join(payments, "order_id").join(audit, "order_id")
